@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows of one bucket of one group, on average; a bucket is what one task sorts.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 
 
 def random_key(*columns: str, seed: int = 0) -> Column:
@@ -24,7 +24,7 @@ def with_prefix_sum(df: DataFrame, group: str, key: str, ties: list[str], weight
     group, however large. ``rows`` (the row count, to size the ranges) needs no
     exactness. Null groups count as one group.
     """
-    buckets = max(1, min(1 << 20, rows // BUCKET_ROWS + 1))
+    buckets = max(1, min(1 << 16, rows // BUCKET_ROWS + 1))
     df = df.withColumn("_bucket", F.floor(F.conv(F.substring(key, 1, 6), 16, 10).cast("long") * buckets / (1 << 24)).cast("int"))
     sums = df.groupBy(group, "_bucket").agg(F.sum(weight).alias("_sum"))
     before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
