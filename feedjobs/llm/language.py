@@ -173,8 +173,8 @@ def _filters(table: pd.DataFrame) -> Filters:
     return Filters(languages, slots, filled)
 
 
-def predict(docs: DataFrame, filters: Filters, *, keep: list[str] | None = None) -> DataFrame:
-    """lang_pred and score for every whole text, beside the columns of ``keep`` (default: doc_id).
+def predict(docs: DataFrame, filters: Filters, *, keep: list[str] | None = None, out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """lang_pred and score (named as ``out`` says) for every whole text, beside the columns of ``keep`` (default: doc_id).
 
     ``score`` is the share of the text's n-grams that the language holds, corrected for false
     positives; ties go to the language that sorts first. A null text or one without letters
@@ -183,7 +183,7 @@ def predict(docs: DataFrame, filters: Filters, *, keep: list[str] | None = None)
     """
     keep = keep or ["doc_id"]
     rows = docs.select(*keep, F.col("text").alias("_text"))
-    schema = T.StructType([*[rows.schema[c] for c in keep], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*[rows.schema[c] for c in keep], T.StructField(out[0], T.StringType()), T.StructField(out[1], T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(filters)  # SLOTS words, whatever the corpus
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
