@@ -2,7 +2,8 @@
 
 Similarity is the probability Jaccard index of the counts of five-word shingles:
 J(x, y) = sum over i of 1 / sum over j of max(x_j / x_i, y_j / y_i), over shingles i of both.
-Where all counts are 1 it is the plain Jaccard index.
+Where all counts are 1 it is the plain Jaccard index. A pair that reaches the limit by the plain index of the
+distinct shingles is linked too, where the signatures bring it up.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 30, 6
 #: Characters whose signatures are made at once (a longer text stands alone).
 BLOCK = 3_000_000
+#: Bytes of shingles that stand apart and meet one task's share of the others.
+CROSS_BYTES = 16_000_000
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -124,7 +127,7 @@ def sign(docs: DataFrame, *, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
 
 
 def similarity(x: np.ndarray, x_n: np.ndarray, y: np.ndarray, y_n: np.ndarray) -> float:
-    """The probability Jaccard index of two sorted lists of hashes with counts."""
+    """The probability Jaccard index of two sorted lists of hashes with counts, or the plain one if that is higher."""
     at = np.searchsorted(y, x)
     both = at < len(y)
     both[both] = y[at[both]] == x[both]
@@ -136,7 +139,7 @@ def similarity(x: np.ndarray, x_n: np.ndarray, y: np.ndarray, y_n: np.ndarray) -
     total = 0.0
     for r in np.unique(ratio):
         total += a[ratio == r].sum() / (only_x + only_y / r + np.maximum(a, b / r).sum())
-    return float(total)
+    return max(float(total), both.sum() / (len(x) + len(y) - both.sum()))
 
 
 def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
@@ -177,6 +180,53 @@ def _verify(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return pairs.join(second, "b").join(first, "a").mapInArrow(run, "a binary, b binary")
 
 
+def _cross(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between nodes of different roots, at least one of them ``apart``; nodes: node, root, apart.
+
+    The nodes that stand apart and all nodes are cut into blocks by bytes, and each block of the one meets
+    each of the other in a task of its own. There all similarities come from one index of the block's
+    shingles; only links leave the task, so a large group makes no rows of pairs.
+    """
+    full = written(nodes.join(sets, "node"), "cross")
+    weight = F.sum(F.octet_length("hashes")).cast("double")
+    all_bytes, apart_bytes = full.agg(F.coalesce(weight, F.lit(0.0)), F.coalesce(F.sum(F.when(F.col("apart"), F.octet_length("hashes"))).cast("double"), F.lit(0.0))).collect()[0]
+    across, down = int(apart_bytes // CROSS_BYTES) + 1, max(16, int(all_bytes // (4 * CROSS_BYTES)) + 1)
+    columns = ["node", "root", "hashes", "counts"]
+
+    def dealt(df: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
+        place = F.pmod(F.xxhash64("node"), F.lit(n)).cast("int")
+        return df.select(*columns, place.alias(own), F.explode(F.array(*[F.lit(i) for i in range(m)]) if m <= 64 else F.sequence(F.lit(0), F.lit(m - 1))).alias(other)).groupBy("x", "y")
+
+    def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(x) and len(y):
+            x_h, x_n = ([np.frombuffer(v, t) for v in x[c]] for c, t in (("hashes", np.uint64), ("counts", np.uint32)))
+            sizes, plain = np.array([len(h) for h in x_h]), np.array([n.max() == 1 for n in x_n])
+            names, _ = pd.factorize(pd.concat([x["root"], y["root"]]))
+            x_root, y_root = names[: len(x)], names[len(x) :]
+            owner, flat = np.repeat(np.arange(len(x)), sizes), np.concatenate(x_h)
+            order = np.argsort(flat, kind="stable")
+            owner, flat = owner[order], flat[order]
+            for j, (node, h, n) in enumerate(zip(y["node"], y["hashes"], y["counts"], strict=True)):
+                h, n = np.frombuffer(h, np.uint64), np.frombuffer(n, np.uint32)
+                low, high = np.searchsorted(flat, h), np.searchsorted(flat, h, "right")
+                common = np.zeros(len(x), np.int64)
+                for part in range(0, len(h), 1024):
+                    k = (high - low)[part : part + 1024]
+                    at = np.repeat(low[part : part + 1024] - np.cumsum(k) + k, k) + np.arange(k.sum())
+                    common += np.bincount(owner[at], minlength=len(x))
+                exact = plain & (n.max() == 1)
+                good = (common > 0) & (x_root != y_root[j])
+                good &= ~exact | (common >= (least - 1e-12) * (sizes + len(h) - common))
+                for i in np.flatnonzero(good):
+                    if exact[i] or similarity(x_h[i], x_n[i], h, n) >= least - 1e-12:
+                        found.append((x["node"].iloc[i], node))
+        return pd.DataFrame(found, columns=["a", "b"], dtype=object)
+
+    left, right = dealt(full.where("apart"), "x", across, "y", down), dealt(full, "y", down, "x", across)
+    return left.cogroup(right).applyInPandas(meet, "a binary, b binary")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root over undirected edges (a, b): the least node that each can reach.
 
@@ -207,9 +257,9 @@ def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY, bands: i
     Documents are in one class if a chain of pairs at ``similarity`` or more links them; class_id is
     the class's least doc_id. Copies (equal words but for case and blanks) are one node from the start, so a
     large group of copies costs one signature's buckets. In a bucket each node is compared to the
-    least one. What that links becomes one component, and only pairs of
-    different components that share a bucket remain to be compared; all of these are. So a large group of near copies
-    never meets all against all, and no link between components is lost.
+    least one. What that links becomes one component. In a bucket that still holds several components, the nodes outside
+    its largest one are compared to all others of such buckets, in blocks (see _cross). So a large group of near copies
+    never meets all against all, no pairs are written, and no link between nodes that share a bucket is lost.
 
     A null text is in a class of its own; texts without words are copies of each other; fewer than five words
     are one shingle. Repeated rows are copies, long texts are read whole, other columns are not read.
@@ -229,12 +279,10 @@ def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY, bands: i
     roots = components(linked)
 
     placed = members.select("code", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = placed.groupBy("code").agg(F.min("root").alias("_a"), F.max("root").alias("_z")).where("_a <> _z").select("code")
-    placed = placed.join(mixed, "code")
-    other = placed.select("code", F.col("node").alias("b"), F.col("root").alias("_root"))
-    rest = placed.withColumnRenamed("node", "a").join(other, "code").where((F.col("a") < F.col("b")) & (F.col("root") != F.col("_root"))).select("a", "b").distinct()
-    rest = written(rest.join(stars, ["a", "b"], "left_anti"), "rest")
-    roots = components(linked.union(_verify(rest, sets, similarity)))
+    counted = placed.groupBy("code", "root").agg(F.count(F.lit(1)).alias("_n"))
+    mixed = counted.groupBy("code").agg(F.max(F.struct("_n", "root"))["root"].alias("_main"), F.count(F.lit(1)).alias("_roots")).where("_roots > 1")
+    placed = written(placed.join(mixed, "code").select("node", "root", (F.col("root") != F.col("_main")).alias("apart")).groupBy("node", "root").agg(F.max("apart").alias("apart")), "mixed")
+    roots = components(linked.union(_cross(placed, sets, similarity)))
 
     whole = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = whole.groupBy("root").agg(F.min("least").alias("class_id"))
