@@ -54,7 +54,7 @@ def index(vectors: DataFrame, *, tables: int = TABLES, seed: int = 0) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = np.zeros((batch.num_rows, tables), np.int16 if tables else np.int16)
+            codes = np.zeros((batch.num_rows, tables), np.int16)
             for at, x in matrix(batch["vector"]):
                 x = unit(x)
                 for t in range(tables):

@@ -35,6 +35,10 @@ https://pills-discount.test/pharmacy/no-prescription
 http://bet-now-casino.test/poker
 https://download-crack-keygen.test/warez
 http://cheap-pills-online.test/en/2
+http://cheap-meds.example.net/en/1
+https://online-casino.example.org/fr/2.html
+http://www.free-viagra.example.com/de/3?page=2&ref=x
+https://m.pills-casino.example.net/es/4/
 http://www.best-cheap-pills.test/fr/3?utm_source=feed
 https://m.casino-pills.test/de/4
 https://weight-loss-miracle.test/diet-pills

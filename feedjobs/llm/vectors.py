@@ -86,7 +86,7 @@ class Best:
         self.kept[q] = ids[order], scores[order]
 
     def batch(self, kind: pa.DataType) -> pa.RecordBatch:
-        n = [len(x[0]) for x in self.kept]
+        n = np.array([len(x[0]) for x in self.kept], np.int64)
         ids = np.concatenate([x[0] for x in self.kept]) if self.kept else np.zeros(0, np.int64)
         scores = np.concatenate([x[1] for x in self.kept]) if self.kept else np.zeros(0)
         return pa.RecordBatch.from_arrays([pa.array(np.repeat(self.ids, n), pa.int64()), pa.array(ids, pa.int64()), pa.array(scores).cast(kind)], names=["query_id", "vec_id", "score"])
