@@ -7,6 +7,7 @@ from urllib.parse import parse_qsl, urlencode, urlsplit, urlunsplit
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Query keys that only track where a click came from.
 TRACKING = ["fbclid", "gclid", "msclkid", "yclid", "ref", "ref_src", "ref_url", "source", "mc_cid", "mc_eid", "_hsenc", "_hsmi"]
@@ -48,7 +49,7 @@ def _canonical(url: str | None) -> str | None:
     return urlunsplit((parts.scheme.lower(), parts.netloc.lower(), path, urlencode(kept), ""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def canonical_url_exact(url: pd.Series) -> pd.Series:
     """As canonical_url, also for malformed escapes and odd characters; a URL that cannot be split stays."""
     return url.map(_canonical, na_action="ignore")

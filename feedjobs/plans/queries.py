@@ -438,8 +438,8 @@ def _(spark, sf):
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
-    path = f"{sf}/events.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    schema = table(spark, sf, "events").schema
+    return spark.readStream.schema(schema).parquet(f"{sf}/event[s].parquet")  # a pattern, as a stream's path may not be a file
 
 
 def _run_stream(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState
+from pyspark.sql.types import IntegerType
 
 from feedjobs.functions.times import business_day
 from feedjobs.operators.dedup import dedup
@@ -80,7 +81,7 @@ def run_to_table(spark: SparkSession, source: DataFrame, *, mode: str, finish: C
 
     query = source.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    rows = spark.read.schema(source.schema.add("_batch", "int")).option("recursiveFileLookup", "true").parquet(f"{at}/out")
+    rows = spark.read.schema(source.schema.add("_batch", IntegerType())).option("recursiveFileLookup", "true").parquet(f"{at}/out")
     return finish(rows)
 
 
