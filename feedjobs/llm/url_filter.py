@@ -68,6 +68,18 @@ https://thehealth.test/articles/sleep
 https://open.source.test/projects/readme
 https://blog.engineering.test/en/950?page=2&ref=x
 http://www.council.test/planning/minutes
+https://blog.garden.example.net/en/8
+http://www.river.example.com/fr/9.html
+https://m.stone.example.org/es/10/
+http://bridge.example.net/de/11?page=2&ref=x
+https://www.window.example.com/en/12#top
+https://m.summer.example.net/fr/13
+http://www.letter.example.com/en/14?utm_source=feed
+https://thought.example.net/es/15/
+http://blog.other.example.com/de/16
+https://m.thing.example.net/en/17.html
+https://blog.station.example.net/fr/18
+http://three.example.com/en/19#top
 """.split()
 
 
