@@ -79,5 +79,39 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
+# The same rows by plain SQL: all pairs of the searches, the published loop of jump hashing, and windows over whole sources.
+
+_TOPK = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(max(list_inner_product(q.e, c.e)) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e) GROUP BY ALL),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank", vec_id, score FROM s)
+SELECT query_id, "rank", vec_id, score FROM r WHERE "rank" <= 10"""
+
+_MIXING = r"""
+WITH d AS (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+        substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|0'), 1, 16) AS key FROM documents),
+t AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (
+    SELECT *, CAST([5, 2, 1][CAST((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS DOUBLE) AS weight,
+        2.0::DOUBLE * source_size AS cap, 1.5::DOUBLE * sum(source_size) OVER () AS budget FROM t),
+l AS (
+    SELECT *, (budget - coalesce(sum(cap) OVER (ORDER BY cap / weight, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+        / sum(weight) OVER (ORDER BY cap / weight, source ASC NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+g AS (
+    SELECT source, source_size, least(cap, coalesce((SELECT arg_min(level, cap / weight) FROM l WHERE level <= cap / weight), cap / weight) * weight) AS target FROM l),
+p AS (
+    SELECT doc_id, source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d),
+e AS (
+    SELECT p.*, g.source_size, g.target, CASE WHEN g.source_size > 0 THEN floor(floor(target) / g.source_size) ELSE 0 END AS epochs
+    FROM p JOIN g ON p.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, source,
+    CAST(epochs * size + greatest(0, least(size, floor(target) - epochs * source_size - before)) AS BIGINT) AS taken FROM e"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_mixing": _MIXING, "op7_exact_topk": _TOPK}

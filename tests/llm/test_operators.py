@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from feedjobs.llm import language, licenses, quality, url_filter
+from feedjobs.llm import language, licenses, quality, queries, url_filter
 from feedjobs.llm.ann import nearest
 from feedjobs.llm.mixing import mix
 from feedjobs.llm.near_dup import keep_one, near_duplicates, shingles, signatures, similarity
@@ -235,6 +235,19 @@ def test_url_filter(spark):
     ]
 
 
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_sql_gives_the_same_rows(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    got = queries.queries()[name](spark, SF)
+    want = con.sql(queries.oracle_sql()[name])
+    assert sorted(got.columns) == sorted(want.columns)
+    assert Counter(tuple(r) for r in got.select(want.columns).collect()) == Counter(want.fetchall())
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
