@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedjobs.operators.lineage import cut
+
 SIGHTING = ["source", "source_handle", "url"]
 
 
@@ -73,16 +75,72 @@ def against_store(items: DataFrame, store: DataFrame) -> tuple[DataFrame, DataFr
     return first_per_id(won.select(items.columns)), noted.union(lost), rest
 
 
-def dedup(batch: DataFrame, store: DataFrame, *, lossless: bool = True, distinct_sightings: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(new items, sightings). The caller writes both; sightings are appended, and lists are built on read."""
-    fresh = unseen(batch, store)
-    wins, noted, rest = against_store(fresh, store)
-    winners = title_winners(rest)
-    accepted = rest.join(winners.select(F.col("winner.seq").alias("_w")), F.col("seq") == F.col("_w"), "left_semi")
-    sightings = noted.union(batch_sightings(rest, winners, lossless=lossless))
+def accepted_in_order(items: DataFrame) -> DataFrame:
+    """title_hash, id, tier, seq, is_stored of the items that a row-by-row merge accepts, also those it displaces later.
+
+    ``items`` carry stored_tier, null where their title is not stored. An item is passed over if its id was accepted before.
+    Else it is accepted if its tier is better than the stored row's, or, in a new title, than all before it. So a
+    decision rests on earlier items only, and repeating both rules over all items at once settles on the row-by-row
+    result: each round settles the next link of every chain of items that share an id or a title. Any number
+    of tiers and titles per link is exact. An item's repeats, and later items of its title and tier, cannot
+    change a decision; minima over them combine before the shuffle, so a hot title or id is a few rows.
+    """
+    rows = cut(items.groupBy("title_hash", "id", tier().alias("tier")).agg(F.min("seq").alias("seq"), F.first("stored_tier").alias("stored_tier")))
+    before = Window.partitionBy("title_hash").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)  # a row a tier
+    accepted, mark, last = None, None, ()
+    while mark != last:
+        live = rows if accepted is None else not_accepted_before(rows, accepted)
+        wins = live.where("tier < stored_tier").select("title_hash", "id", "tier", "seq", F.lit(True).alias("is_stored"))
+        firsts = live.where("stored_tier is null").groupBy("title_hash", "tier").agg(F.min("seq").alias("seq"), F.min_by("id", "seq").alias("id"))
+        best = firsts.withColumn("_best", F.min("tier").over(before)).where("_best is null or tier < _best")
+        accepted = cut(wins.union(best.select("title_hash", "id", "tier", "seq", F.lit(False).alias("is_stored"))))
+        mark, last = tuple(accepted.agg(F.count(F.lit(1)), F.sum(F.xxhash64("seq", "id").cast("decimal(38,0)"))).collect()[0]), mark
+    return accepted
+
+
+def not_accepted_before(rows: DataFrame, accepted: DataFrame) -> DataFrame:
+    """Rows whose id was not accepted at an earlier place."""
+    since = accepted.groupBy("id").agg(F.min("seq").alias("_since"))
+    return rows.join(since, "id", "left").where("_since is null or _since >= seq").drop("_since")
+
+
+def dedup_in_order(batch: DataFrame, store: DataFrame, *, lossless: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(new items, sightings) as a row-by-row merge in order of seq gives them, also where a link comes under several titles.
+
+    ``lossless``: a title's winner notes all items that were not passed over. Else what was noted on a displaced row is forgotten.
+    """
+    fresh = cut(unseen(batch, store).join(oldest_stored(store), "title_hash", "left"))
+    accepted = accepted_in_order(fresh.withColumn("stored_tier", F.col("stored.tier")))
+    place = F.row_number().over(Window.partitionBy("title_hash").orderBy(F.desc("seq")))  # a row a tier
+    ranked = accepted.where("not is_stored").withColumn("_place", place)
+    kept = accepted.where("is_stored").select("seq").union(ranked.where("_place = 1").select("seq"))
+    holders = ranked.groupBy("title_hash").agg(F.max("seq").alias("_seq"), F.max_by("id", "seq").alias("_id"), F.max(F.when(F.col("_place") == 2, F.col("seq"))).alias("_prior"))
+
+    live = not_accepted_before(fresh, accepted)
+    wins = tier() < F.col("stored.tier")
+    noted = live.where(wins).select(F.col("id").alias("winner_id"), "seq", *[F.col(f"stored.{c}").alias(c) for c in SIGHTING])
+    lost = live.where(~wins).select(F.col("stored.id").alias("winner_id"), "seq", *SIGHTING)
+    merged = live.where("stored is null").join(holders, "title_hash").where("id <> _id" if lossless else "seq > _seq or seq = _prior")
+    return fresh.join(kept, "seq", "left_semi").select(batch.columns), noted.union(lost).union(merged.select(F.col("_id").alias("winner_id"), "seq", *SIGHTING))
+
+
+def dedup(batch: DataFrame, store: DataFrame, *, lossless: bool = True, distinct_sightings: bool = True, exact: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(new items, sightings). The caller writes both; sightings are appended, and lists are built on read.
+
+    The default takes each title on its own, which is exact if each link has one title in the batch and there are
+    two tiers. ``exact`` follows the row-by-row merge in all cases (see dedup_in_order), at the price of a few rounds.
+    """
+    if exact:
+        new, sightings = dedup_in_order(batch, store, lossless=lossless)
+    else:
+        fresh = unseen(batch, store)
+        wins, noted, rest = against_store(fresh, store)
+        winners = title_winners(rest)
+        accepted = rest.join(winners.select(F.col("winner.seq").alias("_w")), F.col("seq") == F.col("_w"), "left_semi")
+        new, sightings = wins.unionByName(first_per_id(accepted)), noted.union(batch_sightings(rest, winners, lossless=lossless))
     if distinct_sightings:
         sightings = sightings.groupBy("winner_id", *SIGHTING).agg(F.min("seq").alias("seq")).select("winner_id", "seq", *SIGHTING)
-    return wins.unionByName(first_per_id(accepted)), sightings
+    return new, sightings
 
 
 def displaced_by(items: DataFrame) -> DataFrame:

@@ -267,6 +267,16 @@ def _(spark, sf):
     return D.dedup(v_batch(spark, sf), v_store(spark, sf))[1]
 
 
+@query("a4_exact_new_items", ORACLE["a4_new_items"])
+def _(spark, sf):
+    return D.dedup(v_batch(spark, sf), v_store(spark, sf), exact=True)[0].select("id", "seq")
+
+
+@query("a4_exact_sightings", ORACLE["a4_sightings"])
+def _(spark, sf):
+    return D.dedup(v_batch(spark, sf), v_store(spark, sf), exact=True)[1]
+
+
 @query("w3_displaced")
 def _(spark, sf):
     return D.displaced_by(v_items(spark, sf)).select("seq", "best_seq", F.coalesce("displaces", F.lit(False)).alias("displaces"))

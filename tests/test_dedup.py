@@ -46,3 +46,56 @@ def test_reference_rule_forgets(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     assert sorted(r.seq for r in batch_sightings(df, title_winners(df)).collect()) == [0, 1, 3]
     assert sorted(r.seq for r in batch_sightings(df, title_winners(df), lossless=False).collect()) == [0, 3]
+
+
+def merge(batch, stored):
+    """Row by row over (id, title, tier, seq) with stored {title: (id, tier)}: accepted seqs and (winner id, noted url) pairs."""
+    seen, holder, lists, known = set(), {}, {}, {i for i, _ in stored.values()}
+    won, noted = set(), []
+    for id_, title, tier, seq in batch:
+        if id_ in seen or id_ in known:
+            continue
+        if title in stored:
+            old, bar = stored[title]
+            if tier < bar:
+                won.add(seq)
+                seen.add(id_)
+                noted.append((id_, f"u-{old}"))
+            else:
+                noted.append((old, f"u-{seq}"))
+        elif title not in holder or tier < holder[title][0]:
+            lists[seq] = [f"u-{holder[title][1]}"] if title in holder else []
+            holder[title] = (tier, seq, id_)
+            seen.add(id_)
+        else:
+            lists[holder[title][1]].append(f"u-{seq}")
+    for _, seq, id_ in holder.values():
+        won.add(seq)
+        noted += [(id_, url) for url in lists[seq]]
+    return won, noted
+
+
+def test_exact_matches_a_sequential_merge(spark):
+    rng = random.Random(2)
+    batches, stored = [], {}
+    for b in range(150):  # links come under several titles, three tiers
+        for t in range(5):
+            if rng.random() < 0.3:
+                stored[f"{b}-t{t}"] = (f"{b}-s{t}", rng.choice((1, 2, 3)))
+        batches += [(f"{b}-{rng.choice(('i0', 'i1', 'i2', 'i3', 's0'))}", f"{b}-t{rng.randrange(5)}", rng.choice((1, 2, 3)), 1000 + 20 * b + i) for i in range(14)]
+    won, noted = merge(batches, stored)
+    store = spark.createDataFrame([(i, t, k, n, "x", "h", f"u-{i}") for n, (t, (i, k)) in enumerate(stored.items())], SCHEMA)
+    batch = spark.createDataFrame([(i, t, k, n, "x", "h", f"u-{n}") for i, t, k, n in batches], SCHEMA)
+    new, sightings = dedup(batch, store, lossless=False, distinct_sightings=False, exact=True)
+    assert new.columns == batch.columns and {r.seq for r in new.collect()} == won
+    assert sorted((r.winner_id, r.url) for r in sightings.collect()) == sorted(noted)
+    lossless = {(r.winner_id, r.url) for r in dedup(batch, store, exact=True)[1].collect()}
+    assert set(noted) <= lossless
+    assert dedup(batch.limit(0), store, exact=True)[0].count() == 0
+
+
+def test_exact_is_the_default_where_links_have_one_title(spark):
+    rng = random.Random(3)
+    rows = [(f"{t}-{rng.randrange(3)}", f"t{t}", rng.choice((1, 2, None)), i, "x", "h", f"u{i}") for i in range(300) for t in [rng.randrange(60)]]
+    batch, store = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([("a", "t1", 2, 0, "x", "h", "u-a"), ("b", "t2", 1, 1, "x", "h", "u-b")], SCHEMA)
+    assert {r.seq for r in dedup(batch, store)[0].collect()} == {r.seq for r in dedup(batch, store, exact=True)[0].collect()}
