@@ -26,6 +26,11 @@ def squeeze(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"(?U)\s+", " "), r"^ | $", "")
 
 
+def strip(text: Column) -> Column:
+    """No white space of any kind at the ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def normalize_title(title: Column, *, compose: bool = True) -> Column:
     """NFKC, lower case, everything but letters, digits and ``_`` a blank. ``compose=False`` skips NFKC, the one step in Python."""
     text = nfkc(title) if compose else title
@@ -64,12 +69,12 @@ def redact(text: Column) -> Column:
 
 
 def one_line(text: Column) -> Column:
-    return F.regexp_replace(F.replace(text, F.lit("\n"), F.lit(" ")), r"(?U)^\s+|\s+$", "")
+    return strip(F.replace(text, F.lit("\n"), F.lit(" ")))
 
 
 def parse_count(text: Column) -> Column:
     """``1,234`` or ``1.2k``; what is neither is 0."""
-    bare = F.replace(F.trim(text), F.lit(","), F.lit(""))
+    bare = F.replace(strip(text), F.lit(","), F.lit(""))
     thousands = F.regexp_replace(bare, "k$", "").try_cast("decimal(18,4)") * 1000
     return F.coalesce(F.when(bare.endswith("k"), thousands.try_cast("bigint")).otherwise(bare.try_cast("bigint")), F.lit(0).cast("bigint"))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedjobs.functions.text import excerpt, item_id, matches_any, shorten, title_hash
+from feedjobs.functions.text import excerpt, item_id, matches_any, shorten, strip, title_hash
 from feedjobs.functions.times import from_epoch, parse_time
 from feedjobs.functions.urls import canonical_url_exact
 
@@ -57,7 +57,7 @@ def _items(rows: DataFrame, *, source: str, title: Column, url: Column, posted:
         (language if language is not None else F.lit("en")).alias("language"), engagement.alias("engagement"), "pos",
     )
     if drop_empty:
-        made = made.where((F.trim("title") != "") & (F.trim("url") != ""))
+        made = made.where((F.col("title") != "") & (F.col("url") != ""))
     made = made.withColumn("canonical_url", canonical_url_exact(F.col("url")))
     return made.withColumn("id", item_id(F.col("canonical_url"))).withColumn("title_hash", title_hash(F.col("title")))
 
@@ -70,9 +70,9 @@ def hacker_news(rows: DataFrame, fetched: Column, keywords: list[str], *, tier:
 
 def reddit(rows: DataFrame, fetched: Column, subreddit: str, *, tier: int = 2) -> DataFrame:
     """A post on the site itself or an image links to its discussion. A payload without a time is 1970, one with null is now; a landed column cannot tell them apart, so both are now."""
-    page = F.concat(F.lit("https://www.reddit.com"), "permalink")
+    page = F.concat(F.lit("https://www.reddit.com"), F.coalesce("permalink", F.lit("")))
     url = F.when(F.coalesce("is_self", F.lit(False)) | (F.coalesce("post_hint", F.lit("")) == "image"), page).otherwise(F.coalesce(F.nullif("url", F.lit("")), page))
-    return _items(rows, source="reddit", title=F.col("title"), url=url, posted=F.coalesce(from_epoch(F.col("created_utc")), fetched), fetched=fetched, counts={"score": _n("score"), "comments": _n("num_comments")}, handle=F.lit(f"r/{subreddit}"), author=F.col("author"), text=F.substring(F.trim(F.coalesce("selftext", F.lit(""))), 1, 200), tier=tier)
+    return _items(rows, source="reddit", title=F.col("title"), url=url, posted=F.coalesce(from_epoch(F.col("created_utc")), fetched), fetched=fetched, counts={"score": _n("score"), "comments": _n("num_comments")}, handle=F.lit(f"r/{subreddit}"), author=F.col("author"), text=F.substring(strip(F.coalesce("selftext", F.lit(""))), 1, 200), tier=tier)
 
 
 def github_trending(rows: DataFrame, fetched: Column, language: str, keywords: list[str], *, tier: int = 2) -> DataFrame:
@@ -89,7 +89,7 @@ def trendshift(rows: DataFrame, fetched: Column, limit: int, keywords: list[str]
 
 def product_hunt(rows: DataFrame, fetched: Column, *, tier: int = 2) -> DataFrame:
     title = F.regexp_replace(F.concat_ws(" — ", F.coalesce("name", F.lit("")), F.coalesce("tagline", F.lit(""))), "^[ —]+|[ —]+$", "")
-    return _items(rows, source="product_hunt", title=title, url=F.col("url"), posted=parse_time(F.col("createdAt"), fetched), fetched=fetched, counts={"votes": _n("votesCount"), "comments": _n("commentsCount")}, author=F.col("user.name"), text=F.substring("tagline", 1, 200), tier=tier, drop_empty=False)
+    return _items(rows, source="product_hunt", title=title, url=F.col("url"), posted=parse_time(F.col("createdAt"), fetched), fetched=fetched, counts={"votes": _n("votesCount"), "comments": _n("commentsCount")}, handle=F.lit("daily_top_ai"), author=F.col("user.name"), text=F.substring("tagline", 1, 200), tier=tier, drop_empty=False)
 
 
 def hugging_face(rows: DataFrame, fetched: Column, category: str, *, tier: int = 2) -> DataFrame:
@@ -103,24 +103,25 @@ def rss(rows: DataFrame, fetched: Column, source_id: str, *, limit: int = 50, so
     rows = rows.orderBy("pos").limit(limit)
     text = F.col("summary") if source == "wewe_rss" else F.coalesce(F.nullif("summary", F.lit("")), "description")
     times = [F.coalesce("pubDate", "published"), *([F.col("updated")] if source == "rss" else [])]
-    return _items(rows, source=source, title=F.trim("title"), url=F.trim("link"), posted=parse_time(F.coalesce(*times), fetched), fetched=fetched, counts={}, handle=F.lit(source_id), author=F.col("author"), text=excerpt(F.coalesce(text, F.lit(""))), language=F.lit(language), tier=tier)
+    return _items(rows, source=source, title=strip(F.col("title")), url=strip(F.col("link")), posted=parse_time(F.coalesce(*times), fetched), fetched=fetched, counts={}, handle=F.lit(source_id), author=F.col("author"), text=excerpt(F.coalesce(text, F.lit(""))), language=F.lit(language), tier=tier)
 
 
 def x(rows: DataFrame, fetched: Column, *, tier: int = 2, language: str = "en") -> DataFrame:
-    rows = rows.where("type = 'tweet'")
+    rows = rows.where("type = 'tweet'").withColumn("text", strip(F.col("text")))
     user = F.coalesce("author.userName", F.lit(""))
     return _items(rows, source="x", title=shorten(F.col("text"), 120), url=F.col("url"), posted=parse_time(F.col("createdAt"), fetched), fetched=fetched, counts={"likes": _n("likeCount"), "comments": _n("replyCount"), "retweets": _n("retweetCount")}, handle=F.when(user != "", F.concat(F.lit("@"), user)), author=F.coalesce(F.nullif("author.name", F.lit("")), user), text=F.substring("text", 1, 200), language=F.lit(language), tier=tier)
 
 
-def threads(rows: DataFrame, fetched: Column, mode: str, query: str, *, tier: int = 2) -> DataFrame:
+def threads(rows: DataFrame, fetched: Column, mode: str, query: str, *, language: str = "en", tier: int = 2) -> DataFrame:
     """Texts may be empty here. The mode ``user`` has no results."""
-    rows = rows.where(F.lit(mode != "user"))
-    url = F.coalesce(F.nullif("permalink", F.lit("")), F.concat(F.lit("https://www.threads.net/@"), "username", F.lit("/post/"), "id"))
-    return _items(rows, source="threads", title=shorten(F.coalesce("text", F.lit("")), 120), url=url, posted=parse_time(F.col("timestamp"), fetched), fetched=fetched, counts={"likes": _n("like_count"), "comments": _n("replies_count")}, handle=F.lit(f"{mode}:{query}"), author=F.col("username"), text=F.substring("text", 1, 200), tier=tier, drop_empty=False)
+    rows = rows.where(F.lit(mode != "user")).withColumn("text", strip(F.col("text")))
+    url = F.coalesce(F.nullif("permalink", F.lit("")), F.concat(F.lit("https://www.threads.net/post/"), "id"))
+    return _items(rows, source="threads", title=shorten(F.coalesce("text", F.lit("")), 120), url=url, posted=parse_time(F.col("timestamp"), fetched), fetched=fetched, counts={"likes": _n("like_count"), "comments": _n("replies_count")}, handle=F.lit(f"{mode}:{query}"), author=F.col("username"), text=F.substring("text", 1, 200), language=F.lit(language), tier=tier, drop_empty=False)
 
 
 def threads_apify(rows: DataFrame, fetched: Column, *, language: str = "en", tier: int = 2) -> DataFrame:
-    return _items(rows, source="threads", title=shorten(F.col("text"), 120), url=F.col("url"), posted=F.coalesce(from_epoch(F.col("created_at")), fetched), fetched=fetched, counts={"likes": _n("like_count"), "comments": _n("reply_count"), "reposts": _n("repost_count")}, handle=F.concat(F.lit("@"), "author"), author=F.coalesce(F.nullif("author_name", F.lit("")), "author"), text=F.substring("text", 1, 200), language=F.coalesce(F.nullif("lang", F.lit("")), F.lit(language)), tier=tier)
+    rows = rows.withColumn("text", strip(F.col("text"))).withColumn("author", F.nullif("author", F.lit("")))
+    return _items(rows, source="threads", title=shorten(F.col("text"), 120), url=F.col("url"), posted=F.coalesce(from_epoch(F.nullif("created_at", F.lit(0).cast("long"))), fetched), fetched=fetched, counts={"likes": _n("like_count"), "comments": _n("reply_count"), "reposts": _n("repost_count")}, handle=F.concat(F.lit("@"), "author"), author=F.coalesce(F.nullif("author_name", F.lit("")), "author"), text=F.substring("text", 1, 200), language=F.coalesce(F.nullif("lang", F.lit("")), F.lit(language)), tier=tier)
 
 
 def arrival(parts: list[DataFrame]) -> DataFrame:

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from feedjobs.functions.times import business_day
 from feedjobs.operators.dedup import dedup
@@ -23,12 +23,15 @@ def scratch(spark: SparkSession) -> str:
 
 
 def ingest(items: DataFrame, store_path: str, sightings_path: str, checkpoint: str):
-    """Exact dedup of every micro-batch against all history. A batch's number names its folder, so a replay overwrites it."""
+    """Exact dedup of every micro-batch against all history.
+
+    A batch's number names its folder. A replay after a failure reads the folders before its own only and overwrites its own.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         if number:
-            store = spark.read.option("recursiveFileLookup", "true").schema(batch.schema).parquet(f"{store_path}/*")
+            store = spark.read.schema(StructType([*batch.schema.fields, StructField("batch", LongType())])).parquet(store_path).where(F.col("batch") < number).drop("batch")
         else:
             store = spark.createDataFrame([], batch.schema)
         new, sightings = dedup(batch, store)

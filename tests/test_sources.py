@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from feedjobs.operators import watch
 from feedjobs.sources import html, normalize, store
 
 NOW = "2026-05-01 00:00:00"
@@ -61,3 +62,81 @@ def test_report(spark, tmp_path):
         store.write_report(lines, str(tmp_path / "out"))
     parts = sorted((tmp_path / "out" / "day=2026-05-01").glob("part-*"))
     assert "".join(p.read_text() for p in parts) == "a\nb\n"
+
+
+def test_reddit(spark, tmp_path):
+    posts = [
+        {"title": "Link", "url": "https://e.com/a", "permalink": "/r/s/1", "selftext": " \n body\t", "author": "a", "is_self": False, "created_utc": 1777156099.0, "score": 5, "num_comments": 2},
+        {"title": "Self", "url": "https://e.com/b", "permalink": "/r/s/2", "is_self": True, "created_utc": 1777156099.0},
+        {"title": "Image", "url": "https://i.e.com/c", "permalink": "/r/s/3", "post_hint": "image"},
+        {"title": "No link", "url": None, "permalink": "/r/s/4"},
+        {"title": "", "url": "https://e.com/e", "permalink": "/r/s/5"},
+    ]
+    (tmp_path / "r.json").write_text(json.dumps({"data": {"children": [{"data": p} for p in posts]}}))
+    got = {r.title: r for r in normalize.reddit(normalize.landed(spark, str(tmp_path / "r.json"), "reddit"), now(), "s", tier=1).collect()}
+    assert {t: r.url.removeprefix("https://www.reddit.com") for t, r in got.items()} == {"Link": "https://e.com/a", "Self": "/r/s/2", "Image": "/r/s/3", "No link": "/r/s/4"}
+    first = got["Link"]
+    assert (first.excerpt, first.source_handle, first.source_tier, first.engagement, str(first.posted_at)) == ("body", "r/s", 1, {"score": 5, "comments": 2}, "2026-04-25 22:28:19")
+    assert str(got["Image"].posted_at) == NOW
+
+
+def test_product_hunt(spark, tmp_path):
+    nodes = [{"name": "Tool", "tagline": "Does it", "url": "https://p.com/t?ref=x", "createdAt": "2026-04-25T22:28:19Z", "votesCount": 234, "commentsCount": 3, "user": {"name": "U"}}, {"name": "Bare", "url": "https://p.com/b"}]
+    (tmp_path / "p.json").write_text(json.dumps({"data": {"posts": {"edges": [{"node": n} for n in nodes]}}}))
+    got = normalize.product_hunt(normalize.landed(spark, str(tmp_path / "p.json"), "product_hunt"), now()).orderBy("pos").collect()
+    assert [(r.title, r.canonical_url, r.source_handle, r.author, r.excerpt) for r in got] == [("Tool — Does it", "https://p.com/t", "daily_top_ai", "U", "Does it"), ("Bare", "https://p.com/b", "daily_top_ai", "", "")]
+    assert got[0].engagement == {"votes": 234, "comments": 3} and str(got[0].posted_at) == "2026-04-25 22:28:19" and str(got[1].posted_at) == NOW
+
+
+def test_hugging_face(spark, tmp_path):
+    (tmp_path / "m.json").write_text(json.dumps([{"id": "org/model", "pipeline_tag": "text", "likes": 3, "downloads": 9, "lastModified": "2026-04-25T22:28:19.000Z"}, {"modelId": "bare"}, {"likes": 1}]))
+    got = normalize.hugging_face(normalize.landed(spark, str(tmp_path / "m.json"), "huggingface"), now(), "models").orderBy("title").collect()
+    assert [(r.title, r.url, r.author, r.excerpt, r.engagement, str(r.posted_at)) for r in got] == [
+        ("bare", "https://huggingface.co/bare", "", "", {"likes": 0, "downloads": 0}, NOW),
+        ("org/model", "https://huggingface.co/org/model", "org", "text", {"likes": 3, "downloads": 9}, "2026-04-25 22:28:19"),
+    ]
+
+
+def test_threads(spark, tmp_path):
+    (tmp_path / "t.json").write_text(json.dumps({"data": [{"id": "7", "text": " \n" + "a" * 121 + " ", "username": "u", "timestamp": "2026-04-25T22:28:19+0000", "like_count": 88}, {"id": "8", "text": "", "permalink": "https://t.net/8"}]}))
+    rows = normalize.landed(spark, str(tmp_path / "t.json"), "threads")
+    got = normalize.threads(rows, now(), "keyword", "ai", language="zh-TW").orderBy("pos").collect()
+    assert [(r.title, r.url, r.author, r.language) for r in got] == [("a" * 120 + "…", "https://www.threads.net/post/7", "u", "zh-TW"), ("", "https://t.net/8", "", "zh-TW")]
+    assert got[0].engagement == {"likes": 88, "comments": 0} and got[0].source_handle == "keyword:ai" and str(got[0].posted_at) == "2026-04-25 22:28:19"
+    assert normalize.threads(rows, now(), "user", "ai").count() == 0
+
+
+def test_threads_apify(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([{"text": " hi ", "url": "https://t.net/1", "author": "u", "author_name": "U", "lang": "fr", "created_at": 1777156099, "like_count": 1, "reply_count": 2, "repost_count": 3}, {"text": "x", "url": "https://t.net/2", "author": "", "created_at": 0}, {"text": "\t", "url": "https://t.net/3"}, {"text": "y", "url": ""}]))
+    got = normalize.threads_apify(normalize.landed(spark, str(tmp_path / "a.json"), "threads_apify"), now(), language="zh-CN").orderBy("url").collect()
+    assert [(r.title, r.source_handle, r.author, r.language, str(r.posted_at)) for r in got] == [("hi", "@u", "U", "fr", "2026-04-25 22:28:19"), ("x", "", "", "zh-CN", NOW)]
+    assert got[0].engagement == {"likes": 1, "comments": 2, "reposts": 3}
+
+
+def test_repos(spark):
+    trending = spark.createDataFrame([("o/r", "An AI tool", 1234, 0), ("o/s", None, None, 1)], "slug string, description string, stars long, pos long")
+    got = normalize.github_trending(trending, now(), "", ["ai"]).collect()
+    assert [(r.title, r.url, r.author, r.source_handle, r.engagement) for r in got] == [("o/r", "https://github.com/o/r", "o", "trending:all", {"stars": 1234})]
+    ranked = spark.createDataFrame([(2, 7.9, "o/ai"), (1, 9.5, "o/x"), (1, 9.5, "o/x"), (3, 1.0, "o/ai3")], "rank int, score double, full_name string")
+    got = normalize.trendshift(ranked, now(), 2, ["ai"]).collect()
+    assert [(r.title, r.source_handle, r.engagement) for r in got] == [("o/ai", "rising:rank-2", {"rank": 2, "score": 7})]
+
+
+def test_feeds(spark, tmp_path):
+    (tmp_path / "a.xml").write_text('<feed><entry><title>\n One\n</title><link>https://e.com/1</link><summary>s</summary><updated>2026-04-25T22:28:19Z</updated></entry></feed>')
+    (tmp_path / "w.xml").write_text("<rss><channel><item><title>W</title><link>https://e.com/w</link><description>only this</description><pubDate>Sat, 25 Apr 2026 22:28:19 GMT</pubDate></item></channel></rss>")
+    atom, item = normalize.feed(spark, str(tmp_path / "a.xml"), atom=True), normalize.feed(spark, str(tmp_path / "w.xml"))
+    assert [(r.title, r.excerpt, str(r.posted_at)) for r in normalize.rss(atom, now(), "f").collect()] == [("One", "s", "2026-04-25 22:28:19")]
+    assert [str(r.posted_at) for r in normalize.rss(atom, now(), "f", source="rsshub").collect()] == [NOW]
+    got = normalize.rss(item, now(), "acc", source="wewe_rss", language="zh-CN").collect()
+    assert [(r.excerpt, r.language, r.source, r.source_handle, str(r.posted_at)) for r in got] == [("", "zh-CN", "wewe_rss", "acc", "2026-04-25 22:28:19")]
+
+
+def test_arrival_and_repo_documents(spark):
+    parts = [spark.createDataFrame([(n, i) for i in range(2)], "n string, pos long") for n in "ab"]
+    assert [r.n + str(r.pos) for r in normalize.arrival(parts).orderBy("seq").collect()] == ["a0", "a1", "b0", "b1"]
+    items = spark.createDataFrame([("https://github.com/o/r",), ("https://github.com/o/r/issues",), ("https://github.com/o/s",)], "canonical_url string")
+    repos = spark.createDataFrame([("https://github.com/o/r", "x" * 2000, 5)], "url string, readme string, stars long")
+    docs = spark.createDataFrame([("https://github.com/o/r", n, n * 300) for n in ("B.md", "A.md", "C.md")], "url string, name string, body string")
+    got = {r.canonical_url[-1]: r for r in watch.enrich_repos(items, repos, docs, ["A.md", "B.md"]).collect()}
+    assert set(got) == {"r", "s"} and len(got["r"].readme) == 1500 and got["r"].positioning == ("A.md" * 300)[:500] and got["s"].readme is None
