@@ -3,7 +3,7 @@
 Similarity is the probability Jaccard index of the counts of five-word shingles:
 J(x, y) = sum over i of 1 / sum over j of max(x_j / x_i, y_j / y_i), over shingles i of both.
 Where all counts are 1 it is the plain Jaccard index. A pair that reaches the limit by the plain index of the
-distinct shingles is linked too, where the signatures bring it up.
+distinct shingles is linked too: texts that repeat shingles have signatures of both kinds.
 """
 
 from __future__ import annotations
@@ -64,9 +64,12 @@ def signatures(texts: list[list[str]], registers: int) -> np.ndarray:
     with probability J. All texts run at once: in each round a shingle that is still in time makes its next arrival,
     and one that comes later than every register of its text stops for good.
     """
-    doc, h, count = shingles(texts)
-    first = np.full(len(texts) * registers, np.inf)
-    kept = np.zeros(len(texts) * registers, np.uint64)
+    return arrivals(*shingles(texts), len(texts), registers)
+
+
+def arrivals(doc: np.ndarray, h: np.ndarray, count: np.ndarray, texts: int, registers: int) -> np.ndarray:
+    first = np.full(texts * registers, np.inf)
+    kept = np.zeros(texts * registers, np.uint64)
     at, live, n = np.zeros(len(h)), np.arange(len(h)), 0
     while len(live):
         n += 1
@@ -76,13 +79,13 @@ def signatures(texts: list[list[str]], registers: int) -> np.ndarray:
         np.minimum.at(first, slot, at[live])
         won = at[live] == first[slot]
         kept[slot[won]] = h[live[won]]
-        live = live[at[live] < first.reshape(len(texts), registers).max(1)[doc[live]]]
-    return kept.reshape(len(texts), registers)
+        live = live[at[live] < first.reshape(texts, registers).max(1)[doc[live]]]
+    return kept.reshape(texts, registers)
 
 
 def band_codes(signature: np.ndarray, bands: int) -> np.ndarray:
     """A 64-bit code of each band, which depends on the band's number."""
-    parts = signature.reshape(len(signature), bands, -1)
+    parts = signature.reshape(len(signature), bands, signature.shape[1] // bands)
     code = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64) * _A, parts.shape[:2]).copy()
     for i in range(parts.shape[2]):
         code = _mix(code * _A + parts[:, :, i])
@@ -109,7 +112,11 @@ def _blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
 
 
 def sign(docs: DataFrame, *, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, node (a key of the words in lower case; null for a null text) and codes (null without words)."""
+    """doc_id, node (a key of the words in lower case; null for a null text) and codes (null without words).
+
+    A text that repeats shingles has codes of its distinct shingles too. One without repeats has the same codes for both, so a
+    pair that is similar by either index meets.
+    """
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("node", T.BinaryType()), T.StructField("codes", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,11 +124,15 @@ def sign(docs: DataFrame, *, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
             texts = batch["text"].to_pylist()
             for low, high in _blocks([t or "" for t in texts]):
                 split = [_words(t or "") for t in texts[low:high]]
-                codes = band_codes(signatures(split, bands * rows), bands)
-                some = np.array([bool(w) for w in split])
-                bounds = pa.array(np.r_[0, np.cumsum(some * bands)], pa.int32(), mask=np.r_[~some, False])
+                doc, h, count = shingles(split)
+                some, again = np.array([bool(w) for w in split]), np.unique(doc[count > 1])
+                mine = np.isin(doc, again)
+                both = [arrivals(doc, h, count, len(split), bands * rows)[some], arrivals(np.searchsorted(again, doc[mine]), h[mine], np.ones(mine.sum()), len(again), bands * rows)]
+                owner = np.r_[np.flatnonzero(some), again]
+                codes = band_codes(np.concatenate(both)[np.argsort(owner, kind="stable")], bands)
+                bounds = pa.array(np.r_[0, np.cumsum(np.bincount(owner, minlength=len(split)) * bands)], pa.int32(), mask=np.r_[~some, False])
                 nodes = [None if t is None else _key(w) for t, w in zip(texts[low:high], split, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(low, high - low), pa.array(nodes, pa.binary()), pa.ListArray.from_arrays(bounds, pa.array(codes[some].ravel()))], names=schema.names)
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(low, high - low), pa.array(nodes, pa.binary()), pa.ListArray.from_arrays(bounds, pa.array(codes.ravel()))], names=schema.names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
@@ -268,7 +279,7 @@ def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY, bands: i
     signed = written(sign(docs, bands=bands, rows=rows), "signed")
     nodes = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.max("codes").alias("codes"))
     nodes = written(nodes, "nodes")
-    buckets = nodes.where("codes is not null").select("node", F.explode("codes").alias("code"))
+    buckets = nodes.where("codes is not null").select("node", F.explode(F.array_distinct("codes")).alias("code"))
     shared = buckets.groupBy("code").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).where("pivot <> _last").drop("_last")
     members = written(buckets.join(shared, "code"), "members")
     stars = written(members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "stars")

@@ -148,10 +148,12 @@ def test_near_duplicates(spark, odd, docs):
     near = [" ".join([*base[:k], "changed", *base[k + 1 :]]) for k in (3, 50, 99, 150)]
     chain = " ".join([*base[:3], "changed", *base[4:40], "x", *base[41:100], "y", *base[101:]])
     half = " ".join([*base[:100], *[f"v{i}" for i in range(100)]])
-    extra = spark.createDataFrame([(10_000 + i, t) for i, t in enumerate([" ".join(base), *near, chain, half])], "doc_id long, text string")
+    line = " ".join(f"r{i}" for i in range(12))
+    once, often = (" ".join([*[f"b{i}" for i in range(150)], *[line] * n]) for n in (1, 40))  # 0.97 by distinct shingles, 0.29 by counts
+    extra = spark.createDataFrame([(10_000 + i, t) for i, t in enumerate([" ".join(base), *near, chain, half, once, often])], "doc_id long, text string")
     table = docs.select("doc_id", "text").union(extra)
     classes = {r.doc_id: r.class_id for r in near_duplicates(table).collect()}
-    assert {classes[10_000 + i] for i in range(6)} == {10_000} and classes[10_006] == 10_006
+    assert {classes[10_000 + i] for i in range(6)} == {10_000} and classes[10_006] == 10_006 and classes[10_008] == 10_007
     rows = {r.doc_id: Counter(zip(*[(r.text.lower().split() + [""] * 5)[i : max(5, len(r.text.split())) - 4 + i] for i in range(5)])) for r in table.collect() if r.text.split()}
     parent = {d: d for d in rows}
 
