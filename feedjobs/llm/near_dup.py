@@ -27,6 +27,8 @@ BANDS, ROWS = 30, 6
 BLOCK = 3_000_000
 #: Bytes of shingles that stand apart and meet one task's share of the others.
 CROSS_BYTES = 16_000_000
+#: Nodes of a pivot whose links are checked pair by pair; more meet in blocks.
+FEW = 16
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -192,21 +194,30 @@ def _verify(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 
 def _cross(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """Links (a, b) between nodes of different roots, at least one of them ``apart``; nodes: node, root, apart.
+    """Links (a, b) between nodes of one pivot and different roots, at least one of them ``apart``.
 
-    The nodes that stand apart and all nodes are cut into blocks by bytes, and each block of the one meets
-    each of the other in a task of its own. There all similarities come from one index of the block's
-    shingles; only links leave the task, so a large group makes no rows of pairs.
+    nodes: pivot, node, root, apart. Pivots of few nodes give pairs, FEW a node at most. For the others, the nodes that stand
+    apart and all nodes of the pivot are cut into blocks by bytes, and each block of the one meets each of the other in a
+    task of its own. There all similarities come from one index of the block's shingles; only links leave the task,
+    so a large group makes no rows of pairs. Nodes of different pivots never meet, so the work grows with the buckets and not with
+    the square of the corpus.
     """
-    full = written(nodes.join(sets, "node"), "cross")
-    weight = F.sum(F.octet_length("hashes")).cast("double")
-    all_bytes, apart_bytes = full.agg(F.coalesce(weight, F.lit(0.0)), F.coalesce(F.sum(F.when(F.col("apart"), F.octet_length("hashes"))).cast("double"), F.lit(0.0))).collect()[0]
-    across, down = int(apart_bytes // CROSS_BYTES) + 1, max(16, int(all_bytes // (4 * CROSS_BYTES)) + 1)
-    columns = ["node", "root", "hashes", "counts"]
-
-    def dealt(df: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
-        place = F.pmod(F.xxhash64("node"), F.lit(n)).cast("int")
-        return df.select(*columns, place.alias(own), F.explode(F.array(*[F.lit(i) for i in range(m)]) if m <= 64 else F.sequence(F.lit(0), F.lit(m - 1))).alias(other)).groupBy("x", "y")
+    counted = nodes.groupBy("pivot").agg(F.count(F.lit(1)).alias("_n"))
+    few = nodes.join(counted.where(F.col("_n") <= FEW).select("pivot"), "pivot")
+    other = few.select("pivot", F.col("node").alias("_node"), F.col("root").alias("_root"))
+    pairs = few.where("apart").join(other, "pivot").where("root <> _root").select(F.greatest("node", "_node").alias("a"), F.least("node", "_node").alias("b")).distinct()
+
+    many = nodes.join(counted.where(F.col("_n") > FEW).select("pivot"), "pivot")
+    full = written(many.join(sets, "node").withColumn("_bytes", F.octet_length("hashes").cast("long")), "cross")
+    blocks = full.groupBy("pivot").agg(F.sum("_bytes").alias("_all"), F.coalesce(F.sum(F.when(F.col("apart"), F.col("_bytes"))), F.lit(0)).alias("_apart"))
+    across = F.floor(F.col("_apart") / CROSS_BYTES) + 1
+    down = F.greatest(F.least(F.lit(16), F.floor(F.col("_all") / (CROSS_BYTES // 16)) + 1), F.floor(F.col("_all") / (4 * CROSS_BYTES)) + 1)
+    cut = blocks.select("pivot", across.cast("int").alias("_across"), down.cast("int").alias("_down"))
+    columns = ["pivot", "node", "root", "hashes", "counts"]
+
+    def dealt(df: DataFrame, own: str, n: str, other: str, m: str):
+        place = F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+        return df.join(cut, "pivot").select(*[F.col(c).alias(c) for c in columns], place.alias(own), F.explode(F.sequence(F.lit(0), F.col(m) - 1)).alias(other)).groupBy("pivot", "x", "y")
 
     def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -234,8 +245,8 @@ def _cross(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
                         found.append((x["node"].iloc[i], node))
         return pd.DataFrame(found, columns=["a", "b"], dtype=object)
 
-    left, right = dealt(full.where("apart"), "x", across, "y", down), dealt(full, "y", down, "x", across)
-    return left.cogroup(right).applyInPandas(meet, "a binary, b binary")
+    left, right = dealt(full.where("apart"), "x", "_across", "y", "_down"), dealt(full, "y", "_down", "x", "_across")
+    return _verify(pairs, sets, least).union(left.cogroup(right).applyInPandas(meet, "a binary, b binary"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -269,8 +280,9 @@ def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY, bands: i
     the class's least doc_id. Copies (equal words but for case and blanks) are one node from the start, so a
     large group of copies costs one signature's buckets. In a bucket each node is compared to the
     least one. What that links becomes one component. In a bucket that still holds several components, the nodes outside
-    its largest one are compared to all others of such buckets, in blocks (see _cross). So a large group of near copies
-    never meets all against all, no pairs are written, and no link between nodes that share a bucket is lost.
+    its largest one are compared to the bucket's others; buckets with the same least node are one group for that, which is
+    cut into blocks if it is large (see _cross). So a large group of near copies never meets all against all, and no
+    link between nodes that share a bucket is lost.
 
     A null text is in a class of its own; texts without words are copies of each other; fewer than five words
     are one shingle. Repeated rows are copies, long texts are read whole, other columns are not read.
@@ -289,10 +301,11 @@ def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY, bands: i
     linked = written(_verify(stars, sets, similarity), "linked")
     roots = components(linked)
 
-    placed = members.select("code", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = members.select("code", "pivot", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     counted = placed.groupBy("code", "root").agg(F.count(F.lit(1)).alias("_n"))
     mixed = counted.groupBy("code").agg(F.max(F.struct("_n", "root"))["root"].alias("_main"), F.count(F.lit(1)).alias("_roots")).where("_roots > 1")
-    placed = written(placed.join(mixed, "code").select("node", "root", (F.col("root") != F.col("_main")).alias("apart")).groupBy("node", "root").agg(F.max("apart").alias("apart")), "mixed")
+    placed = placed.join(mixed, "code").select("pivot", "node", "root", (F.col("root") != F.col("_main")).alias("apart"))
+    placed = written(placed.groupBy("pivot", "node", "root").agg(F.max("apart").alias("apart")), "mixed")
     roots = components(linked.union(_cross(placed, sets, similarity)))
 
     whole = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
