@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,8 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 30, 6
 #: Characters whose signatures are made at once (a longer text stands alone).
 BLOCK = 3_000_000
+#: Arrivals that are drawn at once, if fewer shingles than that are still in time.
+DRAWS = 1 << 15
 #: Bytes of shingles that stand apart and meet one task's share of the others.
 CROSS_BYTES = 16_000_000
 #: Nodes of a pivot whose links are checked pair by pair; more meet in blocks.
@@ -45,14 +48,15 @@ def shingles(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     flat = [w for words in texts for w in (words if len(words) >= WORDS or not words else [*words, *[""] * (WORDS - len(words))])]
     if not flat:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    word = pd.util.hash_array(np.array(flat, object))
+    word = np.fromiter(map(xxhash.xxh3_64_intdigest, flat), np.uint64, len(flat))
     h = word[: len(word) - WORDS + 1].copy()
     for i in range(1, WORDS):
         h = _mix(h * _A + word[i : len(word) - WORDS + 1 + i])
     doc = np.repeat(np.arange(len(texts)), sizes)
     start = np.flatnonzero(doc[: len(h)] == doc[WORDS - 1 :])
     doc, h = doc[start], h[start]
-    order = np.lexsort((h, doc))
+    order = np.argsort(h)
+    order = order[np.argsort(doc[order].astype(np.uint16) if len(texts) <= 1 << 16 else doc[order], kind="stable")]  # short integers sort by radix
     doc, h = doc[order], h[order]
     new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])])
     return doc[new], h[new], np.diff(np.r_[new, len(h)])
@@ -63,7 +67,7 @@ def signatures(texts: list[list[str]], registers: int) -> np.ndarray:
 
     A shingle with count w arrives at a Poisson process of rate w, and each arrival falls on a random
     register. A register keeps the element that arrived first, so two texts agree on it
-    with probability J. All texts run at once: in each round a shingle that is still in time makes its next arrival,
+    with probability J. All texts run at once: in each round a shingle that is still in time makes its next arrivals,
     and one that comes later than every register of its text stops for good.
     """
     return arrivals(*shingles(texts), len(texts), registers)
@@ -74,13 +78,19 @@ def arrivals(doc: np.ndarray, h: np.ndarray, count: np.ndarray, texts: int, regi
     kept = np.zeros(texts * registers, np.uint64)
     at, live, n = np.zeros(len(h)), np.arange(len(h)), 0
     while len(live):
-        n += 1
-        draw = _mix(h[live] + np.uint64(n * int(_A) % (1 << 64)))
-        at[live] -= np.log(((draw >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)) / count[live]
-        slot = doc[live] * registers + (_mix(draw ^ _C) % np.uint64(registers)).astype(np.int64)
-        np.minimum.at(first, slot, at[live])
-        won = at[live] == first[slot]
-        kept[slot[won]] = h[live[won]]
+        many = min(max(1, DRAWS // len(live)), registers)  # a shingle's next arrivals; late ones change nothing
+        turn = np.arange(n + 1, n + many + 1, dtype=np.uint64) * _A
+        n += many
+        draw = _mix(h[live] + turn[:, None])
+        gap = np.log(((draw >> np.uint64(24)).astype(np.float64) + 0.5) / (1 << 40)) / -count[live]
+        time = np.cumsum(np.concatenate([at[live][None], gap]), axis=0)[1:]
+        at[live] = time[-1]
+        slot = (doc[live] * registers) + ((draw & np.uint64(0xFFFFFF)) * np.uint64(registers) >> np.uint64(24)).astype(np.int64)
+        soon = time < first[slot]
+        owner, time, slot = np.broadcast_to(h[live], soon.shape)[soon], time[soon], slot[soon]
+        np.minimum.at(first, slot, time)
+        won = time == first[slot]
+        kept[slot[won]] = owner[won]
         live = live[at[live] < first.reshape(texts, registers).max(1)[doc[live]]]
     return kept.reshape(texts, registers)
 
