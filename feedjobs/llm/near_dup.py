@@ -218,10 +218,13 @@ def _cross(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     pairs = few.where("apart").join(other, "pivot").where("root <> _root").select(F.greatest("node", "_node").alias("a"), F.least("node", "_node").alias("b")).distinct()
 
     many = nodes.join(counted.where(F.col("_n") > FEW).select("pivot"), "pivot")
+    least_pivot = many.groupBy("node").agg(F.min("pivot").alias("_g"))
+    merged = many.join(least_pivot, "node").groupBy("pivot").agg(F.min("_g").alias("_g"))  # pivots of one group share nodes: they meet once
+    many = many.join(merged, "pivot").groupBy(F.col("_g").alias("pivot"), "node", "root").agg(F.max("apart").alias("apart"))
     full = written(many.join(sets, "node").withColumn("_bytes", F.octet_length("hashes").cast("long")), "cross")
     blocks = full.groupBy("pivot").agg(F.sum("_bytes").alias("_all"), F.coalesce(F.sum(F.when(F.col("apart"), F.col("_bytes"))), F.lit(0)).alias("_apart"))
     across = F.floor(F.col("_apart") / CROSS_BYTES) + 1
-    down = F.greatest(F.least(F.lit(16), F.floor(F.col("_all") / (CROSS_BYTES // 16)) + 1), F.floor(F.col("_all") / (4 * CROSS_BYTES)) + 1)
+    down = F.greatest(F.least(F.lit(32), F.floor(F.col("_all") / (CROSS_BYTES // 32)) + 1), F.floor(F.col("_all") / (4 * CROSS_BYTES)) + 1)
     cut = blocks.select("pivot", across.cast("int").alias("_across"), down.cast("int").alias("_down"))
     columns = ["pivot", "node", "root", "hashes", "counts"]
 
@@ -236,22 +239,27 @@ def _cross(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
             sizes, plain = np.array([len(h) for h in x_h]), np.array([n.max() == 1 for n in x_n])
             names, _ = pd.factorize(pd.concat([x["root"], y["root"]]))
             x_root, y_root = names[: len(x)], names[len(x) :]
-            owner, flat = np.repeat(np.arange(len(x)), sizes), np.concatenate(x_h)
+            owner, flat, mass = np.repeat(np.arange(len(x)), sizes), np.concatenate(x_h), np.concatenate(x_n)
             order = np.argsort(flat, kind="stable")
-            owner, flat = owner[order], flat[order]
+            owner, flat, mass = owner[order], flat[order], mass[order].astype(np.float64)
+            x_mass = np.array([n.sum() for n in x_n], np.float64)
             for j, (node, h, n) in enumerate(zip(y["node"], y["hashes"], y["counts"], strict=True)):
                 h, n = np.frombuffer(h, np.uint64), np.frombuffer(n, np.uint32)
                 low, high = np.searchsorted(flat, h), np.searchsorted(flat, h, "right")
-                common = np.zeros(len(x), np.int64)
+                common, of_x, of_y = np.zeros(len(x), np.int64), np.zeros(len(x)), np.zeros(len(x))
+                exact = plain & (n.max() == 1)
                 for part in range(0, len(h), 1024):
                     k = (high - low)[part : part + 1024]
                     at = np.repeat(low[part : part + 1024] - np.cumsum(k) + k, k) + np.arange(k.sum())
                     common += np.bincount(owner[at], minlength=len(x))
-                exact = plain & (n.max() == 1)
-                good = (common > 0) & (x_root != y_root[j])
-                good &= ~exact | (common >= (least - 1e-12) * (sizes + len(h) - common))
-                for i in np.flatnonzero(good):
-                    if exact[i] or similarity(x_h[i], x_n[i], h, n) >= least - 1e-12:
+                    if not exact.all():
+                        of_x += np.bincount(owner[at], mass[at], len(x))
+                        of_y += np.bincount(owner[at], np.repeat(n[part : part + 1024], k), len(x))
+                alike = common >= (least - 1e-12) * (sizes + len(h) - common)
+                # no probability Jaccard index is above the share of either text that both have
+                maybe = ~exact & (np.minimum(of_x / x_mass, of_y / n.sum()) >= least - 1e-9)
+                for i in np.flatnonzero((common > 0) & (x_root != y_root[j]) & (alike | maybe)):
+                    if alike[i] or similarity(x_h[i], x_n[i], h, n) >= least - 1e-12:
                         found.append((x["node"].iloc[i], node))
         return pd.DataFrame(found, columns=["a", "b"], dtype=object)
 
