@@ -262,3 +262,26 @@ def test_pipeline(spark):
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.select("doc_id").distinct().collect()}
     assert corpus_pipeline.run(spark, SF).count() == pieces.count()
+
+
+def exact_nearest(vectors, q, k=10):
+    far = np.sqrt(((vectors - vectors[q]) ** 2).sum(1))
+    return [int(i) for i in np.lexsort((np.arange(len(far)), far)) if i != q][:k]
+
+
+@pytest.mark.parametrize("kind", ["few", "opposite", "wide", "lengths"])
+def test_nearest_is_full_and_near_at_any_width(spark, kind):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size={"few": (6, 64), "opposite": (405, 64), "wide": (1000, 256), "lengths": (1000, 64)}[kind])
+    if kind == "opposite":  # a group of 5 and all others on the other side
+        x = x * 0.01 + np.where(np.arange(len(x)) < 5, 1, -1)[:, None]
+    if kind == "lengths":
+        x *= np.exp(rng.normal(size=(len(x), 1)))
+    asked = range(0, len(x), 1 if kind == "few" else 100) if kind != "opposite" else range(5)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in nearest(table, table.where(F.col("vec_id").isin(*asked))).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    want = {q: exact_nearest(x, q) for q in asked}
+    assert all(len(found[q]) == len(want[q]) for q in asked)
+    assert sum(len(found[q] & set(want[q])) for q in asked) >= 0.9 * sum(map(len, want.values()))
