@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
@@ -20,6 +21,7 @@ TEMPLATES = [
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0'),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
     ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
@@ -28,6 +30,8 @@ TEMPLATES = [
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("MIT", "Released under the MIT License."),
     ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.'),
@@ -36,7 +40,6 @@ TEMPLATES = [
 ]
 
 _WORD = re.compile(r"[^\W_]+")
-_BLANK_LINE = re.compile(r"\n\s*\n")
 
 
 def words(text: str) -> list[str]:
@@ -61,6 +64,16 @@ class Scanner:
         made = sorted(((bigrams(words(t)), name) for name, t in templates), key=lambda x: x[0].total())
         self.made, self.sizes, self.least = made, [b.total() for b, _ in made], least
         self.ratio = (2 - least) / least
+        self.ids: dict[tuple[str, str], int] = {}
+        self.holders: list[list[tuple[int, int]]] = []  # of each bigram: templates and how often each has it
+        self.counts: list[dict[int, int]] = [{} for _ in made]
+        for t, (own, _) in enumerate(made):
+            for b, n in own.items():
+                i = self.ids.setdefault(b, len(self.ids))
+                self.holders += [[]] * (len(self.ids) - len(self.holders))
+                self.holders[i] = [*self.holders[i], (t, n)]
+                self.counts[t][i] = n
+        self.alone = {b[0] for b in self.ids if not b[1]}
 
     def candidates(self, n: int) -> range:
         return range(bisect_left(self.sizes, n / self.ratio - 1e-9), bisect_right(self.sizes, n * self.ratio + 1e-9))
@@ -78,31 +91,80 @@ class Scanner:
         score, name = min(scores)
         return (-score, name) if -score >= self.least else None
 
-
-def units(text: str) -> Iterator[tuple[int, str]]:
-    """(number of its first line, text): the lines, the paragraphs of several lines, and the whole if it is several paragraphs."""
-    line = 0
-    paragraphs = _BLANK_LINE.split(text)
-    at = 0
-    for p in paragraphs:
-        line = text.count("\n", 0, at) if len(paragraphs) > 1 else 0
-        lines = p.split("\n")
-        for i, x in enumerate(lines):
-            yield line + i, x
-        if len(lines) > 1:
-            yield line, p
-        at = text.find(p, at) + len(p)
-        gap = _BLANK_LINE.match(text, at)
-        at = gap.end() if gap else at
-    if len(paragraphs) > 1:
-        yield 0, text
+    def windows(self, found: list[str]) -> list[tuple[int, float, int, int, str]]:
+        """(gain, dice, first bigram, last bigram, licence): from each place the most similar run of words, for each template it reaches.
+
+        A run that begins or ends with a bigram the template lacks, or has had often enough, is less similar than without it. So
+        runs begin and end at bigrams of the template, and only where enough of them lie within its largest size.
+        The gain is what is in common less what either has alone.
+        """
+        hits = [(i, b) for i, b in enumerate(map(self.ids.get, zip(found, found[1:], strict=False))) if b is not None]
+        if self.alone:
+            hits = sorted(hits + [(i, self.ids[w, ""]) for i, w in enumerate(found) if w in self.alone])
+        common: Counter = Counter()
+        for b, n in Counter(b for _, b in hits).items():
+            for t, most in self.holders[b]:
+                common[t] += min(n, most)
+        result = []
+        for t, n_common in common.items():
+            size, own, name = self.sizes[t], self.counts[t], self.made[t][1]
+            least, longest = max(1, math.ceil(size / self.ratio - 1e-9)), int(size * self.ratio + 1e-9)
+            if n_common < least:
+                continue
+            spots = [(i, b) for i, b in hits if b in own]
+            for s in range(len(spots) - least + 1):
+                first = spots[s][0]
+                if spots[s + least - 1][0] - first >= longest:
+                    continue
+                had, c, top = {}, 0, None
+                for e in range(s, len(spots)):
+                    at, b = spots[e]
+                    if at - first >= longest:
+                        break
+                    had[b] = had.get(b, 0) + 1
+                    if had[b] <= own[b]:
+                        c += 1
+                        width = at - first + 1
+                        score = 2 * c / (width + size)
+                        if score >= self.least and (top is None or score > top[1]):
+                            top = 3 * c - width - size, score, first, at, name
+                if top:
+                    result.append(top)
+        return result
+
+    def licenses(self, found: list[str]) -> dict[str, tuple[float, int]]:
+        """Of each licence the best match: minus its Dice coefficient, first bigram.
+
+        Where runs of different licences overlap, the one with the higher gain counts: a licence that goes on with further
+        conditions is not also the shorter one.
+        """
+        best: dict[str, tuple[float, int]] = {}
+        starts: list[int] = []
+        kept: list[tuple[int, str]] = []
+        for _, score, first, last, name in sorted(self.windows(found), key=lambda x: (-x[0], x[2], x[4])):
+            i = end = bisect_right(starts, last)
+            while i and kept[i - 1][0] >= first:
+                i -= 1
+            if any(other != name for _, other in kept[i:end]):
+                continue
+            if i == end:
+                starts.insert(i, first)
+                kept.insert(i, (last, name))
+            best[name] = min(best.get(name, (0.0, 0)), (-score, first))
+        return best
+
+
+def lines(text: str, places: set[int]) -> dict[int, int]:
+    """The line, from 0, of each of these words."""
+    text = text.lower()
+    return {i: text.count("\n", 0, m.start()) for i, m in enumerate(_WORD.finditer(text)) if i in places}
 
 
 def scan(docs: DataFrame, *, templates: list[tuple[str, str]] | None = None, least: float = LEAST) -> DataFrame:
     """doc_id, license, dice, line: the best match of each licence in each document that has one.
 
-    Every line, paragraph and the whole text are compared. ``line`` counts from 0 and is where the match begins; among
-    equally similar matches the first counts. Null and empty texts match nothing; a repeated row gives its rows again; very long
+    Every run of words of the whole text is compared to the templates, across lines and paragraphs. ``line`` counts from 0 and is
+    where the match begins; among equally similar matches the first counts. Null and empty texts match nothing; a repeated row gives its rows again; very long
     texts are read whole. The templates are a parameter of fixed size.
     """
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("license", T.StringType()), T.StructField("dice", T.DoubleType()), T.StructField("line", T.IntegerType())])
@@ -112,12 +174,9 @@ def scan(docs: DataFrame, *, templates: list[tuple[str, str]] | None = None, lea
         for batch in batches:
             rows: list[tuple] = []
             for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                best: dict[str, tuple[float, int]] = {}
-                for line, part in units(text or ""):
-                    if found := scanner.best(part):
-                        score, name = found
-                        best[name] = min(best.get(name, (0.0, 0)), (-score, line))
-                rows += [(doc, name, -score, line) for name, (score, line) in sorted(best.items())]
+                if best := scanner.licenses(words(text or "")):
+                    line = lines(text, {first for _, first in best.values()})
+                    rows += [(doc, name, -score, line[first]) for name, (score, first) in sorted(best.items())]
             columns = list(zip(*rows, strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], batch.schema.field("doc_id").type), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.float64()), pa.array(columns[3], pa.int32())], names=schema.names)
 

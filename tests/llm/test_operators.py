@@ -285,3 +285,38 @@ def test_nearest_is_full_and_near_at_any_width(spark, kind):
     want = {q: exact_nearest(x, q) for q in asked}
     assert all(len(found[q]) == len(want[q]) for q in asked)
     assert sum(len(found[q] & set(want[q])) for q in asked) >= 0.9 * sum(map(len, want.values()))
+
+
+def test_license_passages_within_other_text():
+    scanner, by = licenses.Scanner(licenses.TEMPLATES, 0.8), {}
+    for name, text in licenses.TEMPLATES:
+        by.setdefault(name, []).append(text)
+
+    def found(text):
+        return {name: (round(-score, 6), first) for name, (score, first) in scanner.licenses(licenses.words(text)).items()}
+
+    rest = ' THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.'
+    assert found("This page is part of the site. Released under the MIT License. See the footer for more.") == {"MIT": (1.0, 7)}
+    assert found("Copyright 2020 by some one. " + by["MIT"][1] + rest) == {"MIT": (1.0, 5)}
+    spaced = by["BSD-2-Clause"][0].replace("Redistributions", "\n\n* Redistributions")
+    assert found("Before it.\n\n" + spaced + "\n\nAnd it goes on." + rest) == {"BSD-2-Clause": (1.0, 2)}
+    assert found("x " + by["BSD-3-Clause"][1].replace("the copyright holder", "Some Company") + rest).keys() == {"BSD-3-Clause"}
+    assert found(by["LGPL-3.0"][1].replace("\n", " ")).keys() == {"LGPL-3.0"}
+    assert found("word " * 500 + by["ISC"][0] + " and " + by["CC0-1.0"][0]).keys() == {"ISC", "CC0-1.0"}
+
+
+def test_license_windows_match_all_runs():
+    templates = [("A", "a b c d a b"), ("B", "b c e"), ("C", "z")]
+    scanner, rng = licenses.Scanner(templates, 0.8), np.random.default_rng(5)
+    for _ in range(100):
+        text = [str(w) for w in rng.choice(list("abcdez"), 14)]
+        got = {}
+        for _, score, _, _, name in scanner.windows(text):
+            got[name] = max(got.get(name, 0), score)
+        want = {}
+        for name, t in templates:
+            own = licenses.bigrams(t.split())
+            best = max(licenses.dice(licenses.bigrams(text[i:j]), own) for i in range(14) for j in range(i + 1, 15))
+            if best >= 0.8:
+                want[name] = best
+        assert got == want
