@@ -124,11 +124,18 @@ def dedup_in_order(batch: DataFrame, store: DataFrame, *, lossless: bool = True)
     return fresh.join(kept, "seq", "left_semi").select(batch.columns), noted.union(lost).union(merged.select(F.col("_id").alias("winner_id"), "seq", *SIGHTING))
 
 
-def dedup(batch: DataFrame, store: DataFrame, *, lossless: bool = True, distinct_sightings: bool = True, exact: bool = False) -> tuple[DataFrame, DataFrame]:
+def winners_in_order(items: DataFrame) -> DataFrame:
+    """The items that a row-by-row merge into an empty store keeps. Only narrow columns go through the rounds."""
+    narrow = items.select("id", "title_hash", "source_tier", "seq", *SIGHTING)
+    kept = dedup_in_order(narrow, narrow.limit(0))[0].select("seq")
+    return items.join(kept, "seq", "left_semi").select(items.columns)
+
+
+def dedup(batch: DataFrame, store: DataFrame, *, lossless: bool = True, distinct_sightings: bool = True, exact: bool = True) -> tuple[DataFrame, DataFrame]:
     """(new items, sightings). The caller writes both; sightings are appended, and lists are built on read.
 
-    The default takes each title on its own, which is exact if each link has one title in the batch and there are
-    two tiers. ``exact`` follows the row-by-row merge in all cases (see dedup_in_order), at the price of a few rounds.
+    ``exact`` follows the row-by-row merge in all cases (see dedup_in_order), at the price of a few rounds. Without it each title
+    is taken on its own, which gives the same only if each link has one title in the batch and there are two tiers.
     """
     if exact:
         new, sightings = dedup_in_order(batch, store, lossless=lossless)

@@ -352,9 +352,7 @@ def _(spark, sf):
 
 @query("digest_flagship", "SELECT day, section, id, rank FROM (SELECT *, row_number() OVER (PARTITION BY day, section ORDER BY source_tier, total DESC, posted_at DESC, id) AS rank FROM (SELECT v.* FROM v_items v JOIN winners w ON v.seq = w.seq QUALIFY row_number() OVER (PARTITION BY v.id ORDER BY v.seq) = 1) u) t WHERE rank <= 10", _A1)
 def _(spark, sf):
-    items = v_items(spark, sf)
-    won = items.join(D.title_winners(items).select(F.col("winner.seq").alias("_w")), F.col("seq") == F.col("_w"), "left_semi")
-    return G.ranked(D.first_per_id(won), 10).select("day", "section", "id", "rank")
+    return G.ranked(D.winners_in_order(v_items(spark, sf)), 10).select("day", "section", "id", "rank")
 
 
 @query("w2_top_per_source", "SELECT source_handle, seq, n FROM (SELECT *, row_number() OVER (PARTITION BY source_handle ORDER BY posted_at DESC, seq) AS n FROM v_items) t WHERE n <= 5", ITEMS_SQL)

@@ -1,6 +1,6 @@
 import random
 
-from feedjobs.operators.dedup import batch_sightings, dedup, title_winners
+from feedjobs.operators.dedup import batch_sightings, dedup, title_winners, winners_in_order
 
 SCHEMA = "id string, title_hash string, source_tier int, seq long, source string, source_handle string, url string"
 
@@ -99,3 +99,12 @@ def test_exact_is_the_default_where_links_have_one_title(spark):
     rows = [(f"{t}-{rng.randrange(3)}", f"t{t}", rng.choice((1, 2, None)), i, "x", "h", f"u{i}") for i in range(300) for t in [rng.randrange(60)]]
     batch, store = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([("a", "t1", 2, 0, "x", "h", "u-a"), ("b", "t2", 1, 1, "x", "h", "u-b")], SCHEMA)
     assert {r.seq for r in dedup(batch, store)[0].collect()} == {r.seq for r in dedup(batch, store, exact=True)[0].collect()}
+
+
+def test_no_item_is_lost_where_a_link_has_two_titles(spark):
+    rows = [("l1", "t1", 2, 0, "x", "h", "u0"), ("l1", "t2", 2, 1, "x", "h", "u1"), ("l2", "t2", 2, 2, "x", "h", "u2")]
+    batch = spark.createDataFrame(rows, SCHEMA)
+    new, sightings = dedup(batch, batch.limit(0))
+    assert {(r.id, r.seq) for r in new.collect()} == {("l1", 0), ("l2", 2)} and sightings.count() == 0
+    won = winners_in_order(batch)
+    assert won.columns == batch.columns and {(r.id, r.seq) for r in won.collect()} == {("l1", 0), ("l2", 2)}

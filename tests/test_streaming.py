@@ -40,3 +40,10 @@ def test_bounded_dedup(spark, tmp_path):
     rows.select("id", F.col("ts").cast("timestamp").alias("fetched_at")).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("id string, fetched_at timestamp").parquet(str(tmp_path / "in"))
     assert sorted(r.id for r in jobs.run_to_table(spark, jobs.bounded_dedup(stream), mode="append").collect()) == ["a", "b"]
+
+
+def test_ingest_keeps_a_link_whose_title_came_under_a_known_link(spark, tmp_path):
+    landed, store, noted, marks = (str(tmp_path / n) for n in ("landed", "store", "noted", "marks"))
+    land(spark, landed, [item("l1", "t1", 2, 0), item("l1", "t2", 2, 1), item("l2", "t2", 2, 2)])
+    jobs.ingest(spark.readStream.schema(SCHEMA).parquet(landed), store, noted, marks).awaitTermination()
+    assert sorted(r.seq for r in spark.read.parquet(store).collect()) == [0, 2]
