@@ -165,21 +165,35 @@ def similarity(x: np.ndarray, x_n: np.ndarray, y: np.ndarray, y_n: np.ndarray) -
     return max(float(total), both.sum() / (len(x) + len(y) - both.sum()))
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """The rows with _node, the key of their text's words as in sign()."""
+    schema = T.StructType([*docs.schema.fields, T.StructField("_node", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = [None if t is None else _key(_words(t)) for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.binary())], names=schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
 def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """node, hashes, counts of the distinct texts in ``needed`` (doc_id, node)."""
-    rows = docs.select("doc_id", "text").join(needed, "doc_id").select("node", "text")
+    """node, hashes, counts of the distinct texts in ``needed`` (least, node).
+
+    Rows are joined by the key of their text, as an id may be null or have several texts; with the id, so that of a node's copies only those of its least id are read.
+    """
+    rows = keyed(docs.select("doc_id", "text"))
+    rows = rows.join(needed, (F.col("_node") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("least"))).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, texts = batch["node"].to_pylist(), batch["text"].to_pylist()
-            for low, high in _blocks([t or "" for t in texts]):
-                split = [_words(t or "") for t in texts[low:high]]
-                mine = [i for i, w in enumerate(split) if _key(w) == nodes[low + i]]  # an id may have several texts
-                doc, h, n = shingles([split[i] for i in mine])
-                ends = np.searchsorted(doc, np.arange(len(mine) + 1))
+            texts = batch["text"].to_pylist()
+            for low, high in _blocks(texts):
+                doc, h, n = shingles([_words(t) for t in texts[low:high]])
+                ends = np.searchsorted(doc, np.arange(high - low + 1))
                 hashes = [h[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 counts = [n[a:b].astype(np.uint32).tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array([nodes[low + i] for i in mine], pa.binary()), pa.array(hashes, pa.binary()), pa.array(counts, pa.binary())], names=["node", "hashes", "counts"])
+                yield pa.RecordBatch.from_arrays([batch["node"].slice(low, high - low), pa.array(hashes, pa.binary()), pa.array(counts, pa.binary())], names=["node", "hashes", "counts"])
 
     found = rows.mapInArrow(run, "node binary, hashes binary, counts binary")
     return found.groupBy("node").agg(F.first("hashes").alias("hashes"), F.first("counts").alias("counts"))
@@ -292,7 +306,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, class_id, class_size: one row a document.
+    """doc_id, class_id, class_size, node, head: one row a document.
 
     Documents are in one class if a chain of pairs at ``similarity`` or more links them; class_id is
     the class's least doc_id. Copies (equal words but for case and blanks) are one node from the start, so a
@@ -302,6 +316,10 @@ def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY, bands: i
     cut into blocks if it is large (see _cross). So a large group of near copies never meets all against all, and no
     link between nodes that share a bucket is lost.
 
+    ``node`` is the key of the text's words and ``head`` tells the rows that stand for their class: those of its least id (null if it has no other) and
+    of one text. Rows are told apart by text, not by id: texts without an id and several texts under one id are as many nodes, in the classes that
+    their own texts give. Different classes may then have the same class_id, each with a class_size of its own.
+
     A null text is in a class of its own; texts without words are copies of each other; fewer than five words
     are one shingle. Repeated rows are copies, long texts are read whole, other columns are not read.
     An empty table gives no rows.
@@ -314,7 +332,7 @@ def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY, bands: i
     members = written(buckets.join(shared, "code"), "members")
     stars = written(members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "stars")
 
-    needed = members.select("node").distinct().join(nodes, "node").select(F.col("least").alias("doc_id"), "node")
+    needed = members.select("node").distinct().join(nodes, "node").select("least", "node")
     sets = written(_sets(docs, needed), "sets")
     linked = written(_verify(stars, sets, similarity), "linked")
     roots = components(linked)
@@ -327,17 +345,29 @@ def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY, bands: i
     roots = components(linked.union(_cross(placed, sets, similarity)))
 
     whole = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = whole.groupBy("root").agg(F.min("least").alias("class_id"))
-    known = whole.join(named, "root").select(F.col("node").alias("_node"), "class_id")
-    found = signed.select("doc_id", "node").join(known, F.col("node") == F.col("_node"), "left").select("doc_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.col("node").isNull().alias("_alone"))
-    sizes = found.where("not _alone").groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
-    return found.join(sizes.withColumnRenamed("class_id", "_c"), F.col("class_id").eqNullSafe(F.col("_c")) & ~F.col("_alone"), "left").select("doc_id", "class_id", F.coalesce("class_size", F.lit(1)).alias("class_size"))
+    counted = signed.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("_rows"))
+    named = whole.join(counted, "node").groupBy("root").agg(F.min(F.struct(F.isnull("least").alias("_none"), F.col("least"), F.col("node"))).alias("_head"), F.sum("_rows").alias("class_size"))
+    known = whole.join(named, "root").select(F.col("node").alias("_node"), F.col("_head.least").alias("class_id"), F.col("_head.node").alias("_first"), "class_size")
+    alone = F.col("node").isNull()
+    found = signed.select("doc_id", "node").join(known, F.col("node") == F.col("_node"), "left")
+    head = alone | ((F.col("node") == F.col("_first")) & F.col("doc_id").eqNullSafe(F.col("class_id")))
+    return found.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"), "node", head.alias("head"))
 
 
 def keep_one(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The documents whose id names their class, each once, with all their columns."""
-    heads = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_class_rows"))
-    heads = heads.select(F.col("doc_id").alias("_class_head"), "_class_rows")
-    kept = docs.join(heads, F.col("doc_id").eqNullSafe(F.col("_class_head")))
-    once, again = kept.where("_class_rows = 1"), kept.where("_class_rows > 1").dropDuplicates(["doc_id"])
-    return once.select(docs.columns).unionByName(again.select(docs.columns))
+    """One document of each class, with all its columns: one of its head rows (see near_duplicates).
+
+    An id that has one row names its document. Rows without an id, or of an id with several rows, are told apart by their text. Null texts
+    stay, once an id; those without an id all stay.
+    """
+    ids = classes.where("doc_id is not null").groupBy(F.col("doc_id").alias("_class_head")).agg(F.count(F.lit(1)).alias("_class_rows"), F.max("head").alias("_class_any"))
+    kept = docs.join(ids.where("_class_any"), F.col("doc_id") == F.col("_class_head"))
+    once = kept.where("_class_rows = 1").select(docs.columns)
+    again = keyed(kept.where("_class_rows > 1").select(docs.columns).unionByName(docs.where("doc_id is null")))
+    heads = classes.where("head and node is not null").select(F.col("doc_id").alias("_class_head"), F.col("node").alias("_class_node")).distinct()
+    texts = again.join(heads, (F.col("_node") == F.col("_class_node")) & F.col("doc_id").eqNullSafe(F.col("_class_head"))).dropDuplicates(["doc_id", "_node"])
+    nulls = again.where("_node is null")
+    parts = [texts, nulls.where("doc_id is not null").dropDuplicates(["doc_id"]), nulls.where("doc_id is null")]
+    for part in parts:
+        once = once.unionByName(part.select(docs.columns))
+    return once

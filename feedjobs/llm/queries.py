@@ -34,7 +34,7 @@ def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

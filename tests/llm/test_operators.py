@@ -320,3 +320,16 @@ def test_license_windows_match_all_runs():
             if best >= 0.8:
                 want[name] = best
         assert got == want
+
+
+def test_documents_without_an_id_or_with_a_shared_one_are_kept(spark):
+    base = [[f"{c}{i}" for i in range(200)] for c in "abcde"]
+    near = [" ".join([*b[:100], "changed", *b[101:]]) for b in base]
+    a, b, c, d, e = map(" ".join, base)
+    rows = [(None, a), (None, near[0]), (None, b), (None, b), (1, near[1]), (7, c), (7, d), (7, d), (8, near[3]), (None, None), (None, None), (7, None), (9, e)]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, n int")
+    classes = near_duplicates(docs)
+    sizes = Counter((r.doc_id, r.class_id, r.class_size) for r in classes.collect())
+    assert sizes == Counter({(None, None, 2): 2, (None, 1, 3): 2, (1, 1, 3): 1, (7, 7, 1): 2, (7, 7, 3): 2, (8, 7, 3): 1, (None, None, 1): 2, (9, 9, 1): 1})
+    kept = {r.n for r in keep_one(docs, classes).collect()}
+    assert len(kept & {0, 1}) == 1 and len(kept & {6, 7}) == 1 and kept - {0, 1, 6, 7} == {4, 5, 9, 10, 11, 12}
