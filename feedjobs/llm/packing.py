@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import functools
-import re
-import unicodedata
 import zlib
+from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,61 +18,109 @@ from pyspark.sql import types as T
 
 from feedjobs.llm.shared import written
 
-#: Most queues. With more sources than that, sources share queues by a hash of their name.
-MAX_QUEUES = 1024
-#: Words that a worker remembers; at this number it forgets all and starts anew.
-MAX_WORDS = 400_000
+#: Queues that the sources too small for one of their own share, by a hash of their name.
+SHARED_QUEUES = 128
+#: Pieces and rare words that a worker remembers in each of two generations; one that is met again stays.
+MAX_WORDS = 500_000
+#: Bytes of text that are split into words at once (a longer text stands alone), and words whose ids are put out at once.
+BLOCK, WORDS = 32_000_000, 500_000
+#: Most rows of the table of partition totals that are broadcast; a larger table is joined by a shuffle.
+BROADCAST_ROWS = 200_000
 #: Fractional bits of a quantum.
 BITS = 16
 
-# How this vocabulary's file splits lower-case text, and its special tokens.
-PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-SPECIAL = ("<|startoftext|>", "<|endoftext|>")
+# How this vocabulary's file splits lower-case text; what its special tokens begin with.
+PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\pL]+|[\pN]|[^\s\pL\pN]+"
+SPECIAL = "<\\|"
+#: Separators to Arrow that the vocabulary's file does not take for white space.
+NO_SPACE = "[\x1c-\x1f]"
+#: Words that go through the whole tokenizer: letters that Arrow may compose or lower in another way, and special tokens.
+RARE = f"[^!-~¡-ɏ]|İ|{SPECIAL}"
 
 
-class WordIds(dict):
-    """From a word (a stretch between blanks) to its ids as little-endian bytes.
+def _gather(flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` that begin at ``first``, one after another."""
+    ends = np.cumsum(size)
+    return flat[np.repeat(first - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
 
-    The vocabulary's normalizer and splitter never look across white space, so a text's ids are
-    its words' ids in turn. Words of common letters go to the BPE model alone; all
-    others go through the whole tokenizer.
+
+class WordIds:
+    """Ids of whole texts, by way of their distinct words and the distinct pieces of these.
+
+    The vocabulary's normalizer and splitter never look across white space, so a text's ids are its words' ids in
+    turn, and a word's are those of the pieces that the vocabulary's pattern cuts it into. Arrow splits a block of texts and
+    finds its distinct words and pieces; only the pieces are looked up here, one by one, and the BPE model is asked
+    for those that are not known. Rare words go through the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        self.piece = regex.compile(PIECE)
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]  # byte-level BPE writes these bytes as themselves
         hidden = [b for b in range(256) if b not in visible]
         self.shown = {b: chr(256 + i) for i, b in enumerate(hidden)}
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= MAX_WORDS:
-            self.clear()
-        found = self[word] = np.array(self._ids(word), "<u4").tobytes()
-        return found
-
-    def _ids(self, word: str) -> list[int]:
-        if word.isascii():
-            low = word.lower()
-            pieces = [low] if low.isalpha() else self.piece.findall(low)
-            if low.isprintable():
-                return [t.id for p in pieces for t in self.model.tokenize(p)]
-        elif max(word) < "ɐ" and "İ" not in word and unicodedata.is_normalized("NFC", word):
-            shown = [p.encode().decode("latin-1").translate(self.shown) for p in self.piece.findall(word.lower())]
-            return [t.id for p in shown for t in self.model.tokenize(p)]
-        return self.whole.encode(word, add_special_tokens=False).ids
-
-    def of_text(self, text: str) -> bytes:
-        if _ODD.search(text):  # separators on which Python and the tokenizer differ, and special tokens
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, text.split()))
+    def _of_piece(self, piece: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.shown))]
 
+    def _of_word(self, word: str) -> list[int]:
+        return self.whole.encode(word, add_special_tokens=False).ids
 
-_ODD = re.compile("[\x1c-\x1f]|" + "|".join(map(re.escape, SPECIAL)))
+    def _known(self, words: pa.Array, make: Callable[[str], list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of these words or pieces, and where each one's begin and how many they are."""
+        names = words.to_numpy(zero_copy_only=False)
+        found = list(map(self.new.get, names))
+        for i in [i for i, f in enumerate(found) if f is None]:
+            name = names[i]
+            found[i] = self.old.get(name)
+            if found[i] is None:
+                found[i] = array("I", make(name)).tobytes()
+            if len(self.new) >= MAX_WORDS:
+                self.old, self.new = self.new, {}
+            self.new[name] = found[i]
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return np.frombuffer(b"".join(found), "<u4"), np.cumsum(size) - size, size
+
+    def _of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As _known, by way of the words' pieces."""
+        rare = pc.match_substring_regex(words, RARE)
+        low = pc.utf8_lower(pc.if_else(rare, "", words))
+        pieces = pc.utf8_split_whitespace(pc.replace_substring_regex(low, PIECE, r"\0 "))
+        coded = pieces.flatten().dictionary_encode()
+        flat, first, size = self._known(coded.dictionary, self._of_piece)
+        at = coded.indices.to_numpy()
+        flat, ends = _gather(flat, first[at], size[at]), np.r_[0, np.cumsum(size[at])]
+        ends = ends[pieces.offsets.to_numpy() - pieces.offsets[0].as_py()]
+        first, size = ends[:-1], np.diff(ends)
+        odd = np.flatnonzero(rare.to_numpy(zero_copy_only=False))
+        more, begin, size[odd] = self._known(words.take(pa.array(odd)), self._of_word)
+        first[odd] = begin + len(flat)
+        return np.concatenate([flat, more]), first, size
+
+    def of_texts(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, text after text with ``end`` after each, and how many each text has."""
+        odd = pc.match_substring_regex(texts, NO_SPACE)
+        words = pc.utf8_split_whitespace(pc.if_else(odd, "", texts))
+        coded = words.flatten().dictionary_encode()
+        flat, first, size = self._of_words(coded.dictionary)
+        at = coded.indices.to_numpy()
+        ids = [_gather(flat, first[some], size[some]) for some in (at[i : i + WORDS] for i in range(0, len(at), WORDS))]
+        before = np.r_[0, np.cumsum(size[at])][words.offsets.to_numpy() - words.offsets[0].as_py()]
+        count = np.diff(before) + 1
+        out = np.full(count.sum(), end, "<u4")
+        place = np.ones(len(out), bool)
+        place[np.cumsum(count) - 1] = False
+        out[place] = np.concatenate([np.zeros(0, "<u4"), *ids])
+        if not pc.any(odd).as_py():
+            return out, count
+        parts = np.split(out, np.cumsum(count)[:-1])
+        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)):
+            parts[i] = np.array([*self._of_word(texts[int(i)].as_py()), end], "<u4")
+        return np.concatenate(parts), np.array([len(p) for p in parts])
 
 
 @functools.cache
@@ -82,23 +129,36 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def _queue_of(docs: DataFrame, source: str):
-    """From a source to its queue's number: by code point, null last; by hash beyond MAX_QUEUES."""
-    seen = [r[0] for r in docs.select(source).distinct().limit(MAX_QUEUES + 1).collect()]
-    if len(seen) > MAX_QUEUES:
-        return lambda name: zlib.crc32((name or "").encode()) % MAX_QUEUES
-    places = {name: i for i, name in enumerate(sorted(seen, key=lambda s: (s is None, s or "")))}
-    return places.__getitem__
+def _blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    ends, at = np.r_[0, np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)], 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + BLOCK, "right")) - 1)
+        yield at, to
+        at = to
+
+
+def queues(docs: DataFrame, source: str, *, window: int, grain: int, named: tuple[str | None, ...] = ()) -> tuple[Callable[[str | None], int], int]:
+    """From a source to its queue's number, and the number of queues.
+
+    A source that holds ``grain / window`` of all bytes or more, so that it can give each window a grain, has a queue of its own, as have
+    those of ``named``: that many at most. All smaller ones share SHARED_QUEUES by a hash of their name. Own
+    queues stand by code point, null last.
+    """
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
+    sizes = written(docs.select(F.col(source).alias("source"), size.alias("size")).groupBy("source").agg(F.sum("size").alias("size")), "sources")
+    whole = sizes.agg(F.sum("size")).first()[0] or 0
+    large = [r[0] for r in sizes.where(F.col("size") * window >= F.lit(whole) * grain).select("source").collect()]  # window / grain at most
+    own = {name: i for i, name in enumerate(sorted({*large, *named}, key=lambda s: (s is None, s or "")))}
+    return lambda name: own[name] if name in own else len(own) + zlib.crc32((name or "").encode()) % SHARED_QUEUES, len(own) + SHARED_QUEUES
 
 
-def tokenize(docs: DataFrame, path: str, *, end_id: int, source: str = "source", extra: list[str] | None = None) -> DataFrame:
+def tokenize(docs: DataFrame, path: str, queue: Callable[[str | None], int], *, end_id: int, source: str = "source", extra: list[str] | None = None) -> DataFrame:
     """Ids of each whole text, then ``end_id``; a null text counts as empty.
 
     Returns doc_id, queue, part, before (ids of this queue that this partition had before),
     doc_tokens, ids (little-endian unsigned 32 bit) and the columns of ``extra``.
     """
     extra = extra or []
-    queue, end = _queue_of(docs, source), np.array([end_id], "<u4").tobytes()
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col(source).alias("_source"), *extra)
     kept = [rows.schema["doc_id"], *[rows.schema[c] for c in extra]]
     schema = T.StructType([*kept, T.StructField("queue", T.IntegerType()), T.StructField("part", T.IntegerType()), T.StructField("before", T.LongType()), T.StructField("doc_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
@@ -106,16 +166,17 @@ def tokenize(docs: DataFrame, path: str, *, end_id: int, source: str = "source",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, part, done = word_ids(path), TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
-                ids = [cache.of_text(t) + end for t in some["text"].to_pylist()]
-                queues, before = [queue(s) for s in some["_source"].to_pylist()], []
-                sizes = [len(x) // 4 for x in ids]
-                for q, n in zip(queues, sizes, strict=True):
+            for low, high in _blocks(batch["text"]):
+                some = batch.slice(low, high - low)
+                ids, sizes = cache.of_texts(some["text"], end_id)
+                numbers, before = [queue(s) for s in some["_source"].to_pylist()], []
+                for q, n in zip(numbers, sizes.tolist(), strict=True):
                     before.append(done[q])
                     done[q] += n
+                bounds = pa.py_buffer(np.r_[0, np.cumsum(sizes * 4)].astype(np.int32))
+                column = pa.Array.from_buffers(pa.binary(), len(sizes), [None, bounds, pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays(
-                    [*[some[f.name] for f in kept], pa.array(queues, pa.int32()), pa.array([part] * len(ids), pa.int32()), pa.array(before, pa.int64()), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())],
+                    [*[some[f.name] for f in kept], pa.array(numbers, pa.int32()), pa.array([part] * len(sizes), pa.int32()), pa.array(before, pa.int64()), pa.array(sizes, pa.int64()), column],
                     names=schema.names,
                 )
 
@@ -152,12 +213,13 @@ def cut(first: np.ndarray, last: np.ndarray, queue: np.ndarray, totals: np.ndarr
     ends = np.r_[start[1:], 0][: len(doc)]
     final = np.r_[doc[1:] != doc[:-1], True][: len(doc)]
     length = np.where(final, last[doc], ends) - start
-    own, place = queue[doc], start.copy()
-    for q in range(len(totals)):
-        for more, rows in ((1, own > q), (0, own < q)):
-            if rows.any():
-                given = ((rounds[rows] + more) * quantum[q] >> BITS) // grain * grain
-                place[rows] += np.minimum(given, totals[q])
+    own, place, number = queue[doc], start.copy(), np.arange(len(totals))
+    some = max(1, (1 << 20) // max(1, len(totals)))
+    for a in range(0, len(doc), some):  # what all other queues have given by then: those before this one a round more
+        turn = rounds[a : a + some, None] + (number < own[a : a + some, None])
+        given = np.minimum((turn * quantum >> BITS) // grain * grain, totals)
+        given[np.arange(len(given)), own[a : a + some]] = 0
+        place[a : a + some] += given.sum(1)
     pieces = (place + length - 1) // window - place // window + 1
     doc, start, place, length = (np.repeat(x, pieces) for x in (doc, start, place, length))
     nth = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
@@ -173,30 +235,32 @@ def pack(docs: DataFrame, path: str, *, window: int = 2048, end_id: int = 1, gra
     ``extra``. Every id lies in one piece; all windows but the last are full. A window's ids come from
     the sources in proportion to ``shares`` (the default: to all their ids, so that all queues end
     together), but for less than a grain a source. A source that ends
-    leaves its share to the others.
+    leaves its share to the others. Sources too small to give each window a grain share queues (see queues).
 
     Null and empty texts are one ``end_id``; null sources are one queue; repeated rows are
     packed as often as they stand. Texts of any length are cut over as many windows as they
     need. An empty table gives no rows.
     """
     extra = extra or []
-    tokens = written(tokenize(docs, path, end_id=end_id, source=source, extra=extra), "ids")
-    parts = tokens.groupBy("queue", "part").agg(F.sum("doc_tokens").alias("_n"))
+    queue, many = queues(docs, source, window=window, grain=grain, named=tuple(shares or ()))
+    tokens = written(tokenize(docs, path, queue, end_id=end_id, source=source, extra=extra), "ids")
+    parts = written(tokens.groupBy("queue", "part").agg(F.sum("doc_tokens").alias("_n")), "parts")
     earlier = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select(F.col("queue").alias("_q"), F.col("part").alias("_p"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
-    totals = np.zeros(MAX_QUEUES, np.int64)
-    for q, n in tokens.groupBy("queue").agg(F.sum("doc_tokens")).collect():  # MAX_QUEUES rows at most
+    bases = parts.select(F.col("queue").alias("_q"), F.col("part").alias("_p"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
+    totals = np.zeros(many, np.int64)
+    for q, n in parts.groupBy("queue").agg(F.sum("_n")).collect():  # a row a queue
         totals[q] = n
-    totals = totals[: int(np.flatnonzero(totals).max(initial=0)) + 1]
     wanted = None
     if shares is not None:
-        queue = _queue_of(docs, source)
-        wanted = np.zeros(len(totals))
+        wanted = np.zeros(many)
         for name, share in shares.items():
             wanted[queue(name)] += share
         wanted = (wanted * (1 << 20)).astype(np.int64)
-    quantum = quanta(totals, window, wanted)
-    placed = tokens.join(parts, (F.col("queue") == F.col("_q")) & (F.col("part") == F.col("_p"))).select("doc_id", *extra, "queue", (F.col("_base") + F.col("before")).alias("first"), "doc_tokens", "ids")
+    some = totals > 0
+    rank, quantum, totals = np.cumsum(some) - 1, quanta(totals, window, wanted)[some], totals[some]
+    if parts.count() <= BROADCAST_ROWS:
+        bases = F.broadcast(bases)
+    placed = tokens.join(bases, (F.col("queue") == F.col("_q")) & (F.col("part") == F.col("_p"))).select("doc_id", *extra, "queue", (F.col("_base") + F.col("before")).alias("first"), "doc_tokens", "ids")
     kept = [placed.schema["doc_id"], *[placed.schema[c] for c in extra]]
     schema = T.StructType([*kept, *[T.StructField(n, T.LongType()) for n in ("start", "length", "doc_tokens", "sequence_id", "offset")], T.StructField("ids", T.BinaryType())])
 
@@ -205,7 +269,7 @@ def pack(docs: DataFrame, path: str, *, window: int = 2048, end_id: int = 1, gra
             for at in range(0, whole.num_rows, 2048):
                 batch = whole.slice(at, 2048)
                 first, n = (batch[c].to_numpy() for c in ("first", "doc_tokens"))
-                doc, start, length, sequence, offset = cut(first, first + n, batch["queue"].to_numpy(), totals, quantum, grain, window)
+                doc, start, length, sequence, offset = cut(first, first + n, rank[batch["queue"].to_numpy()], totals, quantum, grain, window)
                 data = pa.py_buffer(b"".join(batch["ids"].to_pylist()))
                 bounds = pa.py_buffer(np.r_[0, np.cumsum(length * 4)].astype(np.int32))  # pieces follow one another as the ids do
                 ids = pa.Array.from_buffers(pa.binary(), len(doc), [None, bounds, data])

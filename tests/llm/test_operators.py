@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from feedjobs.llm import language, licenses, quality, queries, url_filter
+from feedjobs.llm import language, licenses, packing, quality, queries, url_filter
 from feedjobs.llm.ann import nearest
 from feedjobs.llm.mixing import mix
 from feedjobs.llm.near_dup import keep_one, near_duplicates, shingles, signatures, similarity
@@ -111,6 +111,34 @@ def test_packing(spark, odd, docs):
     assert all(len(r.ids) == 8192 or bin(r.tokens).count("1") == 1 for r in full)
 
 
+def test_ids_of_texts_are_the_tokenizers(tmp_path, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(packing, "MAX_WORDS", 7)  # words are forgotten and made again
+    monkeypatch.setattr(packing, "WORDS", 5)
+    words = packing.WordIds(tokenizer_path())
+    texts = ["", " ", "It's the 'start' of THE end, isn't it?", "a\x1cb c\x1f d", "<|endoftext|> in <|startoftext|>x a<|b", "Größe ÉTÉ İstanbul ΑΣ ﬁ e\u0301té 漢字 \u00a0x\u2003y\u0085z", "12,345 3rd x_y __ !'s 's 'sa ''re", "\t\r\n tabs\x0band\x0c", "naïve " * 9, "it's ITS it'LL 'LL"]
+    for _ in range(2):
+        ids, sizes = words.of_texts(pa.array(texts), 1)
+        assert [p.tolist() for p in np.split(ids, np.cumsum(sizes)[:-1])] == [[*words.whole.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+
+
+def test_small_sources_share_queues_and_named_ones_do_not(spark):
+    rows = [(i, "word " * (2000 if i < 3 else 1), f"s{i:04d}") for i in range(2000)] + [(9000, "word", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    queue, many = packing.queues(docs, "source", window=2048, grain=16, named=("s0900", "absent"))
+    assert [queue(f"s{i:04d}") for i in range(3)] == [1, 2, 3] and queue("absent") == 0 and queue("s0900") == 4 and many == 5 + packing.SHARED_QUEUES
+    assert all(5 <= queue(f"s{i:04d}") < many for i in range(3, 2000) if i != 900) and queue(None) >= 5
+    for shares in (None, {"s0900": 1.0, "absent": 2.0}):
+        pieces = pack(docs, tokenizer_path(), shares=shares).collect()
+        assert sum(p.length for p in pieces) == 3 * 2001 + 2 * 1998
+        filled = {}
+        for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+            assert p.offset == filled.get(p.sequence_id, 0)
+            filled[p.sequence_id] = p.offset + p.length
+        assert all(n == 2048 for s, n in filled.items() if s < max(filled))
+
+
 def test_shares_of_a_window():
     totals = np.array([50_000, 30_000, 20_000])
     doc, start, length, window, _ = cut(np.zeros(3, np.int64), totals, np.arange(3), totals, quanta(totals, 2048), 16, 2048)
