@@ -147,7 +147,7 @@ def queues(docs: DataFrame, source: str, *, window: int, grain: int, named: tupl
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
     sizes = written(docs.select(F.col(source).alias("source"), size.alias("size")).groupBy("source").agg(F.sum("size").alias("size")), "sources")
     whole = sizes.agg(F.sum("size")).first()[0] or 0
-    large = [r[0] for r in sizes.where(F.col("size") * window >= F.lit(whole) * grain).select("source").collect()]  # window / grain at most
+    large = [r[0] for r in sizes.where(F.col("size") >= -(-whole * grain // window)).select("source").collect()]  # window / grain at most
     own = {name: i for i, name in enumerate(sorted({*large, *named}, key=lambda s: (s is None, s or "")))}
     return lambda name: own[name] if name in own else len(own) + zlib.crc32((name or "").encode()) % SHARED_QUEUES, len(own) + SHARED_QUEUES
 
