@@ -2,57 +2,39 @@
 
 from __future__ import annotations
 
-from urllib.parse import parse_qsl, urlencode, urlsplit, urlunsplit
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # Query keys that only track where a click came from.
 TRACKING = ["fbclid", "gclid", "msclkid", "yclid", "ref", "ref_src", "ref_url", "source", "mc_cid", "mc_eid", "_hsenc", "_hsmi"]
 TRACKING_PREFIX = "utm_"
 
-_PARTS = r"(?s)^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
+_PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?"
+
+
+def _decoded(value: Column) -> Column:
+    """As web forms are read; a malformed escape stays as it is."""
+    return F.coalesce(F.try_url_decode(F.regexp_replace(value, "%(?![0-9A-Fa-f]{2})", "%25")), value)
 
 
-def _quoted(value: Column) -> Column:
-    """Decoded and encoded again, as web forms write it; a malformed escape stays as it is."""
-    plain = F.coalesce(F.try_url_decode(value), value)
-    return F.replace(F.replace(F.url_encode(plain), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+def _encoded(value: Column) -> Column:
+    return F.replace(F.replace(F.url_encode(value), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
 
 
 def canonical_url(url: Column) -> Column:
     """Lower-case scheme and host, no trailing slashes, no tracking keys, sorted query, no fragment.
 
-    Built-ins only. What does not look like scheme://host is returned without its fragment.
+    Built-ins only. The query is read and written again as web forms do, a key without value gets an empty one. Scheme and host may be missing.
     """
     scheme, host, path, query = (F.regexp_extract(url, _PARTS, i) for i in (1, 2, 3, 4))
     path = F.when(path == "/", path).otherwise(F.regexp_replace(path, "/+$", ""))
-    pairs = F.transform(F.filter(F.split(query, "&"), lambda p: p != ""), lambda p: F.struct(F.substring_index(p, "=", 1).alias("k"), F.when(F.contains(p, F.lit("=")), F.expr("'x'")).alias("has"), p.alias("p")))
-    pairs = F.transform(pairs, lambda s: F.struct(_quoted(s["k"]).alias("k"), F.when(s["has"].isNotNull(), _quoted(F.substring(s["p"], F.length(s["k"]) + 2, F.length(s["p"])))).otherwise(F.lit("")).alias("v")))
-    kept = F.filter(pairs, lambda s: ~s["k"].startswith(TRACKING_PREFIX) & ~s["k"].isin(TRACKING))
-    text = F.array_join(F.transform(F.array_sort(kept), lambda s: F.concat(s["k"], F.lit("="), s["v"])), "&")
-    made = F.concat(F.lower(scheme), F.lit("://"), F.lower(host), path, F.when(text != "", F.concat(F.lit("?"), text)).otherwise(F.lit("")))
-    return F.when(scheme == "", F.substring_index(url, "#", 1)).otherwise(made)
-
-
-def _canonical(url: str | None) -> str | None:
-    if url is None:
-        return None
-    try:
-        parts = urlsplit(url)
-    except ValueError:
-        return url
-    kept = sorted((k, v) for k, v in parse_qsl(parts.query, keep_blank_values=True) if not k.startswith(TRACKING_PREFIX) and k not in TRACKING)
-    path = parts.path if parts.path == "/" else parts.path.rstrip("/")
-    return urlunsplit((parts.scheme.lower(), parts.netloc.lower(), path, urlencode(kept), ""))
-
-
-@F.pandas_udf(StringType())
-def canonical_url_exact(url: pd.Series) -> pd.Series:
-    """As canonical_url, also for malformed escapes and odd characters; a URL that cannot be split stays."""
-    return url.map(_canonical, na_action="ignore")
+    named = F.when(scheme != "", F.concat(F.lower(scheme), F.lit(":"))).otherwise(F.lit(""))
+    placed = F.when(host != "", F.concat(F.lit("//"), F.lower(host), F.when((path != "") & ~path.startswith("/"), F.lit("/")).otherwise(F.lit("")))).otherwise(F.lit(""))
+    pair = F.transform(F.filter(F.split(query, "&"), lambda p: p != ""), lambda p: F.struct(F.substring_index(p, "=", 1).alias("k"), F.when(F.contains(p, F.lit("=")), F.regexp_replace(p, "(?s)^[^=]*=", "")).otherwise(F.lit("")).alias("v")))
+    pair = F.transform(pair, lambda s: F.struct(_decoded(s["k"]).alias("k"), _decoded(s["v"]).alias("v")))
+    kept = F.array_sort(F.filter(pair, lambda s: ~s["k"].startswith(TRACKING_PREFIX) & ~s["k"].isin(TRACKING)))
+    text = F.array_join(F.transform(kept, lambda s: F.concat(_encoded(s["k"]), F.lit("="), _encoded(s["v"]))), "&")
+    return F.concat(named, placed, path, F.when(text != "", F.concat(F.lit("?"), text)).otherwise(F.lit("")))
 
 
 def is_repo_root(url: Column) -> Column:

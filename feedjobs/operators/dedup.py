@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedjobs.operators.lineage import cut
+from feedjobs.operators.ordered import running
 
 SIGHTING = ["source", "source_handle", "url"]
 
@@ -152,9 +153,9 @@ def dedup(batch: DataFrame, store: DataFrame, *, lossless: bool = True, distinct
 
 def displaced_by(items: DataFrame) -> DataFrame:
     """Audit: for each member the best (tier, seq) of its title that came before it."""
-    before = Window.partitionBy("title_hash").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    best = F.min(F.struct(tier().alias("tier"), F.col("seq").alias("seq"))).over(before)
-    return items.withColumn("_best", best).select("seq", "title_hash", tier().alias("tier"), F.col("_best.seq").alias("best_seq"), (tier() < F.col("_best.tier")).alias("displaces"))
+    rows = items.select("seq", "title_hash", tier().alias("tier"))
+    rows = running(rows, ["title_hash"], ["seq"], F.struct("tier", "seq"), "_best", kind="min", inclusive=False)
+    return rows.select("seq", "title_hash", "tier", F.col("_best.seq").alias("best_seq"), (F.col("tier") < F.col("_best.tier")).alias("displaces"))
 
 
 def with_sightings(items: DataFrame, sightings: DataFrame, most: int = 50) -> DataFrame:

@@ -6,13 +6,24 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedjobs.functions.times import business_day
+from feedjobs.operators.ordered import running
 
-# The sections in the order in which they are printed.
+# The sections' keys and labels in the order in which they are printed, and the names that mark a lab's feed.
 SECTIONS = [
-    ("x", "X"), ("threads", "Threads"), ("reddit", "Reddit"), ("hn", "Hacker News"), ("github", "GitHub Trending"),
-    ("trendshift", "Trendshift"), ("product_hunt", "Product Hunt"), ("huggingface", "Hugging Face"), ("rss_lab", "Labs"),
-    ("rss_media", "Media"), ("zh_tw", "Traditional Chinese"), ("zh_cn", "Simplified Chinese"), ("wechat", "WeChat"),
-]
+    ("x", "X / Twitter"),
+    ("threads", "Threads"),
+    ("reddit", "Reddit"),
+    ("hn", "Hacker News"),
+    ("github_trending", "GitHub Trending"),
+    ("trendshift", "GitHub Rising (Trendshift)"),
+    ("product_hunt", "Product Hunt"),
+    ("huggingface", "HuggingFace"),
+    ("rss_lab", "Lab Blogs & Releases"),
+    ("rss_media", "English Tech Media"),
+    ("zh_cn", "中文 / 中國"),
+    ("wechat", "中文 / 微信公眾號"),
+    ("zh_tw", "中文 / 台灣"),
+]
 LABS = "anthropic|openai|google|mistral|xai"
 
 
@@ -20,7 +31,7 @@ def section(source: Column, handle: Column, language: Column) -> Column:
     return (
         F.when(language.startswith("zh-TW"), F.lit("zh_tw"))
         .when(language.startswith("zh-CN"), F.when(source == "wewe_rss", F.lit("wechat")).otherwise(F.lit("zh_cn")))
-        .when(source == "rss", F.when(F.lower(F.coalesce(handle, F.lit(""))).rlike(LABS), F.lit("rss_lab")).otherwise(F.lit("rss_media")))
+        .when(source == "rss", F.when(F.coalesce(handle, F.lit("")).rlike(LABS), F.lit("rss_lab")).otherwise(F.lit("rss_media")))
         .otherwise(source)
     )
 
@@ -40,11 +51,29 @@ def placed(items: DataFrame) -> DataFrame:
     return items.withColumn("day", business_day(F.col("fetched_at"))).withColumn("section", section(F.col("source"), F.col("source_handle"), F.col("language"))).withColumn("total", engagement(F.col("engagement")))
 
 
+def printed_order() -> Column:
+    """A text that sorts as a section is printed: better tier, more engagement, newer, id. Over the columns of ``placed``."""
+    down = lambda c: F.lpad((F.lit(1 << 62) - c).cast("string"), 20, "0")
+    newest = F.unix_micros(F.coalesce("posted_at", F.lit("1970-01-01").cast("timestamp_ntz")).cast("timestamp"))
+    return F.concat_ws(" ", F.lpad((F.coalesce("source_tier", F.lit(2)) + 1_000_000).cast("string"), 10, "0"), down(F.col("total")), down(newest), "id")
+
+
 def ranked(items: DataFrame, top: int | None = None) -> DataFrame:
-    """Adds rank in (day, section): better tier, more engagement, newer, id. With ``top`` Spark cuts groups before the shuffle."""
+    """Adds rank in (day, section): better tier, more engagement, newer, id. With ``top`` Spark cuts groups before the shuffle.
+
+    Without ``top`` all are ranked by running counts over ranges, as one section may hold most of a day.
+    """
+    rows = placed(items)
+    if top is None:
+        counted = running(rows.withColumn("_order", printed_order()), ["day", "section"], ["_order"], F.lit(1).cast("long"), "rank")
+        return counted.drop("_order").withColumn("rank", F.col("rank").cast("int"))
     order = Window.partitionBy("day", "section").orderBy(F.coalesce("source_tier", F.lit(2)), F.desc("total"), F.desc("posted_at"), "id")
-    rows = placed(items).withColumn("rank", F.row_number().over(order))
-    return rows if top is None else rows.where(F.col("rank") <= top)
+    return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+
+
+def preview(items: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` items in order of arrival."""
+    return items.orderBy("seq").limit(n)
 
 
 def summary(items: DataFrame, failed: DataFrame) -> DataFrame:

@@ -1,15 +1,29 @@
-"""Cutting lineage in loops."""
+"""Cutting lineage in loops, in the folder that driver and executors share."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``. A local master may set a folder of its own by setCheckpointDir."""
+    context = spark.sparkContext
+    base = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not base:
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return base.rstrip("/")
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder in the shared one."""
+    return f"{shared_dir(spark)}/feedjobs-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the cluster's ``spark.checkpoint.dir``; in a temporary folder only where none is set (tests)."""
+    """A reliable checkpoint in the shared folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="feedjobs-"))
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedjobs.functions.text import error_name, error_status
 from feedjobs.functions.times import within
+from feedjobs.operators.lineage import cut
+from feedjobs.operators.ordered import running
 
 # Exception names that pass by themselves.
 TRANSIENT = ["TimeoutException", "ConnectTimeout", "ReadTimeout", "WriteTimeout", "PoolTimeout", "ConnectError", "ReadError", "WriteError", "RemoteProtocolError"]
@@ -31,33 +33,46 @@ def latest_failed(runs: DataFrame) -> DataFrame:
     return latest(runs).where("status <> 'ok'")
 
 
+#: Most sources whose last success is broadcast; more are joined by a shuffle, which Spark splits where it is skewed.
+BROADCAST_SOURCES = 100_000
+
+
+def with_streaks(state: DataFrame, runs: DataFrame) -> DataFrame:
+    """``state`` (source, last_ok_at) with consecutive: the failures after the last success, or all if there was none.
+
+    Failures meet one short row a source, so no source goes through one task.
+    """
+    last = state.select("source", "last_ok_at")
+    if last.count() <= BROADCAST_SOURCES:
+        last = F.broadcast(last)
+    since = runs.where("status <> 'ok'").select("source", "started_at").join(last, "source").where("last_ok_at is null or started_at > last_ok_at")
+    return state.join(since.groupBy("source").agg(F.count(F.lit(1)).alias("consecutive")), "source", "left").withColumn("consecutive", F.coalesce("consecutive", F.lit(0)))
+
+
 def known_issues(runs: DataFrame) -> DataFrame:
     """Sources whose latest run failed, with their last success and the failures since.
 
-    One pass over the log: per source the latest run and last success, then failures after it.
+    The log is read twice: for the latest run and last success of each source, which combine before the shuffle, and for the failures of the sources that fail.
     """
-    ok = F.when(F.col("status") == "ok", F.col("started_at"))
-    last_ok = runs.groupBy("source").agg(F.max(ok).alias("last_ok_at"))
-    since = runs.join(last_ok, "source").where((F.col("status") != "ok") & (F.col("last_ok_at").isNull() | (F.col("started_at") > F.col("last_ok_at"))))
-    streak = since.groupBy("source").agg(F.count(F.lit(1)).alias("consecutive"))
-    rows = latest_failed(runs).join(last_ok, "source").join(streak, "source", "left")
-    return rows.select(
-        "source", F.coalesce("error", F.lit("")).alias("last_error"), F.coalesce("error_class", F.lit("")).alias("last_error_class"),
-        F.coalesce("attempts", F.lit(1)).alias("last_attempts"), F.col("started_at").alias("last_failed_at"), "last_ok_at", F.coalesce("consecutive", F.lit(0)).alias("consecutive"),
+    last = F.max_by(F.struct("status", "started_at", "error", "error_class", "attempts"), "id")
+    state = runs.groupBy("source").agg(last.alias("r"), F.max(F.when(F.col("status") == "ok", F.col("started_at"))).alias("last_ok_at"))
+    state = with_streaks(cut(state.where("r.status <> 'ok'")), runs)
+    return state.select(
+        "source", F.coalesce("r.error", F.lit("")).alias("last_error"), F.coalesce("r.error_class", F.lit("")).alias("last_error_class"),
+        F.coalesce("r.attempts", F.lit(1)).alias("last_attempts"), F.col("r.started_at").alias("last_failed_at"), "last_ok_at", "consecutive",
     )
 
 
 def streaks(runs: DataFrame) -> DataFrame:
-    """Failures after the last success per source, by a window over the log."""
-    last = F.max(F.when(F.col("status") == "ok", F.col("started_at"))).over(Window.partitionBy("source"))
-    rows = runs.withColumn("_ok", last)
-    return rows.groupBy("source").agg(F.count_if((F.col("status") != "ok") & (F.col("_ok").isNull() | (F.col("started_at") > F.col("_ok")))).alias("streak"))
+    """Failures after the last success of every source."""
+    state = cut(runs.groupBy("source").agg(F.max(F.when(F.col("status") == "ok", F.col("started_at"))).alias("last_ok_at")))
+    return with_streaks(state, runs).select("source", F.col("consecutive").alias("streak"))
 
 
 def streak_history(runs: DataFrame) -> DataFrame:
     """Every run of failures: source, island (successes before it), failures."""
-    oks = F.sum((F.col("status") == "ok").cast("int")).over(Window.partitionBy("source").orderBy("started_at", "id"))
-    return runs.withColumn("island", oks).where("status <> 'ok'").groupBy("source", "island").agg(F.count(F.lit(1)).alias("failures"))
+    rows = running(runs.select("source", "started_at", "id", "status"), ["source"], ["started_at", "id"], (F.col("status") == "ok").cast("long"), "island")
+    return rows.where("status <> 'ok'").groupBy("source", "island").agg(F.count(F.lit(1)).alias("failures"))
 
 
 def issue_bucket(consecutive: Column, kind: Column) -> Column:

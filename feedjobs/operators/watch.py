@@ -51,7 +51,7 @@ def with_comments(stories: DataFrame, comments: DataFrame, most: int = 5, size:
     from feedjobs.functions.text import clean_comment
 
     rows = comments.where((F.col("pos") < most) & ~F.coalesce("deleted", F.lit(False)) & (F.coalesce("author", F.lit("")) != ""))
-    rows = rows.withColumn("text", clean_comment(F.col("text"), unescape=False)).where("text <> ''")
+    rows = rows.withColumn("text", clean_comment(F.col("text"))).where("text <> ''")
     lists = rows.groupBy("story").agg(F.array_sort(F.collect_list(F.struct("pos", "author", "text"))).alias("_c"))
     return stories.join(lists, "story", "left").withColumn("comments", F.coalesce(F.transform("_c", lambda c: F.struct(c["author"].alias("author"), c["text"].alias("text"))), F.array().cast("array<struct<author:string,text:string>>"))).drop("_c")
 

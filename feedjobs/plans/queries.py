@@ -14,8 +14,10 @@ from feedjobs.operators import dedup as D
 from feedjobs.operators import digest as G
 from feedjobs.operators import runs as R
 from feedjobs.operators import watch as W
-from feedjobs.plans import render
-from feedjobs.plans.views import AS_OF, ITEMS_SQL, RUNS_SQL, table, v_batch, v_comments, v_items, v_runs, v_store
+from feedjobs.operators.lineage import scratch
+from feedjobs.plans import landing, render
+from feedjobs.plans.views import AS_OF, ITEMS_SQL, RUNS_SQL, STORED, items_of, table, v_batch, v_comments, v_items, v_runs, v_store
+from feedjobs.sources import html, normalize, store
 from feedjobs.streaming import jobs as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,7 +64,10 @@ def _(spark, sf):
 
 @query("s4_clean_comment", rf"SELECT conv_id, turn, CASE WHEN length(t) > 300 THEN substr(t, 1, 300) || '…' ELSE t END AS comment FROM (SELECT conv_id, turn, {_WS.format("regexp_replace(text, '<[^>]+>', '', 'g')")} AS t FROM conversations) q")
 def _(spark, sf):
-    return table(spark, sf, "conversations").select("conv_id", "turn", X.clean_comment(F.col("text"), unescape=False).alias("comment"))
+    landed = F.col("text")  # as a site lands it: with entities
+    for mark, entity in (("&", "&amp;"), ("'", "&#x27;"), ('"', "&quot;")):
+        landed = F.replace(landed, F.lit(mark), F.lit(entity))
+    return table(spark, sf, "conversations").select("conv_id", "turn", X.clean_comment(landed).alias("comment"))
 
 
 @query("s5_html_excerpt", rf"SELECT page_id, substr({_WS.format("regexp_replace(html, '<[^>]+>', '', 'g')")}, 1, 200) AS excerpt FROM pages")
@@ -103,7 +108,7 @@ def _(spark, sf):
 
 @query("t1_from_epoch", "SELECT event_id, TIMESTAMP '1970-01-01 00:00:00' + to_seconds(CAST(event_id * 1000 AS BIGINT)) AS ts FROM events")
 def _(spark, sf):
-    return table(spark, sf, "events").select("event_id", (F.lit("1970-01-01").cast("timestamp_ntz") + F.expr("make_dt_interval(0, 0, 0, event_id * 1000)")).alias("ts"))
+    return table(spark, sf, "events").select("event_id", T.from_epoch(F.col("event_id") * 1000).alias("ts"))
 
 
 @query("t2_parse_time", "SELECT event_id, date_trunc('second', ts) AS ts FROM events")
@@ -171,14 +176,14 @@ def _(spark, sf):
     return D.unseen(v_batch(spark, sf), v_store(spark, sf)).select("seq")
 
 
-@query("j2_first_per_id", "SELECT id, min(seq) AS seq FROM v_batch GROUP BY 1", ITEMS_SQL)
+@query("j2_first_per_id", "SELECT id, min(seq) AS seq FROM v_items GROUP BY 1", ITEMS_SQL)
 def _(spark, sf):
-    return D.first_per_id(v_batch(spark, sf)).select("id", "seq")
+    return D.first_per_id(v_items(spark, sf)).select("id", "seq")
 
 
-@query("j3_oldest_stored", "SELECT title_hash, min(seq) AS seq, arg_min(id, seq) AS id FROM v_store GROUP BY 1", ITEMS_SQL)
+@query("j3_oldest_stored", "SELECT title_hash, min(seq) AS seq, arg_min(id, seq) AS id FROM v_items GROUP BY 1", ITEMS_SQL)
 def _(spark, sf):
-    return D.oldest_stored(v_store(spark, sf)).select("title_hash", "stored.seq", "stored.id")
+    return D.oldest_stored(v_items(spark, sf)).select("title_hash", "stored.seq", "stored.id")
 
 
 @query("j5_source_config", "SELECT seq, CASE WHEN source IN ('x', 'hn') THEN 1 ELSE 2 END AS tier FROM v_items", ITEMS_SQL)
@@ -198,11 +203,15 @@ def _(spark, sf):
     return R.latest_failed(runs).join(enabled, "source", "left_semi").select("source")
 
 
-@query("j7_hints", "SELECT source, CASE WHEN source = 'src_1' THEN 'renew the key' WHEN source = 'src_2' THEN 'site moved' WHEN last_error_class = 'user_action_required' THEN 'log in again' WHEN last_error_class = 'transient' THEN 'wait' ELSE '' END AS hint FROM issues", _ISSUES)
-def _(spark, sf):
+def _with_hints(spark: SparkSession, issues: DataFrame) -> DataFrame:
     own = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(a).alias("source"), F.lit(b).alias("hint")) for a, b in ISSUE_HINTS])))
     kind = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(a).alias("last_error_class"), F.lit(b).alias("hint")) for a, b in CLASS_HINTS])))
-    return R.with_hints(R.known_issues(v_runs(spark, sf)), own, kind).select("source", "hint")
+    return R.with_hints(issues, F.broadcast(own), F.broadcast(kind))
+
+
+@query("j7_hints", "SELECT source, CASE WHEN source = 'src_1' THEN 'renew the key' WHEN source = 'src_2' THEN 'site moved' WHEN last_error_class = 'user_action_required' THEN 'log in again' WHEN last_error_class = 'transient' THEN 'wait' ELSE '' END AS hint FROM issues", _ISSUES)
+def _(spark, sf):
+    return _with_hints(spark, R.known_issues(v_runs(spark, sf))).select("source", "hint")
 
 
 @query("n13_comments", rf"SELECT s.story, COALESCE(string_agg(c.author || ': ' || c.t, ' / ' ORDER BY c.pos), '') AS comments FROM (SELECT DISTINCT conv_id AS story FROM conversations) s LEFT JOIN (SELECT conv_id, turn AS pos, role AS author, CASE WHEN length(t) > 300 THEN substr(t, 1, 300) || '…' ELSE t END AS t FROM (SELECT *, {_WS.format("regexp_replace(text, '<[^>]+>', '', 'g')")} AS t FROM conversations) q WHERE turn < 5 AND role <> 'system' AND t <> '') c ON c.conv_id = s.story GROUP BY 1")
@@ -214,9 +223,9 @@ def _(spark, sf):
 _RULES = "(VALUES ('research', '(?i)the', 'tion'), ('numbers', '[0-9]', '[0-9]{3}'), ('french', '(?i) le | la ', 'eau')) r(rule, scope, words)"
 
 
-@query("j9_watch_hits", f"SELECT seq, rule FROM v_items, {_RULES} WHERE regexp_matches(excerpt, scope) AND regexp_matches(excerpt, words)", ITEMS_SQL)
+@query("j9_watch_hits", f"SELECT seq, rule FROM v_items, {_RULES} WHERE regexp_matches(text, scope) AND regexp_matches(text, words)", ITEMS_SQL)
 def _(spark, sf):
-    return W.hits(v_items(spark, sf), WATCH, F.col("excerpt")).select("seq", "rule")
+    return W.hits(v_items(spark, sf), WATCH, F.col("text")).select("seq", "rule")
 
 
 @query("j9_watch_context", "SELECT conv_id, turn FROM (SELECT *, max(CASE WHEN contains(text, 'tion') AND turn % 4 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 5 PRECEDING AND 2 FOLLOWING) AS near FROM conversations) t WHERE near = 1")
@@ -335,9 +344,9 @@ def _(spark, sf):
     return G.top_authors(v_items(spark, sf))
 
 
-@query("a14_themes", f"SELECT COALESCE(rule, 'other') AS theme, count(*) AS items FROM v_items v LEFT JOIN {_RULES} ON regexp_matches(excerpt, scope) AND regexp_matches(excerpt, words) GROUP BY 1", ITEMS_SQL)
+@query("a14_themes", f"SELECT COALESCE(rule, 'other') AS theme, count(*) AS items FROM v_items v LEFT JOIN {_RULES} ON regexp_matches(text, scope) AND regexp_matches(text, words) GROUP BY 1", ITEMS_SQL)
 def _(spark, sf):
-    return W.themes(v_items(spark, sf), WATCH, F.col("excerpt"))
+    return W.themes(v_items(spark, sf), WATCH, F.col("text"))
 
 
 @query("a15_run_totals", "SELECT CAST(started_at AS DATE) AS day, count(*) AS runs, CAST(sum(items_fetched) AS BIGINT) AS items, count(*) FILTER (WHERE status <> 'ok') AS failures FROM v_runs GROUP BY 1", RUNS_SQL)
@@ -375,10 +384,10 @@ def _(spark, sf):
     return v_runs(spark, sf).where(T.within(F.col("started_at"), AS_OF, 72)).orderBy(F.desc("started_at"), F.desc("id")).select("id", "source", "started_at")
 
 
-@query("u1_union_seq", "SELECT seq, CASE WHEN seq % 3 <> 0 OR seq % 30 = 0 THEN 2 ELSE 1 END AS copies FROM v_items WHERE seq % 3 = 0 AND seq % 30 <> 0 UNION ALL SELECT seq, CASE WHEN seq % 30 = 0 THEN 2 ELSE 1 END FROM v_items WHERE seq % 3 <> 0 OR seq % 30 = 0", ITEMS_SQL)
+@query("u1_union_seq", f"SELECT seq AS item, CASE WHEN {STORED} THEN 2 ELSE 1 END AS copies, CASE WHEN {STORED} THEN seq ELSE 1099511627776 + seq END AS first, 1099511627776 + seq AS last FROM v_items", ITEMS_SQL)
 def _(spark, sf):
-    both = v_store(spark, sf).withColumn("source_pos", F.lit(0)).unionByName(v_batch(spark, sf).withColumn("source_pos", F.lit(1)))
-    return both.groupBy("seq").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    parts = [df.withColumnRenamed("seq", "pos").withColumn("item", F.col("pos")) for df in (v_store(spark, sf), v_batch(spark, sf))]
+    return normalize.arrival(parts).groupBy("item").agg(F.count(F.lit(1)).cast("int").alias("copies"), F.min("seq").alias("first"), F.max("seq").alias("last"))
 
 
 @query("u2_distinct_pairs", "SELECT DISTINCT user_id, event_type FROM events")
@@ -419,10 +428,64 @@ def _(spark, sf):
     return R.attempts_summary(tries)
 
 
-@query("io5_append_new", "SELECT CAST(fetched_at + INTERVAL 8 HOUR AS DATE) AS day, count(*) AS n FROM (SELECT * FROM v_batch WHERE id NOT IN (SELECT id FROM v_store) QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq) = 1) t GROUP BY 1", ITEMS_SQL)
+_KEPT = "kept AS (SELECT id, coalesce(min(seq) FILTER (WHERE stored), min(seq)) AS seq FROM (SELECT *, TRUE AS stored FROM v_store UNION ALL SELECT *, FALSE FROM v_batch) b GROUP BY 1)"
+
+
+@query("io5_append_new", "SELECT v.day AS fetch_day, v.id, v.seq FROM v_items v JOIN kept k ON v.id = k.id AND v.seq = k.seq", f"{ITEMS_SQL}, {_KEPT}")
+def _(spark, sf):
+    path = scratch(spark)
+    store.append_items(v_store(spark, sf), None, path)
+    store.append_items(v_batch(spark, sf), store.read_items(spark, path), path)
+    return store.read_items(spark, path).select("fetch_day", "id", "seq")
+
+
+@query("io1_landed_json", "SELECT CAST(doc_id AS VARCHAR) AS \"objectID\", text AS title, CASE WHEN n_chars % 2 = 0 THEN 'https://e.test/' || source || '/' || doc_id END AS url, n_chars AS points FROM documents")
+def _(spark, sf):
+    return landing.payloads(spark, sf, "hn").select("objectID", "title", "url", "points")
+
+
+@query("io2_feed", "SELECT source || ' ' || doc_id AS title, 'https://e.test/' || source || '/' || doc_id AS link, source AS feed, CASE WHEN lang = 'fr' THEN source END AS summary FROM documents")
+def _(spark, sf):
+    return landing.entries(spark, sf).select(F.trim("title").alias("title"), "link", "feed", "summary")
+
+
+_REPOS = r"SELECT doc_id AS page_id, source || '/' || doc_id AS slug, regexp_replace(text, '^\s+|\s+$', '', 'g') AS description, CASE WHEN lang = 'fr' THEN format('{:,}', n_chars) ELSE n_chars || 'k' END AS stars FROM documents"
+
+
+@query("io3_u4_repo_pages", _REPOS)
 def _(spark, sf):
-    fresh = D.first_per_id(D.unseen(v_batch(spark, sf), v_store(spark, sf)))
-    return fresh.groupBy(T.business_day(F.col("fetched_at")).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return html.repo_lists(landing.pages(spark, sf, "list")).select("page_id", "slug", "description", "stars")
+
+
+@query("u5_streamed_pages", "SELECT doc_id AS page_id, CAST(doc_id AS INT) AS rank, n_chars + 0.5::DOUBLE AS score, source || '/' || doc_id AS full_name, text AS description FROM documents")
+def _(spark, sf):
+    return html.ranked_repos(landing.pages(spark, sf, "chunks"))
+
+
+@query("io4_source_config", "SELECT source AS id, min(lang) AS type, min(n_chars) % 2 = 0 AS enabled, CASE WHEN min(n_chars) % 3 = 0 THEN 1 ELSE 2 END AS tier, CASE WHEN min(lang) = max(lang) THEN min(lang) ELSE 'en' END AS language FROM documents GROUP BY 1")
+def _(spark, sf):
+    rows = table(spark, sf, "documents").groupBy(F.col("source").alias("id")).agg(F.min("lang").alias("type"), F.min("n_chars").alias("n"), F.max("lang").alias("last"))
+    landed = rows.select("id", "type", F.when(F.col("n") % 2 != 0, F.lit(False)).alias("enabled"), F.when(F.col("n") % 3 == 0, F.lit(1)).alias("tier"), F.when(F.col("type") == F.col("last"), F.col("type")).alias("language"), F.create_map(F.lit("n"), F.col("n").cast("string")).alias("params"))
+    return store.with_config_defaults(landed).drop("params")
+
+
+@query("io6_append_runs", "SELECT CAST(started_at AS DATE) AS run_day, source, count(*) AS runs FROM v_runs GROUP BY 1, 2", RUNS_SQL)
+def _(spark, sf):
+    path = scratch(spark)
+    for part in ("status = 'ok'", "status <> 'ok'"):  # two appends
+        store.append_runs(v_runs(spark, sf).where(part), path)
+    return spark.read.parquet(path).groupBy("run_day", "source").agg(F.count(F.lit(1)).alias("runs"))
+
+
+@query("io7_io8_read_back", "SELECT seq, CASE WHEN lang0 = 'fr' THEN '' ELSE author END AS author, CASE WHEN lang0 = 'de' THEN 2 ELSE source_tier END AS source_tier, CASE WHEN lang0 = 'de' THEN '{}' ELSE '{\"likes\":' || likes || ',\"comments\":' || comments || '}' END AS engagement, CASE WHEN lang0 = 'es' THEN 1 ELSE 0 END AS comments FROM v_items JOIN (SELECT doc_id, lang AS lang0 FROM documents) d ON seq = doc_id", ITEMS_SQL)
+def _(spark, sf):
+    path, lang = scratch(spark), table(spark, sf, "documents").select(F.col("doc_id").alias("seq"), F.col("lang").alias("lang0"))
+    rows = v_items(spark, sf).drop("comments").join(lang, "seq").withColumn("author", F.when(F.col("lang0") != "fr", F.col("author"))).withColumn("source_tier", F.when(F.col("lang0") != "de", F.col("source_tier")))
+    rows = store.with_json(rows).withColumn("engagement_json", F.when(F.col("lang0") != "de", F.col("engagement_json"))).drop("engagement")
+    said = F.to_json(F.array(F.struct(F.col("author"), F.lit("t").alias("text"))))
+    rows.where("lang0 <> 'es'").write.mode("append").parquet(path)  # from before the comments column was added
+    rows.where("lang0 = 'es'").withColumn("comments_json", said).write.mode("append").parquet(path)
+    return store.read_items(spark, path).select("seq", "author", "source_tier", F.to_json("engagement").alias("engagement"), F.size("comments").alias("comments"))
 
 
 @query("io10_engagement_json", "SELECT seq, '{\"likes\":' || likes || ',\"comments\":' || comments || '}' AS engagement_json FROM v_items", ITEMS_SQL)
@@ -430,19 +493,126 @@ def _(spark, sf):
     return v_items(spark, sf).select("seq", F.to_json("engagement").alias("engagement_json"))
 
 
-@query("r1_render_item", "SELECT seq, '### [' || trim(replace(title, chr(10), ' ')) || '](' || url || ')' || chr(10) || '*' || source_handle || CASE WHEN author <> source_handle THEN ' · ' || author ELSE '' END || ' · ' || strftime(posted_at, '%Y-%m-%d %H:%M UTC') || CASE WHEN likes > 0 THEN ' · likes ' || likes ELSE '' END || CASE WHEN comments > 0 THEN ' · comments ' || comments ELSE '' END || '*' || chr(10) || '> ' || trim(replace(excerpt, chr(10), ' ')) || chr(10) || '---' AS body FROM v_items", ITEMS_SQL)
+_META = "'`' || source || ':' || source_handle || '` · T' || source_tier || ' · ' || strftime(posted_at, '%Y-%m-%d %H:%M UTC') || ' · ' || language || CASE WHEN author <> source_handle THEN ' · by ' || author ELSE '' END || CASE WHEN likes > 0 THEN ' · ♥ ' || likes ELSE '' END || CASE WHEN comments > 0 THEN ' · 💬 ' || comments ELSE '' END"
+_BODY = "'### [' || title || '](' || url || ')' || chr(10) || chr(10) || " + _META + " || chr(10) || chr(10) || CASE WHEN excerpt <> '' THEN '> ' || regexp_replace(replace(excerpt, chr(10), ' '), '^\\s+|\\s+$', '', 'g') || chr(10) || chr(10) ELSE '' END"
+_END = "'---' || chr(10)"
+
+
+@query("r1_render_item", f"SELECT seq, {_BODY} || {_END} AS body FROM v_items", ITEMS_SQL)
 def _(spark, sf):
-    return v_items(spark, sf).select("seq", render.item().alias("body"))
+    rows = v_items(spark, sf).drop("comments")
+    return rows.select("seq", render.item(rows.columns).alias("body"))
 
 
-@query("r2_render_day")
+@query(
+    "r1_render_full",
+    f"""SELECT i.seq, {_BODY} || CASE WHEN c.said IS NOT NULL THEN '> 💬 Top comments:' || chr(10) || c.said || chr(10) || chr(10) ELSE '' END
+ || CASE WHEN w.seen IS NOT NULL THEN '_also seen at: ' || w.seen || '_' || chr(10) || chr(10) ELSE '' END || {_END} AS body FROM v_items i
+LEFT JOIN (SELECT conv_id, string_agg('> - **@' || role || '**: ' || t, chr(10) ORDER BY turn) AS said FROM (SELECT conv_id, role, turn, CASE WHEN length(t) > 300 THEN substr(t, 1, 300) || '…' ELSE t END AS t
+  FROM (SELECT *, {_WS.format("regexp_replace(text, '<[^>]+>', '', 'g')")} AS t FROM conversations) p WHERE turn < 5 AND role <> 'system' AND t <> '') q GROUP BY 1) c ON c.conv_id = i.seq
+LEFT JOIN (SELECT id, string_agg(source || ':' || source_handle, '; ' ORDER BY seq) AS seen FROM (SELECT w.id, f.seq, f.source, f.source_handle, row_number() OVER (PARTITION BY w.id ORDER BY f.seq) AS n
+  FROM fresh f JOIN winners w USING (title_hash) WHERE f.id <> w.id) t WHERE n <= 50 GROUP BY 1) w ON w.id = i.id""",
+    _A1,
+)
 def _(spark, sf):
-    return render.day(G.ranked(D.first_per_id(v_items(spark, sf))), G.sections(spark))
+    items = v_items(spark, sf).drop("comments").withColumnRenamed("seq", "story")
+    full = W.with_comments(items, v_comments(spark, sf)).withColumnRenamed("story", "seq")
+    plain = v_items(spark, sf)
+    full = D.with_sightings(full, D.batch_sightings(plain, D.title_winners(plain)))
+    return full.select("seq", render.item(full.columns).alias("body"))
+
+
+GENERATED = "2024-01-31T08:00:00+08:00"
+_LABELS = ", ".join(f"({i}, '{k}', '{v}')" for i, (k, v) in enumerate(G.SECTIONS))
+_DAY = f"""unique_items AS (SELECT * FROM v_items QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq) = 1),
+bad AS (SELECT CAST(started_at + INTERVAL 8 HOUR AS DATE) AS day, source, error, status FROM v_runs QUALIFY row_number() OVER (PARTITION BY CAST(started_at + INTERVAL 8 HOUR AS DATE), source ORDER BY id DESC) = 1),
+failures AS (SELECT day, source, error FROM bad WHERE status <> 'ok'),
+days AS (SELECT day, count(*) AS n, count(DISTINCT source || ' ' || source_handle) AS sources FROM unique_items GROUP BY 1),
+heads AS (SELECT d.day, n, sources, (SELECT count(*) FROM failures f WHERE f.day = d.day) AS failed FROM days d),
+names(section_order, section, label) AS (VALUES {_LABELS})"""
+_DAY_SQL = f"""SELECT day, -3 AS section_order, '# AI Daily Digest — ' || day || chr(10) || chr(10) || '> generated_at: {GENERATED} (Asia/Taipei)' || chr(10) || '> total_items: ' || n || '  |  sources_active: ' || sources || '  |  sources_failed: ' || failed || CASE WHEN failed > 0 THEN chr(10) || '> failures:' ELSE '' END AS line FROM heads
+UNION ALL SELECT day, -2, '>   - ' || source || ': ' || error FROM failures WHERE day IN (SELECT day FROM days)
+UNION ALL SELECT day, -1, chr(10) || '---' || chr(10) FROM days
+UNION ALL SELECT day, section_order, '## ' || label || ' (' || count(*) || ' items)' || chr(10) FROM unique_items JOIN names USING (section) GROUP BY day, section_order, label
+UNION ALL SELECT day, section_order, {_BODY} || {_END} FROM unique_items JOIN names USING (section)"""
+
+
+def _day_report(spark: SparkSession, sf: str) -> DataFrame:
+    runs = v_runs(spark, sf).withColumn("day", T.business_day(F.col("started_at")))
+    last = runs.groupBy("day", "source").agg(F.max_by(F.struct("status", "error"), "id").alias("r"))
+    failed = last.where("r.status <> 'ok'").select("day", "source", "r.error")
+    return render.day(D.first_per_id(v_items(spark, sf).drop("comments")), G.sections(spark), failed, GENERATED)
 
 
-@query("r3_render_issues")
+@query("r2_render_day", _DAY_SQL, f"{ITEMS_SQL}, {RUNS_SQL}, {_DAY}")
 def _(spark, sf):
-    return render.issues(R.known_issues(v_runs(spark, sf)))
+    return _day_report(spark, sf).select("day", "section_order", "line")
+
+
+@query("r2_order", "SELECT day, section, id, row_number() OVER (PARTITION BY day, section ORDER BY source_tier, total DESC, posted_at DESC, id) AS rank FROM unique_items", f"{ITEMS_SQL}, {RUNS_SQL}, {_DAY}")
+def _(spark, sf):
+    return G.ranked(D.first_per_id(v_items(spark, sf))).select("day", "section", "id", "rank")
+
+
+@query("io9_day_report", f"SELECT day, CAST(sum(len(line) - len(replace(line, chr(10), '')) + 1) AS BIGINT) AS lines, CAST(sum(len(line) + 1) AS BIGINT) AS chars FROM ({_DAY_SQL}) t GROUP BY 1", f"{ITEMS_SQL}, {RUNS_SQL}, {_DAY}")
+def _(spark, sf):
+    path = scratch(spark)
+    for _again in range(2):  # a rerun replaces the day
+        store.write_report(_day_report(spark, sf), path)
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return lines.groupBy(F.col("day").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("lines"), F.sum(F.char_length("value") + 1).alias("chars"))
+
+
+_BUCKET = "CASE WHEN consecutive >= 7 THEN 2 WHEN last_error_class = 'user_action_required' THEN 0 WHEN last_error_class = 'persistent_error' THEN 1 ELSE 3 END"
+_HINT = "CASE WHEN source = 'src_1' THEN 'renew the key' WHEN source = 'src_2' THEN 'site moved' WHEN last_error_class = 'user_action_required' THEN 'log in again' WHEN last_error_class = 'transient' THEN 'wait' ELSE '' END"
+_TITLES = " ".join(f"WHEN {i} THEN '{v}'" for i, (_, v) in enumerate(render.BUCKETS))
+
+
+@query(
+    "r3_render_issues",
+    f"""SELECT -1 AS section_order, '{render.ISSUES_HEAD.format("2024-01-31 08:00")}' || CASE WHEN (SELECT count(*) FROM issues) = 0 THEN chr(10) || '{render.NO_ISSUES}' ELSE '' END AS line
+UNION ALL SELECT {_BUCKET}, '## ' || CASE {_BUCKET} {_TITLES} END || ' (' || count(*) || ')' || chr(10) FROM issues GROUP BY 1, {_BUCKET}
+UNION ALL SELECT DISTINCT {_BUCKET}, '' FROM issues
+UNION ALL SELECT {_BUCKET}, '- **' || source || '** (' || last_error_class || ') — ' || last_error || chr(10) || '  - last ok: ' || coalesce(strftime(last_ok_at + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M CST'), '（無紀錄）') || ' · consecutive fails: ' || consecutive || ' · last attempts: ' || last_attempts || chr(10) || '  - → ' || {_HINT} FROM issues""",
+    _ISSUES,
+)
+def _(spark, sf):
+    return render.issues(_with_hints(spark, R.known_issues(v_runs(spark, sf))), "2024-01-31 08:00").select("section_order", "line")
+
+
+@query("j10_enrich_repos", "SELECT 'https://github.com/' || source || '/' || doc_id AS canonical_url, substr(text, 1, 1500) AS readme, CASE WHEN lang = 'en' THEN substr(upper(source), 1, 500) WHEN lang = 'fr' THEN substr(text, 1, 500) END AS positioning FROM documents")
+def _(spark, sf):
+    docs = table(spark, sf, "documents").withColumn("url", F.concat(F.lit("https://github.com/"), "source", F.lit("/"), F.col("doc_id").cast("string")))
+    items = docs.select(F.col("url").alias("canonical_url")).union(docs.select(F.concat("url", F.lit("/issues"))))  # a page inside a repository is not its front page
+    texts = docs.where("lang in ('en', 'fr')").select("url", F.lit("README.md").alias("name"), F.col("text").alias("body")).union(docs.where("lang = 'en'").select("url", F.lit("ABOUT.md"), F.upper("source")))
+    return W.enrich_repos(items, docs.select("url", F.col("text").alias("readme"), F.col("n_chars").alias("stars")), texts, ["ABOUT.md", "README.md"]).select("canonical_url", "readme", "positioning")
+
+
+@query("o3_preview", "SELECT seq, id FROM v_items ORDER BY seq LIMIT 20", ITEMS_SQL)
+def _(spark, sf):
+    return G.preview(v_items(spark, sf), 20).select("seq", "id")
+
+
+@query("u1_nfkc", "SELECT doc_id, text FROM documents")
+def _(spark, sf):
+    wide = F.translate("text", "abcdefghij0123456789!?", "ａｂｃｄｅｆｇｈｉｊ０１２３４５６７８９！？")
+    return table(spark, sf, "documents").select("doc_id", X.nfkc(wide).alias("text"))
+
+
+@query("u2_html_unescape", "SELECT doc_id, text FROM documents")
+def _(spark, sf):
+    escaped = F.replace(F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&LT;")), F.lit("e"), F.lit("&#x65;")), F.lit("é"), F.lit("&eacute;"))
+    return table(spark, sf, "documents").select("doc_id", X.html_unescape(escaped).alias("text"))
+
+
+@query("u3_malformed_escapes", "SELECT page_id, 'https://e.test/' || page_id || '?a=1%252&b=%25zz%C3%A9+%2A&k=' AS canonical_url FROM pages")
+def _(spark, sf):
+    url = F.concat(F.lit("HTTPS://E.test/"), F.col("page_id").cast("string"), F.lit("//?k&b=%zzé+*&utm_x=%&a=1%2#f"))
+    return table(spark, sf, "pages").select("page_id", canonical_url(url).alias("canonical_url"))
+
+
+for _name, _run in landing.RUNS.items():
+    query(_name, landing.SQL[_name])(_run)
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
@@ -454,19 +624,33 @@ def _run_stream(spark: SparkSession, sf: str) -> DataFrame:
     return _events(spark, sf).selectExpr("event_id AS id", "concat('src_', user_id) AS source", "ts AS started_at", "CASE WHEN event_type = 'error' THEN 'failed' ELSE 'ok' END AS status")
 
 
+def _item_stream(spark: SparkSession, sf: str) -> DataFrame:
+    docs = spark.readStream.schema(table(spark, sf, "documents").schema).parquet(f"{sf}/document[s].parquet")
+    return items_of(docs)
+
+
+@query("st1_stream_ingest", "SELECT id, min(seq) AS seq FROM winners GROUP BY 1", _A1)
+def _(spark, sf):
+    at = scratch(spark)
+    narrow = _item_stream(spark, sf).select("id", "title_hash", "source_tier", "seq", *D.SIGHTING)
+    S.ingest(narrow, f"{at}/store", f"{at}/sightings", f"{at}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{at}/store").select("id", "seq")
+
+
 @query("st2_stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
 def _(spark, sf):
-    return S.run_to_table(spark, _events(spark, sf).select("user_id", "event_type").dropDuplicates(["user_id", "event_type"]), mode="append", finish=lambda df: df.drop("_batch"))
+    rows = _events(spark, sf).select("user_id", "event_type", F.concat_ws(" ", F.col("user_id").cast("string"), "event_type").alias("id"), F.col("ts").cast("timestamp").alias("fetched_at"))
+    return S.run_to_table(spark, S.bounded_dedup(rows, days=40), mode="append").select("user_id", "event_type")
 
 
 @query("st3_stream_day_counts", "SELECT CAST(ts + INTERVAL 8 HOUR AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def _(spark, sf):
-    return S.run_to_table(spark, S.day_counts(_events(spark, sf), "ts", ["event_type"]), mode="complete", finish=S.last_batch)
+    return S.run_to_table(spark, S.day_counts(_events(spark, sf), "ts", ["event_type"]), mode="update", finish=S.last_of(["day", "event_type"]))
 
 
 @query("st4_stream_health")
 def _(spark, sf):
-    return S.run_to_table(spark, S.sliding_health(_run_stream(spark, sf)), mode="complete", finish=S.last_batch)
+    return S.run_to_table(spark, S.sliding_health(_run_stream(spark, sf)), mode="update", finish=S.last_of(["from_day", "source"]))
 
 
 ORACLE["st4_stream_health"] = f"WITH {RUNS_SQL} SELECT CAST(started_at AS DATE) - CAST(d.range AS INT) AS from_day, source, count(*) AS runs, count(*) FILTER (WHERE status = 'ok') AS ok, count(*) FILTER (WHERE status <> 'ok') AS fail FROM v_runs, range(7) d GROUP BY 1, 2"
@@ -474,5 +658,12 @@ ORACLE["st4_stream_health"] = f"WITH {RUNS_SQL} SELECT CAST(started_at AS DATE)
 
 @query("st5_stream_streaks", "SELECT k.source, count(r.id) AS streak FROM lastok k LEFT JOIN v_runs r ON r.source = k.source AND r.status <> 'ok' AND (k.last_ok_at IS NULL OR r.started_at > k.last_ok_at) GROUP BY 1", _ISSUES)
 def _(spark, sf):
-    rows = S.run_to_table(spark, S.live_streaks(_run_stream(spark, sf)), mode="update", finish=lambda df: df)
-    return rows.groupBy("source").agg(F.max_by("streak", "_batch").alias("streak"))
+    at = scratch(spark)
+    S.live_streaks(_run_stream(spark, sf), f"{at}/state", f"{at}/checkpoint").awaitTermination()
+    return S.latest_state(spark, f"{at}/state").select("source", "streak")
+
+
+@query("st6_late_items", "SELECT day, CAST(posted_at + INTERVAL 8 HOUR AS DATE) < day AS late, count(*) AS n FROM v_items GROUP BY 1, 2", ITEMS_SQL)
+def _(spark, sf):
+    rows = _item_stream(spark, sf).select("fetched_at", (T.business_day(F.col("posted_at")) < T.business_day(F.col("fetched_at"))).alias("late"))
+    return S.run_to_table(spark, S.day_counts(rows, "fetched_at", ["late"]), mode="update", finish=S.last_of(["day", "late"]))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import html
 import json
 import re
 from collections.abc import Iterator
@@ -13,41 +12,43 @@ from pyspark.sql import DataFrame
 
 
 class _Repos(HTMLParser):
-    """Rows of a repository list: article.Box-row with h2 a[href], a paragraph and a star link."""
+    """Rows of a repository list: in each article.Box-row the first link of its heading, its first paragraph and its first star link."""
 
     def __init__(self) -> None:
         super().__init__()
-        self.rows: list[dict] = []
+        self.rows: list[dict[str, str]] = []
         self.inside = self.heading = False
-        self.field: str | None = None
+        self.field: tuple[str, str] | None = None  # the tag that is open, and where its text goes
 
     def handle_starttag(self, tag, attrs):
         a = dict(attrs)
         if tag == "article" and "Box-row" in (a.get("class") or "").split():
             self.inside = True
-            self.rows.append({"slug": "", "description": "", "stars": ""})
+            self.rows.append({})
         elif self.inside and tag == "h2":
             self.heading = True
         elif self.inside and tag == "a":
             href = a.get("href") or ""
             if self.heading:
-                self.rows[-1]["slug"] = href.strip("/")
-            elif href.endswith("/stargazers"):
-                self.field = "stars"
-        elif self.inside and tag == "p":
-            self.field = "description"
+                self.rows[-1].setdefault("slug", href.strip("/"))
+            elif href.endswith("/stargazers") and "stars" not in self.rows[-1]:
+                self.field = "a", "stars"
+                self.rows[-1]["stars"] = ""
+        elif self.inside and tag == "p" and "description" not in self.rows[-1]:
+            self.field = "p", "description"
+            self.rows[-1]["description"] = ""
 
     def handle_endtag(self, tag):
         if tag == "article":
             self.inside = False
         elif tag == "h2":
             self.heading = False
-        if tag in ("a", "p"):
+        if self.field and tag in (self.field[0], "article"):
             self.field = None
 
     def handle_data(self, data):
-        if self.inside and self.field:
-            self.rows[-1][self.field] += data
+        if self.field:
+            self.rows[-1][self.field[1]] += data
 
 
 def repo_lists(pages: DataFrame) -> DataFrame:
@@ -59,13 +60,13 @@ def repo_lists(pages: DataFrame) -> DataFrame:
             for page, text in zip(frame["page_id"], frame["html"], strict=True):
                 reader = _Repos()
                 reader.feed(text or "")
-                rows += [(page, i, r["slug"], " ".join(r["description"].split()), r["stars"].strip()) for i, r in enumerate(reader.rows) if r["slug"]]
+                rows += [(page, i, r["slug"], r.get("description", "").strip(), r.get("stars", "").strip()) for i, r in enumerate(reader.rows) if r.get("slug")]
             yield pd.DataFrame(rows, columns=["page_id", "pos", "slug", "description", "stars"])
 
     return pages.select("page_id", "html").mapInPandas(run, "page_id long, pos long, slug string, description string, stars string")
 
 
-_CHUNK = re.compile(r'self\.__next_f\.push\(\[1,\s*"((?:[^"\\]|\\.)*)"\]\)', re.S)
+_CHUNK = re.compile(r'self\.__next_f\.push\(\[\d+,\s*"((?:[^"\\]|\\.)*)"\]\)', re.S)
 
 
 def objects(text: str) -> Iterator[dict]:
@@ -90,17 +91,31 @@ def _walk(value) -> Iterator[dict]:
             yield from _walk(v)
 
 
+def _decoded(chunk: str) -> str:
+    """A script chunk's text; a damaged chunk has none."""
+    try:
+        return json.loads(f'"{chunk}"', strict=False)
+    except ValueError:
+        return ""
+
+
+def _record(r: dict) -> tuple | None:
+    """rank, score, full_name, description, if the first three are there and are what they should be."""
+    try:
+        return int(r["rank"]), float(r["score"]), str(r["full_name"]), str(r.get("description") or "")
+    except (KeyError, TypeError, ValueError):
+        return None
+
+
 def ranked_repos(pages: DataFrame) -> DataFrame:
-    """page_id, rank, score, full_name of the records that a streamed page carries in its script chunks."""
+    """page_id, rank, score, full_name, description of the records that a streamed page carries in its script chunks, whatever their numbers."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
             for page, text in zip(frame["page_id"], frame["html"], strict=True):
-                body = "".join(json.loads(f'"{c}"', strict=False) for c in _CHUNK.findall(text or ""))
-                for record in (r for o in objects(html.unescape(body)) for r in _walk(o)):
-                    if all(record.get(k) is not None for k in ("rank", "score", "full_name")):
-                        rows.append((page, int(record["rank"]), float(record["score"]), str(record["full_name"])))
-            yield pd.DataFrame(rows, columns=["page_id", "rank", "score", "full_name"])
+                body = "".join(map(_decoded, _CHUNK.findall(text or "")))
+                rows += [(page, *found) for o in objects(body) for r in _walk(o) if (found := _record(r))]
+            yield pd.DataFrame(rows, columns=["page_id", "rank", "score", "full_name", "description"])
 
-    return pages.select("page_id", "html").mapInPandas(run, "page_id long, rank int, score double, full_name string")
+    return pages.select("page_id", "html").mapInPandas(run, "page_id long, rank int, score double, full_name string, description string")

@@ -7,12 +7,12 @@ the tier and the language come from the caller.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedjobs.functions.text import excerpt, item_id, matches_any, shorten, strip, title_hash
 from feedjobs.functions.times import from_epoch, parse_time
-from feedjobs.functions.urls import canonical_url_exact
+from feedjobs.functions.urls import canonical_url
 
 _TWEET = "type string, url string, text string, createdAt string, likeCount long, replyCount long, retweetCount long, author struct<userName:string,name:string>"
 _THREAD = "text string, url string, author string, author_name string, lang string, created_at long, like_count long, reply_count long, repost_count long"
@@ -28,19 +28,20 @@ SCHEMAS = {
 }
 
 
-def landed(spark: SparkSession, path: str, platform: str) -> DataFrame:
-    """The payload's records with pos, their place in the file."""
+def landed(spark: SparkSession, path: str, platform: str, *, lines: bool = False) -> DataFrame:
+    """The payload's records with pos, their place in the file. A payload is a file or, with ``lines``, a line."""
     schema, inside = SCHEMAS[platform]
-    rows = spark.read.schema(schema).json(path, multiLine=True)
+    rows = spark.read.schema(schema).json(path, multiLine=not lines)
     if inside is None:
         return rows.withColumn("pos", F.monotonically_increasing_id())
     return rows.select(F.posexplode(inside).alias("pos", "r")).select("r.*", "pos")
 
 
-def feed(spark: SparkSession, path: str, *, atom: bool = False) -> DataFrame:
-    """RSS items or Atom entries, one row each, in the file's order."""
-    schema = "title string, link string, description string, summary string, pubDate string, published string, updated string, author string"
-    return spark.read.format("xml").option("rowTag", "entry" if atom else "item").schema(schema).load(path).withColumn("pos", F.monotonically_increasing_id())
+def feed(spark: SparkSession, path: str, *, atom: bool = False, extra: tuple[str, ...] = ()) -> DataFrame:
+    """RSS items or Atom entries, one row each, in the file's order. ``extra``: more fields, as ``name type``; ``feed`` is the file's name if it is not one of them."""
+    schema = ", ".join(["title string, link string, description string, summary string, pubDate string, published string, updated string, author string", *extra])
+    rows = spark.read.format("xml").option("rowTag", "entry" if atom else "item").schema(schema).load(path).withColumn("pos", F.monotonically_increasing_id())
+    return rows if "feed" in rows.columns else rows.withColumn("feed", F.input_file_name())
 
 
 def _n(c: str) -> Column:
@@ -58,7 +59,7 @@ def _items(rows: DataFrame, *, source: str, title: Column, url: Column, posted:
     )
     if drop_empty:
         made = made.where((F.col("title") != "") & (F.col("url") != ""))
-    made = made.withColumn("canonical_url", canonical_url_exact(F.col("url")))
+    made = made.withColumn("canonical_url", canonical_url(F.col("url")))
     return made.withColumn("id", item_id(F.col("canonical_url"))).withColumn("title_hash", title_hash(F.col("title")))
 
 
@@ -78,13 +79,15 @@ def reddit(rows: DataFrame, fetched: Column, subreddit: str, *, tier: int = 2) -
 def github_trending(rows: DataFrame, fetched: Column, language: str, keywords: list[str], *, tier: int = 2) -> DataFrame:
     """rows: slug, description, stars (see html.repo_lists)."""
     rows = rows.where(matches_any(F.concat_ws(" ", "slug", "description"), keywords))
-    return _items(rows, source="github", title=F.col("slug"), url=F.concat(F.lit("https://github.com/"), "slug"), posted=fetched, fetched=fetched, counts={"stars": _n("stars")}, handle=F.lit(f"trending:{language or 'all'}"), author=F.substring_index("slug", "/", 1), text=F.substring("description", 1, 200), tier=tier)
+    return _items(rows, source="github_trending", title=F.col("slug"), url=F.concat(F.lit("https://github.com/"), "slug"), posted=fetched, fetched=fetched, counts={"stars": _n("stars")}, handle=F.lit(f"trending:{language or 'all'}"), author=F.substring_index("slug", "/", 1), text=F.substring("description", 1, 200), tier=tier)
 
 
 def trendshift(rows: DataFrame, fetched: Column, limit: int, keywords: list[str], *, tier: int = 2) -> DataFrame:
-    """rows: rank, score, full_name (see html.ranked_repos). The limit comes before the keywords."""
-    rows = rows.dropDuplicates(["rank", "full_name"]).orderBy("rank", "full_name").limit(limit).where(matches_any(F.col("full_name"), keywords)).withColumn("pos", F.col("rank").cast("long"))
-    return _items(rows, source="trendshift", title=F.col("full_name"), url=F.concat(F.lit("https://github.com/"), "full_name"), posted=fetched, fetched=fetched, counts={"rank": _n("rank"), "score": F.col("score").cast("long")}, handle=F.concat(F.lit("rising:rank-"), F.col("rank").cast("string")), author=F.substring_index("full_name", "/", 1), tier=tier)
+    """rows: rank, score, full_name, description (see html.ranked_repos). The limit holds for each page and comes before the keywords."""
+    page = ["page_id"] if "page_id" in rows.columns else []
+    place = F.row_number().over(Window.partitionBy(*page).orderBy("rank", "full_name"))
+    rows = rows.dropDuplicates([*page, "rank", "full_name"]).withColumn("_place", place).where(F.col("_place") <= limit).where(matches_any(F.col("full_name"), keywords)).withColumn("pos", F.col("rank").cast("long"))
+    return _items(rows, source="trendshift", title=F.col("full_name"), url=F.concat(F.lit("https://github.com/"), "full_name"), posted=fetched, fetched=fetched, counts={"rank": _n("rank"), "score": F.col("score").cast("long")}, handle=F.concat(F.lit("rising:rank-"), F.col("rank").cast("string")), author=F.substring_index("full_name", "/", 1), text=F.substring("description", 1, 200) if "description" in rows.columns else None, tier=tier)
 
 
 def product_hunt(rows: DataFrame, fetched: Column, *, tier: int = 2) -> DataFrame:
@@ -98,12 +101,16 @@ def hugging_face(rows: DataFrame, fetched: Column, category: str, *, tier: int =
     return _items(rows, source="huggingface", title=name, url=F.concat(F.lit("https://huggingface.co/"), name), posted=parse_time(F.col("lastModified"), fetched), fetched=fetched, counts={"likes": _n("likes"), "downloads": _n("downloads")}, handle=F.lit(f"trending:{category}"), author=author, text=F.col("pipeline_tag"), tier=tier)
 
 
-def rss(rows: DataFrame, fetched: Column, source_id: str, *, limit: int = 50, source: str = "rss", language: str = "en", tier: int = 2) -> DataFrame:
-    """source: ``rss``, ``rsshub`` (no fallback to the update time) or ``wewe_rss`` (also: summaries only)."""
-    rows = rows.orderBy("pos").limit(limit)
+def rss(rows: DataFrame, fetched: Column, source_id: str, *, limit: int = 30, source: str = "rss", language: str = "en", tier: int = 2, handle: str | None = None) -> DataFrame:
+    """source: ``rss``, ``rsshub`` (no fallback to the update time) or ``wewe_rss`` (also: summaries only).
+
+    The limit holds for each feed, by the column ``feed`` if there is one. ``handle``: a column that names each row's source in place of ``source_id``.
+    """
+    place = F.row_number().over(Window.partitionBy(*[c for c in ["feed"] if c in rows.columns]).orderBy("pos"))
+    rows = rows.withColumn("_place", place).where(F.col("_place") <= limit)
     text = F.col("summary") if source == "wewe_rss" else F.coalesce(F.nullif("summary", F.lit("")), "description")
     times = [F.coalesce("pubDate", "published"), *([F.col("updated")] if source == "rss" else [])]
-    return _items(rows, source=source, title=strip(F.col("title")), url=strip(F.col("link")), posted=parse_time(F.coalesce(*times), fetched), fetched=fetched, counts={}, handle=F.lit(source_id), author=F.col("author"), text=excerpt(F.coalesce(text, F.lit(""))), language=F.lit(language), tier=tier)
+    return _items(rows, source=source, title=strip(F.col("title")), url=strip(F.col("link")), posted=parse_time(F.coalesce(*times), fetched), fetched=fetched, counts={}, handle=F.lit(source_id) if handle is None else F.col(handle), author=F.col("author"), text=excerpt(F.coalesce(text, F.lit(""))), language=F.lit(language), tier=tier)
 
 
 def x(rows: DataFrame, fetched: Column, *, tier: int = 2, language: str = "en") -> DataFrame:

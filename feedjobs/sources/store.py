@@ -25,6 +25,13 @@ def source_config(spark: SparkSession, entries: list[dict], language: str = "en"
     return spark.createDataFrame(rows, "id string, type string, enabled boolean, tier int, language string, params map<string,string>")
 
 
+def with_config_defaults(rows: DataFrame, language: str = "en") -> DataFrame:
+    """The same from landed rows (id, type, enabled, tier, language, params); a row without id or type ends the job."""
+    missing = (F.coalesce("id", F.lit("")) == "") | (F.coalesce("type", F.lit("")) == "")
+    checked = F.when(missing, F.raise_error(F.concat(F.lit("a source needs id and type: "), F.to_json(F.struct(*rows.columns))))).otherwise(F.col("id"))
+    return rows.select(checked.alias("id"), "type", F.coalesce("enabled", F.lit(True)).alias("enabled"), F.coalesce("tier", F.lit(2)).alias("tier"), F.coalesce("language", F.lit(language)).alias("language"), "params")
+
+
 def append_items(items: DataFrame, store: DataFrame | None, path: str) -> None:
     """Append items whose id is new, partitioned by the business day of fetching."""
     fresh = first_per_id(items if store is None else unseen(items, store))
@@ -67,5 +74,6 @@ def write_report(lines: DataFrame, path: str) -> None:
 
     A day is range-split by its order, so a large one is several parts in name order.
     """
-    ordered = lines.repartitionByRange("day", "section_order", "position").sortWithinPartitions("day", "section_order", "position")
+    order = ["day", "section_order", "position", "line"]
+    ordered = lines.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.select("day", F.col("line").alias("value")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").text(path)

@@ -2,24 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from feedjobs.functions.times import business_day
 from feedjobs.operators.dedup import dedup
+from feedjobs.operators.lineage import cut, scratch
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared checkpoint directory; a local one only where none is set."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="feedjobs-")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+STREAKS = "source string, last_ok_at timestamp_ntz, last_run long, streak long, alert boolean"
 
 
 def ingest(items: DataFrame, store_path: str, sightings_path: str, checkpoint: str):
@@ -61,18 +55,37 @@ def sliding_health(runs: DataFrame, days: int = 7) -> DataFrame:
     return counted.select(F.to_date("w.start").alias("from_day"), "source", "runs", "ok", "fail")
 
 
-def live_streaks(runs: DataFrame, alert: int = 7) -> DataFrame:
-    """Per source and micro-batch: last run, failures since the last success, whether it is ``alert`` or more."""
+def live_streaks(runs: DataFrame, state_path: str, checkpoint: str, alert: int = 7):
+    """After every micro-batch: source, last_ok_at, last_run, streak (failures since the last success) and whether it is ``alert`` or more.
 
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, streak = state.get if state.exists else (-1, 0)
-        rows = pd.concat(frames).sort_values(["started_at", "id"])
-        for run, status in zip(rows["id"], rows["status"], strict=True):
-            last, streak = int(run), 0 if status == "ok" else streak + 1
-        state.update((last, streak))
-        yield pd.DataFrame({"source": [key[0]], "last_run": [last], "streak": [streak], "alert": [streak >= alert]})
+    A micro-batch is one row a source before it meets the state, so a source of any size is many tasks' work. A batch's number names
+    its folder; a replay reads the folder before its own and overwrites its own. A failure that comes late counts if it is later
+    than the last success known; a success that comes late ends no failures after it.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch = cut(batch.select("source", "id", "started_at", "status"))
+        ok = F.max(F.when(F.col("status") == "ok", F.col("started_at")))
+        fresh = batch.groupBy("source").agg(ok.alias("_ok"), F.max_by("id", F.struct("started_at", "id")).alias("_run"))
+        old = latest_state(spark, state_path, number) if number else spark.createDataFrame([], STREAKS)
+        state = cut(fresh.join(old.drop("alert"), "source", "full").withColumn("_last", F.greatest("_ok", "last_ok_at")))
+        since = batch.where("status <> 'ok'").join(state.select("source", "_last"), "source").where("_last is null or started_at > _last")
+        more = since.groupBy("source").agg(F.count(F.lit(1)).alias("_more"))
+        kept = F.when(F.col("_ok").isNull() | (F.col("last_ok_at") >= F.col("_ok")), F.coalesce("streak", F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long"))
+        streak = kept + F.coalesce("_more", F.lit(0).cast("long"))
+        done = state.join(more, "source", "left").select("source", F.col("_last").alias("last_ok_at"), F.coalesce("_run", "last_run").alias("last_run"), streak.alias("streak"))
+        done.withColumn("alert", F.col("streak") >= alert).write.mode("overwrite").parquet(f"{state_path}/batch={number:010d}")
 
-    return runs.groupBy("source").applyInPandasWithState(step, "source string, last_run long, streak long, alert boolean", "last_run long, streak long", "update", "NoTimeout")
+    return runs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def latest_state(spark: SparkSession, state_path: str, before: int | None = None) -> DataFrame:
+    """The state that the last micro-batch (``before`` that one) left. Every batch writes all sources, one short row each."""
+    rows = spark.read.schema(f"{STREAKS}, batch long").parquet(state_path)
+    rows = rows if before is None else rows.where(F.col("batch") < before)
+    last = rows.agg(F.max("batch")).first()[0]
+    return rows.where(F.col("batch") == (-1 if last is None else last)).drop("batch")
 
 
 def run_to_table(spark: SparkSession, source: DataFrame, *, mode: str, finish: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
@@ -88,7 +101,11 @@ def run_to_table(spark: SparkSession, source: DataFrame, *, mode: str, finish: C
     return finish(rows)
 
 
-def last_batch(rows: DataFrame) -> DataFrame:
-    """What a stream in complete mode has in the end."""
-    newest = rows.agg(F.max("_batch").alias("_newest"))
-    return rows.join(F.broadcast(newest), F.col("_batch") == F.col("_newest")).drop("_batch", "_newest")
+def last_of(keys: list[str]) -> Callable[[DataFrame], DataFrame]:
+    """What a stream in update mode has in the end: each key's row of the newest micro-batch that changed it."""
+
+    def finish(rows: DataFrame) -> DataFrame:
+        rest = [c for c in rows.columns if c not in keys and c != "_batch"]
+        return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_batch").alias("_r")).select(*keys, "_r.*")
+
+    return finish

@@ -1,5 +1,6 @@
 """Every query with SQL agrees with DuckDB on the smallest tables."""
 
+import os
 from pathlib import Path
 
 import duckdb
@@ -9,7 +10,7 @@ import pytest
 
 from feedjobs.plans.queries import ORACLE, QUERIES
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not Path(SF).is_dir(), reason="needs the test tables")
 
 

@@ -36,10 +36,37 @@ def test_html_readers(spark):
     page = '<article class="Box-row"><h2><a href="/o/r">o / r</a></h2><p>Does  things</p><a href="/o/r/stargazers"> 1,234 </a></article>'
     chunk = 'self.__next_f.push([1,"x:{\\"list\\":[{\\"rank\\":1,\\"score\\":9.5,\\"full_name\\":\\"o/r\\"}]}"])'
     pages = spark.createDataFrame([(1, page), (2, chunk), (3, None)], "page_id long, html string")
-    assert [(r.slug, r.description, r.stars) for r in html.repo_lists(pages).collect()] == [("o/r", "Does things", "1,234")]
+    assert [(r.slug, r.description, r.stars) for r in html.repo_lists(pages).collect()] == [("o/r", "Does  things", "1,234")]
     assert [(r["rank"], r.score, r.full_name) for r in html.ranked_repos(pages).collect()] == [(1, 9.5, "o/r")]
 
 
+def test_pages_with_nested_tags_and_damaged_chunks(spark):
+    page = '<article class="Box-row"><h2><a href="/o/r">o</a><a href="/x">x</a></h2><p> Has <a href="/y">a link</a> inside &amp; more </p><p>second</p><a href="/o/r/stargazers">1.2k</a><a href="/q/stargazers">9</a></article><p>outside</p><article class="Box-row"><h2></h2></article>'
+    push = "self.__next_f.push([{},\"{}\"])"
+    record = json.dumps({"rank": 2, "score": 9.9, "full_name": "o/r", "description": 'say &quot;é {x}"'})
+    chunks = "".join([push.format(0, "1:{\\\"half"), push.format(1, "bad \\q"), push.format(27, json.dumps("[" + record)[1:-1]), push.format(3, json.dumps('{"rank": "no", "score": 1, "full_name": "a/b"}')[1:-1])])
+    pages = spark.createDataFrame([(1, page), (2, chunks)], "page_id long, html string")
+    assert [(r.slug, r.description, r.stars) for r in html.repo_lists(pages).collect()] == [("o/r", "Has a link inside & more", "1.2k")]
+    assert [(r["rank"], r.score, r.full_name, r.description) for r in html.ranked_repos(pages).collect()] == [(2, 9.9, "o/r", 'say &quot;é {x}"')]
+
+
+def test_limits_hold_for_each_feed(spark, tmp_path):
+    for n in "ab":
+        (tmp_path / f"{n}.xml").write_text("<rss>" + "".join(f"<item><title>{n}{i}</title><link>https://e.com/{n}{i}</link></item>" for i in range(3)) + "</rss>")
+    got = normalize.rss(normalize.feed(spark, str(tmp_path)), now(), "f", limit=2).collect()
+    assert sorted(r.title for r in got) == ["a0", "a1", "b0", "b1"]
+    repos = spark.createDataFrame([(p, k, 1.0, f"o/{p}{k}", "d" * 300) for p in (1, 2) for k in (2, 1, 3)], "page_id long, rank int, score double, full_name string, description string")
+    rows = normalize.trendshift(repos, now(), 2, []).collect()
+    assert sorted(r.title for r in rows) == ["o/11", "o/12", "o/21", "o/22"] and {len(r.excerpt) for r in rows} == {200}
+
+
+def test_config_rows(spark):
+    rows = spark.createDataFrame([("a", "rss", None, None, None, {"u": "1"}), ("b", "x", False, 1, "fr", None)], "id string, type string, enabled boolean, tier int, language string, params map<string,string>")
+    assert [(r.id, r.enabled, r.tier, r.language) for r in store.with_config_defaults(rows).orderBy("id").collect()] == [("a", True, 2, "en"), ("b", False, 1, "fr")]
+    with pytest.raises(Exception, match="needs id and type"):
+        store.with_config_defaults(rows.withColumn("type", F.lit(""))).collect()
+
+
 def test_store_round_trip(spark, tmp_path):
     path = str(tmp_path / "items")
     rows = spark.createDataFrame([("a", 1, None, '{"likes": 3}'), ("a", 2, "x", None), ("b", 3, "x", None)], "id string, seq long, author string, engagement_json string").withColumn("fetched_at", now())

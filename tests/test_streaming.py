@@ -42,6 +42,41 @@ def test_bounded_dedup(spark, tmp_path):
     assert sorted(r.id for r in jobs.run_to_table(spark, jobs.bounded_dedup(stream), mode="append").collect()) == ["a", "b"]
 
 
+def test_live_streaks_over_batches_and_a_replay(spark, tmp_path):
+    landed, state, marks = (str(tmp_path / n) for n in ("landed", "state", "marks"))
+    kind = "source string, id long, started_at timestamp_ntz, status string"
+
+    def land(rows):
+        made = spark.createDataFrame([(s, i, t, o) for s, i, t, o in rows], "source string, id long, t string, status string")
+        made.select("source", "id", F.col("t").cast("timestamp_ntz").alias("started_at"), "status").coalesce(1).write.mode("append").parquet(landed)
+
+    def run():
+        jobs.live_streaks(spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(landed), state, marks, alert=3).awaitTermination()
+        return {r.source: (r.last_run, r.streak, r.alert) for r in jobs.latest_state(spark, state).collect()}
+
+    land([("a", 1, "2026-05-01 01:00", "failed"), ("a", 2, "2026-05-01 02:00", "ok"), ("a", 3, "2026-05-01 03:00", "failed"), ("b", 4, "2026-05-01 01:00", "failed")])
+    assert run() == {"a": (3, 1, False), "b": (4, 1, False)}
+    land([("a", 5, "2026-05-01 04:00", "failed"), ("a", 6, "2026-05-01 05:00", None), ("a", 7, "2026-05-01 06:00", "failed"), ("c", 8, "2026-05-01 01:00", "ok")])
+    want = {"a": (7, 3, True), "b": (4, 1, False), "c": (8, 0, False)}
+    assert run() == want
+    for mark in Path(marks, "commits").glob("*1*"):
+        mark.unlink()
+    assert run() == want
+    land([("a", 9, "2026-05-01 07:00", "ok"), ("a", 10, "2026-05-01 06:30", "failed"), ("b", 11, "2026-05-01 02:00", "failed")])
+    assert run() == {"a": (9, 0, False), "b": (11, 2, False), "c": (8, 0, False)}
+
+
+def test_day_counts_and_health_in_update_mode(spark, tmp_path):
+    rows = [("a", f"2026-05-0{d} {h}:00:00", "ok" if h == "01" else "failed") for d in range(1, 4) for h in ("01", "15", "16")]
+    for n, part in enumerate((rows[:4], rows[4:])):
+        spark.createDataFrame(part, "source string, t string, status string").select("source", F.col("t").cast("timestamp_ntz").alias("started_at"), "status").coalesce(1).write.parquet(str(tmp_path / f"in/{n}"))
+    stream = lambda: spark.readStream.schema("source string, started_at timestamp_ntz, status string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
+    days = jobs.run_to_table(spark, jobs.day_counts(stream(), "started_at", ["source"]), mode="update", finish=jobs.last_of(["day", "source"]))
+    assert sorted((str(r.day), r.n) for r in days.collect()) == [("2026-05-01", 2), ("2026-05-02", 3), ("2026-05-03", 3), ("2026-05-04", 1)]
+    health = jobs.run_to_table(spark, jobs.sliding_health(stream(), days=2), mode="update", finish=jobs.last_of(["from_day", "source"]))
+    assert sorted((str(r.from_day), r.runs, r.ok, r.fail) for r in health.collect()) == [("2026-04-30", 3, 1, 2), ("2026-05-01", 6, 2, 4), ("2026-05-02", 6, 2, 4), ("2026-05-03", 3, 1, 2)]
+
+
 def test_ingest_keeps_a_link_whose_title_came_under_a_known_link(spark, tmp_path):
     landed, store, noted, marks = (str(tmp_path / n) for n in ("landed", "store", "noted", "marks"))
     land(spark, landed, [item("l1", "t1", 2, 0), item("l1", "t2", 2, 1), item("l2", "t2", 2, 2)])
