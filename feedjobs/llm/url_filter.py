@@ -12,82 +12,47 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Buckets for n-grams, and their lengths.
-BUCKETS, SIZES = 1 << 14, (3, 4, 5)
-#: Most rules that verdicts are taken from; they become one expression.
-MAX_RULES = 1_000
-
-# The small labelled table. Hosts and first path parts of each kind.
-BLOCKED = """
-http://www.cheap-pills.example.com/en/1
-https://cheap-pills.test/buy-now
-http://buy-cheap-meds.test/pills/order.html
-https://online-casino-bonus.test/free-spins
-http://casino.best-slots.test/jackpot/win
-http://www.free-viagra-pills.test/discount
-https://payday-loans-fast.test/apply-now
-http://win-prize-money.test/claim?ref=x
-http://hot-singles.test/adult/chat
-https://xxx-videos.test/adult/watch
-http://cheap-replica-watches.test/sale/rolex
-https://earn-cash-fast.test/make-money
-http://crypto-giveaway.test/free-bitcoin
-https://pills-discount.test/pharmacy/no-prescription
-http://bet-now-casino.test/poker
-https://download-crack-keygen.test/warez
-http://cheap-pills-online.test/en/2
-http://cheap-meds.example.net/en/1
-https://online-casino.example.org/fr/2.html
-http://www.free-viagra.example.com/de/3?page=2&ref=x
-https://m.pills-casino.example.net/es/4/
-http://www.best-cheap-pills.test/fr/3?utm_source=feed
-https://m.casino-pills.test/de/4
-https://weight-loss-miracle.test/diet-pills
+BUCKETS, SIZES = 1 << 14, (2, 3, 4)
+#: Rules that become one expression; more are joined.
+EXPRESSION = 100
+
+# The hosts of the small labelled table: words that unwanted and ordinary ones are made of, and paths that say nothing.
+BLOCKED_WORDS = """
+casino poker jackpot bet bets betting lottery win winner prize bonus pills meds viagra pharmacy cheap discount sale
+free money cash loans bitcoin adult sexy xxx porn cams ads adserver popup banner track tracking tracker clicks spam farm backlinks warez
 """.split()
-ALLOWED = """
-https://www.example.org/en/1
-https://blog.example.net/en/2.html
-http://example.com/fr/3/
-https://m.example.org/es/4#top
-https://news.example.net/de/5?page=2&ref=x
-http://www.example.com/en/6?utm_source=feed
-https://docs.python.test/tutorial/introduction.html
-https://en.wikipedia.test/wiki/Linear_algebra
-https://blog.history.test/2021/05/old-maps
-https://library.university.test/catalogue/item/92
-http://museum.city.test/exhibitions/current
-https://www.newspaper.test/world/elections
-https://forum.gardening.test/thread/roses
-http://recipes.kitchen.test/bread/sourdough
-https://research.institute.test/papers/abstract/17
-https://weather.service.test/forecast/weekly
-http://blog.travel.test/en/447.html
-https://www.theatre.test/fr/815
-https://m.science.test/en/302/
-http://school.district.test/calendar/2024
-https://thehealth.test/articles/sleep
-https://open.source.test/projects/readme
-https://blog.engineering.test/en/950?page=2&ref=x
-http://www.council.test/planning/minutes
-https://blog.garden.example.net/en/8
-http://www.river.example.com/fr/9.html
-https://m.stone.example.org/es/10/
-http://bridge.example.net/de/11?page=2&ref=x
-https://www.window.example.com/en/12#top
-https://m.summer.example.net/fr/13
-http://www.letter.example.com/en/14?utm_source=feed
-https://thought.example.net/es/15/
-http://blog.other.example.com/de/16
-https://m.thing.example.net/en/17.html
-https://blog.station.example.net/fr/18
-http://three.example.com/en/19#top
+ALLOWED_WORDS = """
+python-docs wikipedia history library university museum newspaper gardening kitchen research
+weather travel theatre science school thehealth opensource engineering council orchestra
+letters bridges stones harbour mountain window station river summer thought
+friends ministry parliament another northern weather-station together brother southern
+nation tradition education station-master fashion relation motion edition national tionary
+hands island england german-lessons landing brand thunder under-ground sheep shelter
+thanks there-and-then the-thing earth truth mothers method theory thread cathedral
+recipes observatory hospital cinema railway football cycling chess poetry bakery
 """.split()
+PATHS = ["/", "", "/index.html", "/page/2", "/fr/accueil", "/de/seite", "/news/article-17.html"]
+SITES, ENDS = ["", "www.", "m.", "blog.", "news."], [".com.test", ".sample.com.test", ".simple.net.test", ".people.org.test"]
+
+
+def labelled() -> tuple[list[str], list[str]]:
+    """Unwanted and ordinary addresses: hosts of a word, and of two words that stand some way apart in their list, each with one of the paths."""
+    made = []
+    for words in (BLOCKED_WORDS, ALLOWED_WORDS):
+        n = len(words)
+        hosts = words + [("-" if step % 2 else "").join((words[i], words[(i + step) % n])) for step in (6, 11, 15) for i in range(n)]
+        made.append([f"http://{SITES[i % 5]}{h}{ENDS[i % 4]}{PATHS[i % 7]}" for i, h in enumerate(hosts)])
+    return made[0], made[1]
+
+
+BLOCKED, ALLOWED = labelled()
 
 
 def seed_urls(spark: SparkSession) -> DataFrame:
-    """url, label (1.0: block): the small labelled table, whose size is fixed."""
+    """url, label (1.0: block): the small labelled table, whose size is fixed. It holds no host of the tables that are judged."""
     kinds = [F.explode(F.array(*[F.struct(F.lit(u).alias("url"), F.lit(y).alias("label")) for u in urls])) for y, urls in ((1.0, BLOCKED), (0.0, ALLOWED))]
-    one = spark.range(1)
-    return one.select(kinds[0].alias("r")).union(one.select(kinds[1].alias("r"))).select("r.url", "r.label")
+    one = spark.range(0, 1, 1, 1)
+    return one.select(kinds[0].alias("r")).union(one.select(kinds[1].alias("r"))).select("r.url", "r.label").coalesce(1)
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -101,11 +66,13 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 def grams(text: Column, mark: str) -> Column:
     """All n-grams, marked; the text's ends are ``^`` and ``$``."""
     whole = F.concat(F.lit("^"), text, F.lit("$"))
-    many = [
-        F.when(F.length(whole) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.length(whole) - n + 1, F.lit(1))), lambda i, n=n: F.concat(F.lit(mark), F.substring(whole, i, F.lit(n))))).otherwise(F.array().cast("array<string>"))
-        for n in SIZES
-    ]
-    return F.concat(*many)
+
+    def of(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(whole) - n + 1, F.lit(1)))
+        found = F.transform(starts, lambda i: F.concat(F.lit(mark), F.substring(whole, i, F.lit(n))))
+        return F.when(F.length(whole) >= n, found).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(*map(of, SIZES))
 
 
 def with_features(df: DataFrame) -> DataFrame:
@@ -119,32 +86,58 @@ def with_features(df: DataFrame) -> DataFrame:
 def train(labelled: DataFrame) -> LogisticRegressionModel:
     """Fit on (url, label); 1.0 means block. The table is small and its rows stand once."""
     rows = with_features(labelled.withColumnRenamed("url", "_url"))
-    return LogisticRegression(featuresCol="_f", labelCol="label", probabilityCol="_p", rawPredictionCol="_raw", predictionCol="_y", maxIter=40, regParam=0.02, standardization=False).fit(rows)
+    return LogisticRegression(featuresCol="_f", labelCol="label", probabilityCol="_p", rawPredictionCol="_raw", predictionCol="_y", maxIter=60, regParam=0.001, standardization=False).fit(rows)
+
+
+def _order(rules: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """The rule that wins comes last: the longest; of these a block; of these the one that sorts first."""
+    return sorted(sorted(rules, key=lambda r: r[1], reverse=True), key=lambda r: (len(r[1]), r[0] == "block"))
 
 
 def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[Column, Column]:
-    """The longest fitting rule and its verdict, or nulls. A rule is ``host/path``; it fits subdomains too."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
+    """The fitting rule that wins (see _order) and its verdict, or nulls. A rule is ``host/path``; it fits subdomains too."""
     name = verdict = F.lit(None).cast("string")
-    for decision, rule in sorted(rules, key=lambda r: len(r[1])):
+    for decision, rule in _order(rules):
         site, _, rest = rule.partition("/")
         fits = ((host == site) | host.endswith("." + site)) & path.startswith("/" + rest)
         name, verdict = F.when(fits, F.lit(rule)).otherwise(name), F.when(fits, F.lit(decision)).otherwise(verdict)
     return name, verdict
 
 
+def with_rules(rows: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
+    """Adds rule and _verdict to rows with host and path. A few rules are one expression; many are a table.
+
+    Then each host and path, once, meets the rules of its own domains and of the leading parts of its path that are as long as a rule's, so
+    that a domain with many rules makes no more rows than it has lengths of paths.
+    """
+    if len(rules) <= EXPRESSION:
+        name, verdict = rule_of(F.col("host"), F.col("path"), rules)
+        return rows.withColumn("rule", name).withColumn("_verdict", verdict)
+    last = {rule: (decision, i) for i, (decision, rule) in enumerate(_order(rules))}
+    parts = [(*rule.partition("/")[::2], rule, decision, i) for rule, (decision, i) in last.items()]
+    table = rows.sparkSession.createDataFrame([(site, "/" + rest, rule, d, i) for site, rest, rule, d, i in parts], "_site string, _start string, rule string, _verdict string, _place int")
+    lengths = table.groupBy("_site").agg(F.array_sort(F.collect_set(F.length("_start"))).alias("_lengths"))
+    once = rows.select("host", "path").distinct()
+    labels = F.split("host", r"\.")
+    domains = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")))
+    met = once.select("host", "path", F.explode(domains).alias("_site")).join(lengths, "_site")
+    met = met.select("host", "path", "_site", F.explode(F.transform("_lengths", lambda n: F.substring(F.col("path"), F.lit(1), n))).alias("_start")).distinct()
+    best = met.join(table, ["_site", "_start"]).groupBy("host", "path").agg(F.max_by(F.struct("rule", "_verdict"), "_place").alias("_r"))
+    best = best.select(F.col("host").alias("_h"), F.col("path").alias("_p"), "_r.*")
+    return rows.join(best, (F.col("host") == F.col("_h")) & (F.col("path") == F.col("_p")), "left").drop("_h", "_p")
+
+
 def judge(pages: DataFrame, model: LogisticRegressionModel, rules: list[tuple[str, str]], *, threshold: float = 0.5, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """Allow or block every url; one row a page.
 
     Returns page_id, host, path, rule, verdict, probability (of block, by the model). The longest rule that
-    fits decides, else the model. A null url or one without ``://`` has an empty host
+    fits decides (of equally long ones a block, then the one that sorts first), else the model. A null url or one without ``://`` has an empty host
     and path, so no n-grams: the model's intercept decides. Very long urls are read whole;
     repeated rows are judged alike; other columns are not read.
     """
     rows = with_features(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("_url")))
     host, path = host_and_path(F.col("_url"))
-    rows = model.transform(rows).withColumn("host", host).withColumn("path", path).withColumn("probability", vector_to_array("_p")[1])
-    name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    chosen = F.coalesce(verdict, F.when(F.col("probability") >= threshold, F.lit("block")).otherwise(F.lit("allow")))
-    return rows.select("page_id", "host", "path", name.alias("rule"), chosen.alias("verdict"), "probability")
+    rows = model.transform(rows).select("page_id", host.alias("host"), path.alias("path"), vector_to_array("_p")[1].alias("probability"))
+    rows = with_rules(rows, rules)
+    chosen = F.coalesce("_verdict", F.when(F.col("probability") >= threshold, F.lit("block")).otherwise(F.lit("allow")))
+    return rows.select("page_id", "host", "path", "rule", chosen.alias("verdict"), "probability")
