@@ -7,6 +7,7 @@ import operator
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,19 @@ PAIRS = 60_000
 #: A score from here on predicts label 1.
 THRESHOLD = 0.7
 
+#: Buckets of hashed n-grams: of characters (by threes), then of words.
+CHARS, WORDS = 512, 512
+#: Penalty of a weight, and of an n-gram's.
+PENALTY, GRAM_PENALTY = 1e-3, 1e-2
+#: Steps of the fit.
+STEPS = 300
+
 #: Kinds of characters that are counted.
 KINDS = ("lower", "upper", "digit", "space", "newline", "stop", "mark", "bracket", "other")
-FEATURES = (*(f"share_{k}" for k in KINDS), "log_words", "word_length", "repeated_next", "distinct", "commonest", "repeated_lines", "marked_words", "shouted_words")
+COUNTS = (*(f"share_{k}" for k in KINDS), "log_words", "word_length", "repeated_next", "distinct", "commonest", "repeated_lines", "marked_words", "shouted_words")
+SIZE = len(COUNTS) + CHARS + WORDS
+#: Characters whose n-grams are hashed at once.
+BLOCK = 1_000_000
 
 
 @functools.cache
@@ -48,26 +59,40 @@ def _kinds() -> np.ndarray:
     return table
 
 
+def _char_grams(points: np.ndarray) -> np.ndarray:
+    """How often each bucket of hashed character trigrams occurs."""
+    found = np.zeros(CHARS)
+    for at in range(0, max(1, len(points) - 2), BLOCK):
+        some = points[at : at + BLOCK + 2].astype(np.uint64)
+        if len(some) > 2:
+            h = ((some[:-2] * np.uint64(0x9E3779B1) ^ some[1:-1]) * np.uint64(0x85EBCA77) ^ some[2:]) * np.uint64(0xC2B2AE3D27D4EB4F)
+            found += np.bincount(h >> np.uint64(55), minlength=CHARS)
+    return found
+
+
 def features(texts: list[str | None]) -> np.ndarray:
-    """One row of FEATURES a text, from the whole text. Null counts as empty, whose features are all 0."""
-    out = np.zeros((len(texts), len(FEATURES)))
-    table, wide = _kinds(), len(KINDS)
+    """One row a text, from the whole text: COUNTS, then the roots of the shares of hashed n-grams. Null counts as empty, whose features are all 0."""
+    out = np.zeros((len(texts), SIZE), np.float32)
+    table, wide, counts = _kinds(), len(KINDS), len(COUNTS)
     for row, text in zip(out, texts, strict=True):
         if not text:
             continue
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         row[:wide] = np.bincount(table[points], minlength=wide) / len(text)
+        row[counts : counts + CHARS] = np.sqrt(_char_grams(points) / len(text))
         words = text.split()
         n = len(words)
         if not n:
             continue
         seen = Counter(words)
         lines = [x for x in text.split("\n") if x]
-        row[wide:] = (
+        row[wide:counts] = (
             np.log1p(n), min(30.0, len(text) / n) / 10, sum(map(operator.eq, words, words[1:])) / n,
             np.log1p(len(seen)) / np.log1p(n), max(seen.values()) / n, 1 - len(set(lines)) / max(1, len(lines)),
             sum(k for w, k in seen.items() if w[-1] in "!#$%&*|") / n, sum(k for w, k in seen.items() if w.isupper()) / n,
         )
+        bucket = np.array([crc32(w.encode("utf-8", "surrogatepass")) for w in seen]) % WORDS
+        row[counts + CHARS :] = np.sqrt(np.bincount(bucket, np.fromiter(seen.values(), np.float64, len(seen)), WORDS) / n)
     return out
 
 
@@ -85,18 +110,20 @@ class Ranking:
         return 1 / (1 + np.exp(-np.clip(raw + np.log(THRESHOLD / (1 - THRESHOLD)), -500, 500)))
 
 
-def bradley_terry(better: np.ndarray, worse: np.ndarray, penalty: float = 1e-3, steps: int = 30) -> np.ndarray:
-    """Weights under which better rows beat worse ones: Newton's method on the logistic loss of differences."""
-    gap = better - worse
-    w = np.zeros(gap.shape[1])
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(np.clip(gap @ w, -30, 30)))
-        grad = gap.T @ p / len(gap) - penalty * w
-        hess = (gap * (p * (1 - p))[:, None]).T @ gap / len(gap) + penalty * np.eye(len(w))
-        step = np.linalg.solve(hess, grad)
-        w += step
-        if np.abs(step).max() < 1e-6:
-            break
+def bradley_terry(x: np.ndarray, better: np.ndarray, worse: np.ndarray, penalty: np.ndarray, steps: int = STEPS) -> np.ndarray:
+    """Weights under which better rows beat worse ones: accelerated descent on the logistic loss of differences, plus penalty * weight^2 / 2.
+
+    better, worse: places of the pairs' rows in x. A pair's pull acts on its two rows, so no differences are stored.
+    """
+    w = look = np.zeros(x.shape[1])
+    largest = np.linalg.norm((x[better[:2000]] - x[worse[:2000]]).astype(np.float64), axis=1).max(initial=1.0)
+    rate = 1 / (largest**2 / 4 + penalty.max())
+    for i in range(steps):
+        s = x @ look
+        p = 1 / (1 + np.exp(np.clip(s[better] - s[worse], -30, 30))) / len(better)
+        pull = np.bincount(better, p, len(x)) - np.bincount(worse, p, len(x))
+        w, before = look + rate * (x.T @ pull - penalty * look), w
+        look = w + i / (i + 3) * (w - before)
     return w
 
 
@@ -106,38 +133,43 @@ def fit(x: np.ndarray, y: np.ndarray, *, pairs: int = PAIRS, seed: int = 0) -> R
     Each document of one label meets documents of the other; the threshold is the score quantile
     at label 0's share of the sample.
     """
-    good, bad = x[y == 1], x[y == 0]
+    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
     if not len(good) or not len(bad):
-        return Ranking(np.zeros(len(FEATURES)), np.ones(len(FEATURES)), np.zeros(len(FEATURES)), 0.0)
+        return Ranking(np.zeros(SIZE), np.ones(SIZE), np.zeros(SIZE), 0.0)
     mean, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
-    good, bad = (good - mean) / scale, (bad - mean) / scale
+    scale[len(COUNTS) :] = max(1e-6, float(scale[len(COUNTS) :].mean()) * 8)  # all n-grams alike, so that rare ones do not grow
+    x = (x - mean) / scale
     rng, n = np.random.default_rng(seed), min(pairs, 20 * max(len(good), len(bad)))
-    w = bradley_terry(good[rng.integers(len(good), size=n)], bad[rng.integers(len(bad), size=n)])
-    raw = np.sort(((x - mean) / scale) @ w)
+    penalty = np.where(np.arange(SIZE) < len(COUNTS), PENALTY, GRAM_PENALTY)
+    w = bradley_terry(x, good[rng.integers(len(good), size=n)], bad[rng.integers(len(bad), size=n)], penalty)
+    raw = np.sort(x @ w)
     at = len(bad)
     return Ranking(mean, scale, w, float((raw[at - 1] + raw[at]) / 2))
 
 
 def with_features(docs: DataFrame, keep: list[str], out: str) -> DataFrame:
     rows = docs.select(*keep, F.col("text").alias("_text"))
-    schema = T.StructType([*[rows.schema[c] for c in keep], T.StructField(out, T.ArrayType(T.DoubleType()))])
+    schema = T.StructType([*[rows.schema[c] for c in keep], T.StructField(out, T.ArrayType(T.FloatType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = features(batch["_text"].to_pylist())
-            flat = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, len(FEATURES)), pa.int32()), pa.array(x.ravel()))
+            flat = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, SIZE), pa.int32()), pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays([*[batch[c] for c in keep], flat], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
 
 def learn(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Ranking:
-    """Fit on labelled documents that are not held out, at most ``sample`` of them at every size of the corpus."""
+    """Fit on labelled documents that are not held out, at most ``sample`` of them at every size of the corpus.
+
+    An id with several labels counts with its highest, one with several texts with the features that sort first.
+    """
     usable = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = usable.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(sample)
     rows = with_features(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), ["doc_id", "quality"], "x")
     table = rows.groupBy("doc_id", "quality").agg(F.min("x").alias("x")).orderBy("doc_id").toPandas()
-    x = np.array(table["x"].tolist()).reshape(-1, len(FEATURES))
+    x = np.array(table["x"].tolist(), np.float32).reshape(-1, SIZE)
     return fit(x, table["quality"].to_numpy())
 
 
