@@ -9,19 +9,19 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedjobs.llm.shared import written
+
 #: Lengths of n-grams. A word's ends count as a blank.
 SIZES = (1, 2, 3, 4)
-#: Documents of each language that the filters are learned from, at most (smallest hash of the id first).
+#: Documents of each language that the filters are learned from, about (those whose ids hash lowest; all, if there are fewer).
 SAMPLE = 600
-#: N-grams that a language may keep (the most frequent ones).
-GRAMS = 20_000
 #: A language holds an n-gram if it uses it at least so often, against the language that uses it most.
 SHARE = 0.35
-#: Slots of the filter, and probes of each n-gram.
+#: Slots of the filter (a power of two), and probes of each n-gram.
 SLOTS, PROBES = 1 << 18, 2
 #: Characters that are worked on at once.
 BLOCK = 2_000_000
@@ -143,32 +143,42 @@ def _counts(rows: DataFrame) -> DataFrame:
     return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def learn(docs: DataFrame, *, sample: int = SAMPLE, grams: int = GRAMS) -> Filters:
-    """Filters from text and non-null lang of documents that are not held out.
+def sample_of(docs: DataFrame, sample: int) -> DataFrame:
+    """lang, text of about ``sample`` documents a language: those whose ids hash below the share that gives so many.
 
-    Per language at most ``sample`` documents count, and at most ``grams`` n-grams come to the
-    driver; both bounds hold at every size of the corpus.
+    One count a language decides, so no language is ranked in one task. Rows that share an id and language count once, by the text that sorts first.
     """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31))
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    first = Window.partitionBy("lang").orderBy(F.md5(F.col("doc_id").cast("string")))
-    chosen = usable.select("doc_id", "lang").withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= sample).select("doc_id", "lang").distinct()
-    counts = _counts(usable.select("doc_id", "text", "lang").join(F.broadcast(chosen), ["doc_id", "lang"]).select("text", "lang"))
-    top = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    table = counts.withColumn("_r", F.row_number().over(top)).where((F.col("_r") <= grams) & (F.col("n") > 1)).drop("_r").toPandas()
-    return _filters(table)
+    ids = usable.select("lang", "doc_id").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("_ids"))
+    bound = ids.select(F.col("lang").alias("_lang"), (F.lit(float(sample) * (1 << 31)) / F.col("_ids")).alias("_below"))  # a row a language
+    some = usable.select("doc_id", "lang", "text").join(F.broadcast(bound), F.col("lang") == F.col("_lang")).where(place < F.col("_below"))
+    return some.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("lang", "text")
 
 
-def _filters(table: pd.DataFrame) -> Filters:
-    languages = sorted(table["lang"].unique())
+def learn(docs: DataFrame, *, sample: int = SAMPLE) -> Filters:
+    """Filters from text and non-null lang of documents that are not held out.
+
+    Per language about ``sample`` documents count. All their n-grams that occur more than once are weighed; Spark sets the slots' bits, and only the
+    slots come to the driver: SLOTS short rows at most for every 64 languages, whatever the corpus.
+    """
+    counts = written(_counts(sample_of(docs, sample)).where("n > 1"), "grams")
+    sums = counts.groupBy("lang").agg(F.sum("n").alias("_sum"))
+    languages = sorted(r[0] for r in sums.select("lang").collect())
+    number = F.array_position(F.lit(languages) if languages else F.array().cast("array<string>"), F.col("lang")) - 1
+    used = counts.join(F.broadcast(sums), "lang").select("gram", number.alias("i"), (F.col("n") / F.col("_sum")).alias("use"))
+    most = used.groupBy("gram").agg(F.max("use").alias("most"))
+    bit = F.expr("shiftleft(1L, CAST(i % 64 AS INT))")
+    slot = F.array(*[F.expr(f"(shiftrightunsigned(gram, {40 - 20 * p}) ^ {'0L' if p == 0 else 'shiftleft(gram, 7)'}) & {SLOTS - 1}L") for p in range(PROBES)])
+    kept = used.join(most, "gram").where(F.col("use") >= SHARE * F.col("most"))
+    bits = kept.select(F.explode(slot).alias("slot"), (F.col("i") / 64).cast("int").alias("word"), bit.alias("bit"))
+    return _filters(languages, bits.groupBy("slot", "word").agg(F.bit_or("bit").alias("mask")).toPandas())
+
+
+def _filters(languages: list[str], table: pd.DataFrame) -> Filters:
     kind = np.uint8 if len(languages) <= 8 else np.uint64
     slots = np.zeros((SLOTS, max(1, -(-len(languages) // 64))), kind)
-    use = table["n"] / table.groupby("lang")["n"].transform("sum")
-    table = table[use >= SHARE * use.groupby(table["gram"]).transform("max")]
-    for i, lang in enumerate(languages):
-        h = table.loc[table["lang"] == lang, "gram"].to_numpy(np.int64).view(np.uint64)
-        for p in range(PROBES):
-            at = (h >> np.uint64(40) if p == 0 else (h >> np.uint64(40 - 20 * p)) ^ (h << np.uint64(7))) % np.uint64(SLOTS)
-            slots[at, i // 64] |= kind(1 << (i % 64))
+    slots[table["slot"].to_numpy(np.int64), table["word"].to_numpy(np.int64)] = table["mask"].to_numpy(np.int64).view(np.uint64).astype(kind)
     filled = np.array([((slots[:, i // 64] >> kind(i % 64)) & kind(1)).mean() for i in range(len(languages))])
     return Filters(languages, slots, filled)
 
