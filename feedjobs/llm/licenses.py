@@ -5,9 +5,10 @@ from __future__ import annotations
 import math
 import re
 from bisect import bisect_left, bisect_right
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -37,7 +38,17 @@ TEMPLATES = [
     ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.'),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Unlicense", 'This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.'),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."),
+    ("BSL-1.0", 'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following: The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.'),
 ]
+# The disclaimers with which these licences end.
+_AS_IS = 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'
+_BSD = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'
+_ISC = 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'
+_ENDS = {"MIT": _AS_IS, "BSD-2-Clause": _BSD, "BSD-3-Clause": _BSD, "ISC": _ISC}
+#: The whole licences: the longest wording of each, with its disclaimer.
+TEMPLATES += [(name, max((t for n, t in TEMPLATES if n == name), key=len) + " " + end) for name, end in _ENDS.items()]
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -105,31 +116,39 @@ class Scanner:
         for b, n in Counter(b for _, b in hits).items():
             for t, most in self.holders[b]:
                 common[t] += min(n, most)
-        result = []
+        result: list[tuple[int, float, int, int, str]] = []
         for t, n_common in common.items():
             size, own, name = self.sizes[t], self.counts[t], self.made[t][1]
             least, longest = max(1, math.ceil(size / self.ratio - 1e-9)), int(size * self.ratio + 1e-9)
             if n_common < least:
                 continue
             spots = [(i, b) for i, b in hits if b in own]
-            for s in range(len(spots) - least + 1):
-                first = spots[s][0]
-                if spots[s + least - 1][0] - first >= longest:
-                    continue
-                had, c, top = {}, 0, None
-                for e in range(s, len(spots)):
-                    at, b = spots[e]
-                    if at - first >= longest:
-                        break
-                    had[b] = had.get(b, 0) + 1
-                    if had[b] <= own[b]:
-                        c += 1
-                        width = at - first + 1
-                        score = 2 * c / (width + size)
-                        if score >= self.least and (top is None or score > top[1]):
-                            top = 3 * c - width - size, score, first, at, name
-                if top:
-                    result.append(top)
+            at, earlier, seen = np.array([i for i, _ in spots]), np.full(len(spots), -1), {}
+            for e, (_, b) in enumerate(spots):  # the spot with which the template has this bigram once too often
+                before = seen.setdefault(b, deque(maxlen=own[b]))
+                if len(before) == own[b]:
+                    earlier[e] = before[0]
+                before.append(e)
+            start = np.arange(len(spots) - least + 1)
+            start = start[at[start + least - 1] - at[start] < longest]
+            c, gain, top, last = (np.zeros(len(start), kind) for kind in (np.int64, np.int64, float, np.int64))
+            live = np.arange(len(start))
+            for far in range(longest):  # all runs that take one more spot
+                e = start[live] + far
+                live = live[e < len(spots)]
+                e = start[live] + far
+                near = at[e] - at[start[live]] < longest
+                live, e = live[near], e[near]
+                if not len(live):
+                    break
+                new = earlier[e] < start[live]
+                c[live] += new
+                width = at[e] - at[start[live]] + 1
+                score = 2 * c[live] / (width + size)
+                better = new & (score >= self.least) & (score > top[live])
+                own_rows = live[better]
+                top[own_rows], last[own_rows], gain[own_rows] = score[better], at[e[better]], 3 * c[own_rows] - width[better] - size
+            result += [(int(gain[i]), float(top[i]), int(at[start[i]]), int(last[i]), name) for i in np.flatnonzero(top)]
         return result
 
     def licenses(self, found: list[str]) -> dict[str, tuple[float, int]]:
