@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -47,26 +48,27 @@ def blocks(queries: DataFrame, size: int = QUERY_BLOCK) -> Iterator[pd.DataFrame
 def search(candidates: DataFrame, queries: DataFrame, scan: Callable, k: int, *, descending: bool, score_type: str) -> DataFrame:
     """The k best of ``scan``'s rows (query_id, vec_id, score) for each query: query_id, rank, vec_id, score.
 
-    ``scan(block)`` makes a function over Arrow batches of candidates that yields what may be among a block's best. A
-    candidate's id counts once for a query.
+    ``scan(block)`` makes a function over Arrow batches of candidates that yields what may be among a block's best: k rows a query
+    and task at most. Each block is reduced to k rows a query and written once. A candidate's id counts once for a query.
     """
-    found = None
-    for block in blocks(queries):
-        part = candidates.mapInArrow(scan(block), f"query_id long, vec_id long, score {score_type}")
-        found = part if found is None else written(found, "found").union(part)
     order = F.desc("score") if descending else F.asc("score")
     best = F.max("score") if descending else F.min("score")
-    once = found.groupBy("query_id", "vec_id").agg(best.alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(order, "vec_id"))
-    return once.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def reduced(part: DataFrame) -> DataFrame:
+        once = part.groupBy("query_id", "vec_id").agg(best.alias("score"))
+        return once.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    parts = [written(reduced(candidates.mapInArrow(scan(block), f"query_id long, vec_id long, score {score_type}")), "best") for block in blocks(queries)]
+    return reduce(DataFrame.union, parts)
 
 
 class Best:
     """The k best distinct ids so far for each query of a block, in one task."""
 
-    def __init__(self, ids: np.ndarray, k: int, *, descending: bool) -> None:
+    def __init__(self, ids: np.ndarray, k: int, *, descending: bool, kind: type = np.float64) -> None:
         self.ids, self.k, self.sign = ids, k, -1 if descending else 1
-        self.kept: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0))] * len(ids)
+        self.kept: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, kind))] * len(ids)
 
     def limit(self, q: int) -> float:
         """The k-th score, or infinity (signed) if there are fewer."""
