@@ -23,7 +23,7 @@ SHARED_QUEUES = 128
 #: Pieces and rare words that a worker remembers in each of two generations; one that is met again stays.
 MAX_WORDS = 500_000
 #: Bytes of text that are split into words at once (a longer text stands alone), and words whose ids are put out at once.
-BLOCK, WORDS = 32_000_000, 500_000
+BLOCK, WORDS = 16_000_000, 500_000
 #: Most rows of the table of partition totals that are broadcast; a larger table is joined by a shuffle.
 BROADCAST_ROWS = 200_000
 #: Fractional bits of a quantum.

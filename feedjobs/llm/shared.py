@@ -2,38 +2,48 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from feedjobs.operators.lineage import shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where none is set (tests)."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = _local_dir(spark.sparkContext.applicationId)
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/")
-
-
-@functools.cache
-def _local_dir(app: str) -> str:
-    return tempfile.mkdtemp(prefix=f"feedjobs-{app}-")
+_open: list[list[str]] = []
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     This cuts the lineage like ``checkpoint()`` does, and later reads prune
-    columns. The files go when the application ends.
+    columns. The files go when the application ends, or at the end of the step they belong to (see step).
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/feedjobs-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    _system(spark, path)[1].deleteOnExit(_system(spark, path)[0])
+    if _open:
+        _open[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+@contextmanager
+def step(spark: SparkSession) -> Iterator[list[str]]:
+    """What is written inside goes at the end, but for the paths that are taken out of the list."""
+    _open.append([])
+    try:
+        yield _open[-1]
+    finally:
+        for path in _open.pop():
+            drop(spark, path)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    at, system = _system(spark, path)
+    system.delete(at, True)

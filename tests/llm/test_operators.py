@@ -1,5 +1,6 @@
 """Each operator on odd rows and against brute force on small tables."""
 
+import re
 import zlib
 from collections import Counter
 
@@ -278,18 +279,82 @@ def test_sql_gives_the_same_rows(spark, name):
     assert Counter(tuple(r) for r in got.select(want.columns).collect()) == Counter(want.fetchall())
 
 
-def test_pipeline(spark):
+def stage_input(spark, kind):
+    if kind == "empty":
+        return spark.createDataFrame([], SCHEMA)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    if kind == "table":
+        return docs
+    rows = [(i, t, g, s, len(t or ""), 1.0, "x", 9, "y", 3) for i, t, g, s in ODD]
+    more = docs.select("doc_id", "text", "lang", "source", "n_chars", F.lit(1.0).alias("score"), F.lit("x").alias("size"), F.lit(9).cast("long").alias("class_id"), F.lit("y").alias("shard"), F.lit(3).alias("rank"))
+    return spark.createDataFrame(rows, SCHEMA).union(more.withColumn("doc_id", F.col("doc_id") + 100)).union(more.where("doc_id = 7")).union(more.where("doc_id = 7"))
+
+
+@pytest.mark.parametrize("kind", ["table", "odd", "empty"])
+def test_pipeline_stages(spark, kind):
+    """Each stage on its own input against a plain form of it, over Counters of whole rows."""
+    import corpus_pipeline
+
+    docs = stage_input(spark, kind).persist()
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["quality", "language", "near_dup", "mixing", "packing"]
+    rows = [tuple(r) for r in docs.collect()]
+    at = {c: i for i, c in enumerate(docs.columns)}
+    text = at["text"]
+
+    def result(name):
+        out = stages[name](spark, docs, SF)
+        assert out.columns == docs.columns, name
+        return Counter(tuple(r) for r in out.collect())
+
+    ranking = quality.learn(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    good = [bool(s >= quality.THRESHOLD) for s in ranking(quality.features([r[text] for r in rows]))] if rows else []
+    assert result("quality") == Counter(r for r, fine in zip(rows, good, strict=True) if fine)
+
+    filters = language.learn(docs)
+    scores = filters.scores([r[text] or "" for r in rows]).max(1) if rows else []
+    assert result("language") == Counter(r for r, s in zip(rows, scores, strict=True) if s >= corpus_pipeline.LEAST_LANGUAGE and filters.languages)
+
+    kept = result("near_dup")
+    classes = {(r.doc_id, r.node): (r.class_id, r.class_size) for r in near_duplicates(docs).collect()}
+    assert not kept - Counter(rows) and (kept.total() > 0) == bool(rows)
+    texts = [" ".join(r[text].lower().split()) for r in kept.elements() if r[text] is not None]
+    assert len(texts) == len(set(texts)) and len({c for c in classes.values()}) <= kept.total()
+
+    split = lambda t: re.findall(r"[^\x20\x09-\x0D]+", t or "")
+    mixed = result("mixing")
+    targets = {r.source: int(r.target + 1e-9) for r in mix(docs).collect()}
+    sources = Counter()
+    for r, n in mixed.items():
+        sources[r[at["source"]]] += n * len(split(r[text]))
+    assert {s: n for s, n in targets.items() if n} == dict(sources)
+    whole = Counter({r: 2 * n for r, n in Counter(rows).items()})
+    cuts = list((mixed - whole).elements())
+    assert len(cuts) <= len(targets)
+    for r in cuts:  # a source's last document, cut to its first words
+        own = [q for q in rows if q[at["doc_id"]] == r[at["doc_id"]] and q[at["source"]] == r[at["source"]]]
+        assert any(split(q[text])[: len(split(r[text]))] == split(r[text]) for q in own) and r[at["n_chars"]] == len(r[text])
+
+    words = packing.WordIds(tokenizer_path())
+    pieces = stages["packing"](spark, docs, SF).collect()
+    want = Counter()
+    for r in rows:
+        want[r[at["doc_id"]]] += len(words._of_word(r[text] or "")) + 1
+    got = Counter()
+    for p in pieces:
+        got[p.doc_id] += p.length
+    assert got == want
+
+
+def test_pipeline_runs_its_stages_in_turn(spark):
     import corpus_pipeline
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        before, docs = docs, stage(spark, docs, SF)
-        assert docs.columns == before.columns, name
-        docs = docs.persist()
-        assert docs.count()
-    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
-    assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.select("doc_id").distinct().collect()}
-    assert corpus_pipeline.run(spark, SF).count() == pieces.count()
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF).persist()
+    key = lambda df: Counter((r.doc_id, r.start, r.length, r.doc_tokens, bytes(r.ids)) for r in df.collect())
+    whole = key(corpus_pipeline.run(spark, SF))
+    assert sum(n * k[2] for k, n in whole.items()) == sum(n * k[2] for k, n in key(docs).items()) and {k[0] for k in whole} == {r.doc_id for r in docs.collect()}
 
 
 def exact_nearest(vectors, q, k=10):
@@ -315,6 +380,100 @@ def test_nearest_is_full_and_near_at_any_width(spark, kind):
     assert sum(len(found[q] & set(want[q])) for q in asked) >= 0.9 * sum(map(len, want.values()))
 
 
+def test_products_of_large_components_are_exact(spark):
+    rows = [(0, [1e12, 3.0, -2e9]), (1, [1e12, 1.0, 5.0]), (2, [1e3 + 0.5, 2.0**40, 7.0]), (3, [-1e12, 1e300, 1.0]), (4, [2.0**43, 1.0, 1.0]), (5, [2.0**43 + 2.0**-9, 1.0, 1.0]), (6, [1e306, 0.0, 0.0]), (7, [0.0, 0.0, 0.0]), (100, [1.0, 2.0, 3.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): (r["rank"], r.score) for r in top_products(table, table.where("vec_id in (0, 4, 100)")).collect()}
+    whole = {i: [int(np.floor(1024 * v)) for v in x] for i, x in rows if max(x) < 1e305}
+    for q in (0, 4, 100):
+        scores = {i: max(-(2**63) + 1, min(2**63 - 1, sum(a * b for a, b in zip(whole[q], whole[i], strict=True)))) for i in whole if i != q}
+        order = sorted(scores, key=lambda i: (-scores[i], i))
+        assert {i: (n + 1, scores[i]) for n, i in enumerate(order)} == {i: v for (a, i), v in got.items() if a == q}
+
+
+def test_many_url_rules_are_joined_alike(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    names = ["a", "b", "c.a", "x.b", "b.c.a", ""]
+    rules = [(str(rng.choice(["allow", "block"])), f"{rng.choice(names)}/{rng.choice(['', 'p', 'p/', 'p/q', 'q'])}") for _ in range(40)]
+    urls = [f"http://{h}/{p}" for h in (*names, "z.c.a", "za", "y.b.c.a") for p in ("", "p", "p/q/r", "q?x", "z")] * 2 + [None, "x", "http://a"]
+    host, path = url_filter.host_and_path(F.col("url"))
+    rows = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i long, url string").select("i", host.alias("host"), path.alias("path"))
+    few = sorted(map(tuple, url_filter.with_rules(rows, rules).collect()))
+    monkeypatch.setattr(url_filter, "EXPRESSION", 0)
+    assert sorted(map(tuple, url_filter.with_rules(rows, rules).collect())) == few
+    assert len({r[3] for r in few}) > 5
+
+
+def test_url_verdicts_follow_the_fitted_weights(spark):
+    """Probabilities against a plain sum of the weights of the hashed n-grams of host and path."""
+    model = url_filter.train(url_filter.seed_urls(spark))
+    long = "http://long.test/" + "ab-" * 5000
+    urls = [*url_filter.BLOCKED[:3], *url_filter.ALLOWED[:3], "https://q.test", None, "", long, long]
+    rows = spark.createDataFrame([(i, u, "z", 1.0) for i, u in enumerate(urls)], "page_id long, url string, verdict string, probability double")
+    got = [r.probability for r in url_filter.judge(rows, model, []).orderBy("page_id").collect()]
+    parts = url_filter.with_features(rows.withColumnRenamed("url", "_url")).select("page_id", F.array_distinct("_grams").alias("g"), "_f").orderBy("page_id").collect()
+    for p, r, u in zip(parts, got, urls, strict=True):
+        h, path = re.match(r".*?://([^/?#]*)([^?#]*)", u).groups() if u and "://" in u else ("", "")
+        grams = {m + s[i : i + n] for m, s in (("h:", f"^{h}$"), ("p:", f"^{path}$")) if len(s) > 2 for n in url_filter.SIZES for i in range(len(s) - n + 1)}
+        assert set(p.g) == grams
+        assert abs(r - 1 / (1 + np.exp(-(model.intercept + sum(model.coefficients[int(i)] for i in p._f.indices))))) < 1e-9
+    assert url_filter.judge(rows.limit(0), model, [("allow", "org/")]).count() == 0
+
+
+def test_language_scores_by_brute_force(spark, docs):
+    """Scores against the plain share of n-grams of the sample that a language uses enough."""
+    filters = language.learn(docs)
+    rows = language.sample_of(docs, language.SAMPLE).collect()
+    counts = {}
+    for r in rows:
+        codes, _ = language._codes([r.text])
+        for n in language.SIZES:
+            h, fine = language._hashes(codes, n)
+            counts.setdefault(r.lang, Counter()).update(h[fine].tolist())
+    use = {g: {h: n / sum(k for k in c.values() if k > 1) for h, n in c.items() if n > 1} for g, c in counts.items()}
+    most = {}
+    for c in use.values():
+        for h, u in c.items():
+            most[h] = max(most.get(h, 0), u)
+    held = {g: {h for h, u in c.items() if u >= language.SHARE * most[h]} for g, c in use.items()}
+    texts = [r.text for r in docs.orderBy("doc_id").limit(40).collect()]
+    scores = filters.scores(texts)
+    for t, s in zip(texts, scores, strict=True):
+        codes, _ = language._codes([t])
+        grams = [x for n in language.SIZES for h, fine in [language._hashes(codes, n)] for x in h[fine].tolist()]
+        if grams:
+            plain = [sum(g in held[lang] for g in grams) / len(grams) for lang in filters.languages]
+            assert np.abs(np.array(plain) - s).max() < 0.05 and int(np.argmax(plain)) == int(np.argmax(s))
+    assert sorted(filters.languages) == sorted(use)
+
+
+def test_quality_scores_by_brute_force(spark, docs):
+    """Features and scores against plain loops, ties alike, and a long text."""
+    ranking = quality.learn(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    texts = [r.text for r in docs.orderBy("doc_id").limit(20).collect()] + [None, "", " ", "same same", "same same", LONG]
+    table = spark.createDataFrame([(i, t, 5.0) for i, t in enumerate(texts)], "doc_id long, text string, score double")
+    got = [r.score for r in quality.score(table, ranking).orderBy("doc_id").collect()]
+    for t, s, x in zip(texts, got, quality.features(texts), strict=True):
+        grams, words = np.zeros(quality.CHARS), np.zeros(quality.WORDS)
+        if t:
+            for i in range(len(t) - 2):
+                a, b, c = map(ord, t[i : i + 3])
+                grams[(((((a * 0x9E3779B1) % 2**64 ^ b) * 0x85EBCA77) % 2**64 ^ c) * 0xC2B2AE3D27D4EB4F) % 2**64 >> 55] += 1 / len(t)
+            for w in t.split():
+                words[zlib.crc32(w.encode()) % quality.WORDS] += 1 / len(t.split())
+        assert np.allclose(x[len(quality.COUNTS) :], np.sqrt(np.r_[grams, words]), atol=1e-4)
+        raw = float(((x - ranking.mean) / ranking.scale) @ ranking.weights) - ranking.cut
+        assert abs(s - 1 / (1 + np.exp(-(raw + np.log(7 / 3))))) < 1e-3
+    assert got[-2] > 0 and got[-3] == got[-4 + 1] and got[20] == got[21]
+
+
+def test_very_long_texts_are_scanned_in_seconds():
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.8)
+    mit = max((t for n, t in licenses.TEMPLATES if n == "MIT"), key=len)
+    for text, want in ((f"{mit} " * (1_000_000 // len(mit)), {"MIT"}), ("plain words of a page with the right to copy it and more " * 170_000, set())):
+        assert scanner.licenses(licenses.words(text)).keys() == want
+
+
 def test_license_passages_within_other_text():
     scanner, by = licenses.Scanner(licenses.TEMPLATES, 0.8), {}
     for name, text in licenses.TEMPLATES:
