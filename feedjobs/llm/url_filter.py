@@ -132,12 +132,12 @@ def judge(pages: DataFrame, model: LogisticRegressionModel, rules: list[tuple[st
 
     Returns page_id, host, path, rule, verdict, probability (of block, by the model). The longest rule that
     fits decides (of equally long ones a block, then the one that sorts first), else the model. A null url or one without ``://`` has an empty host
-    and path, so no n-grams: the model's intercept decides. Very long urls are read whole;
+    and path, so no n-grams, and is allowed. Very long urls are read whole;
     repeated rows are judged alike; other columns are not read.
     """
     rows = with_features(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("_url")))
     host, path = host_and_path(F.col("_url"))
     rows = model.transform(rows).select("page_id", host.alias("host"), path.alias("path"), vector_to_array("_p")[1].alias("probability"))
     rows = with_rules(rows, rules)
-    chosen = F.coalesce("_verdict", F.when(F.col("probability") >= threshold, F.lit("block")).otherwise(F.lit("allow")))
+    chosen = F.coalesce("_verdict", F.when((F.col("probability") >= threshold) & (F.concat("host", "path") != ""), F.lit("block")).otherwise(F.lit("allow")))
     return rows.select("page_id", "host", "path", "rule", chosen.alias("verdict"), "probability")
