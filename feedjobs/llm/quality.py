@@ -25,11 +25,11 @@ PAIRS = 60_000
 THRESHOLD = 0.7
 
 #: Buckets of hashed n-grams: of characters (by threes), then of words.
-CHARS, WORDS = 512, 512
+CHARS, WORDS = 256, 256
 #: Penalty of a weight, and of an n-gram's.
 PENALTY, GRAM_PENALTY = 1e-3, 1e-2
 #: Steps of the fit.
-STEPS = 300
+STEPS = 150
 
 #: Kinds of characters that are counted.
 KINDS = ("lower", "upper", "digit", "space", "newline", "stop", "mark", "bracket", "other")
@@ -66,7 +66,7 @@ def _char_grams(points: np.ndarray) -> np.ndarray:
         some = points[at : at + BLOCK + 2].astype(np.uint64)
         if len(some) > 2:
             h = ((some[:-2] * np.uint64(0x9E3779B1) ^ some[1:-1]) * np.uint64(0x85EBCA77) ^ some[2:]) * np.uint64(0xC2B2AE3D27D4EB4F)
-            found += np.bincount(h >> np.uint64(55), minlength=CHARS)
+            found += np.bincount(h >> np.uint64(56), minlength=CHARS)
     return found
 
 
@@ -119,10 +119,10 @@ def bradley_terry(x: np.ndarray, better: np.ndarray, worse: np.ndarray, penalty:
     largest = np.linalg.norm((x[better[:2000]] - x[worse[:2000]]).astype(np.float64), axis=1).max(initial=1.0)
     rate = 1 / (largest**2 / 4 + penalty.max())
     for i in range(steps):
-        s = x @ look
+        s = x @ look.astype(np.float32)  # no copy of x in doubles
         p = 1 / (1 + np.exp(np.clip(s[better] - s[worse], -30, 30))) / len(better)
         pull = np.bincount(better, p, len(x)) - np.bincount(worse, p, len(x))
-        w, before = look + rate * (x.T @ pull - penalty * look), w
+        w, before = look + rate * (x.T @ pull.astype(np.float32) - penalty * look), w
         look = w + i / (i + 3) * (w - before)
     return w
 
@@ -136,9 +136,9 @@ def fit(x: np.ndarray, y: np.ndarray, *, pairs: int = PAIRS, seed: int = 0) -> R
     good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
     if not len(good) or not len(bad):
         return Ranking(np.zeros(SIZE), np.ones(SIZE), np.zeros(SIZE), 0.0)
-    mean, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
+    mean, scale = x.mean(0, dtype=np.float64).astype(np.float32), np.maximum(x.std(0), 1e-6)
     scale[len(COUNTS) :] = max(1e-6, float(scale[len(COUNTS) :].mean()) * 8)  # all n-grams alike, so that rare ones do not grow
-    x = (x - mean) / scale
+    x = ((x - mean) / scale).astype(np.float32)
     rng, n = np.random.default_rng(seed), min(pairs, 20 * max(len(good), len(bad)))
     penalty = np.where(np.arange(SIZE) < len(COUNTS), PENALTY, GRAM_PENALTY)
     w = bradley_terry(x, good[rng.integers(len(good), size=n)], bad[rng.integers(len(bad), size=n)], penalty)
@@ -149,12 +149,12 @@ def fit(x: np.ndarray, y: np.ndarray, *, pairs: int = PAIRS, seed: int = 0) -> R
 
 def with_features(docs: DataFrame, keep: list[str], out: str) -> DataFrame:
     rows = docs.select(*keep, F.col("text").alias("_text"))
-    schema = T.StructType([*[rows.schema[c] for c in keep], T.StructField(out, T.ArrayType(T.FloatType()))])
+    schema = T.StructType([*[rows.schema[c] for c in keep], T.StructField(out, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = features(batch["_text"].to_pylist())
-            flat = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, SIZE), pa.int32()), pa.array(x.ravel()))
+            flat = pa.array([row.tobytes() for row in x], pa.binary())
             yield pa.RecordBatch.from_arrays([*[batch[c] for c in keep], flat], names=schema.names)
 
     return rows.mapInArrow(run, schema)
@@ -169,7 +169,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Rankin
     chosen = usable.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(sample)
     rows = with_features(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), ["doc_id", "quality"], "x")
     table = rows.groupBy("doc_id", "quality").agg(F.min("x").alias("x")).orderBy("doc_id").toPandas()
-    x = np.array(table["x"].tolist(), np.float32).reshape(-1, SIZE)
+    x = np.frombuffer(b"".join(table["x"]), np.float32).reshape(-1, SIZE)
     return fit(x, table["quality"].to_numpy())
 
 
