@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedjobs.llm.shared import written
+from feedjobs.llm.shared import slices, written
 
 #: Lengths of n-grams. A word's ends count as a blank.
 SIZES = (1, 2, 3, 4)
@@ -24,7 +24,7 @@ SHARE = 0.35
 #: Slots of the filter (a power of two), and probes of each n-gram.
 SLOTS, PROBES = 1 << 18, 2
 #: Characters that are worked on at once.
-BLOCK = 2_000_000
+BLOCK = 500_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -199,7 +199,7 @@ def predict(docs: DataFrame, filters: Filters, *, keep: list[str] | None = None,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = shared.value
         names = np.array([*filters.languages, "und"], object)
-        for batch in batches:
+        for batch in slices(batches):
             scores = filters.scores([t or "" for t in batch["_text"].to_pylist()])
             best = scores.argmax(1)
             score = scores[np.arange(len(best)), best]

@@ -19,13 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedjobs.llm.shared import written
+from feedjobs.llm.shared import slices, written
 
 WORDS, SIMILARITY = 5, 0.8
 #: Registers of a signature are BANDS x ROWS: a pair at 0.8 shares a band with probability 0.9999, one at 0.3 with 0.02.
 BANDS, ROWS = 30, 6
 #: Characters whose signatures are made at once (a longer text stands alone).
-BLOCK = 3_000_000
+BLOCK = 1_500_000
 #: Arrivals that are drawn at once, if fewer shingles than that are still in time.
 DRAWS = 1 << 15
 #: Bytes of shingles that stand apart and meet one task's share of the others.
@@ -132,7 +132,7 @@ def sign(docs: DataFrame, *, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("node", T.BinaryType()), T.StructField("codes", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch["text"].to_pylist()
             for low, high in _blocks([t or "" for t in texts]):
                 split = [_words(t or "") for t in texts[low:high]]
@@ -170,7 +170,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     schema = T.StructType([*docs.schema.fields, T.StructField("_node", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             nodes = [None if t is None else _key(_words(t)) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.binary())], names=schema.names)
 
@@ -186,7 +186,7 @@ def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
     rows = rows.join(needed, (F.col("_node") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("least"))).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch["text"].to_pylist()
             for low, high in _blocks(texts):
                 doc, h, n = shingles([_words(t) for t in texts[low:high]])

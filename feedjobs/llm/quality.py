@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedjobs.llm.language import held_out
+from feedjobs.llm.shared import slices
 
 #: Labelled documents that scores are learned from, at most (smallest hash of the id first).
 SAMPLE = 6_000
@@ -36,7 +37,7 @@ KINDS = ("lower", "upper", "digit", "space", "newline", "stop", "mark", "bracket
 COUNTS = (*(f"share_{k}" for k in KINDS), "log_words", "word_length", "repeated_next", "distinct", "commonest", "repeated_lines", "marked_words", "shouted_words")
 SIZE = len(COUNTS) + CHARS + WORDS
 #: Characters whose n-grams are hashed at once.
-BLOCK = 1_000_000
+BLOCK = 100_000
 
 
 @functools.cache
@@ -152,7 +153,7 @@ def with_features(docs: DataFrame, keep: list[str], out: str) -> DataFrame:
     schema = T.StructType([*[rows.schema[c] for c in keep], T.StructField(out, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             x = features(batch["_text"].to_pylist())
             flat = pa.array([row.tobytes() for row in x], pa.binary())
             yield pa.RecordBatch.from_arrays([*[batch[c] for c in keep], flat], names=schema.names)
@@ -184,7 +185,7 @@ def score(docs: DataFrame, ranking: Ranking, *, keep: list[str] | None = None, o
     schema = T.StructType([*[rows.schema[c] for c in keep], T.StructField(out, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = ranking(features(batch["_text"].to_pylist()))
             yield pa.RecordBatch.from_arrays([*[batch[c] for c in keep], pa.array(found)], names=schema.names)
 

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from feedjobs.operators.lineage import shared_dir
@@ -28,6 +29,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a few rows, so that not all their texts are Python strings at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _system(spark: SparkSession, path: str):
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
