@@ -21,7 +21,7 @@ from feedjobs.llm.shared import written
 #: Queues that the sources too small for one of their own share, by a hash of their name.
 SHARED_QUEUES = 128
 #: Pieces and rare words that a worker remembers in each of two generations; one that is met again stays.
-MAX_WORDS = 500_000
+MAX_WORDS = 150_000
 #: Bytes of text that are split into words at once (a longer text stands alone), and words whose ids are put out at once.
 BLOCK, WORDS = 8_000_000, 250_000
 #: Most rows of the table of partition totals that are broadcast; a larger table is joined by a shuffle.
