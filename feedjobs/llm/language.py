@@ -137,7 +137,8 @@ def _counts(rows: DataFrame) -> DataFrame:
                     codes, _ = _codes(texts[low:high])
                     grams = [h[fine] for h, fine in (_hashes(codes, n) for n in SIZES)]
                     gram, n = np.unique(np.concatenate(grams), return_counts=True)
-                    yield pa.RecordBatch.from_pandas(pd.DataFrame({"lang": lang, "gram": gram.view(np.int64), "n": n}), preserve_index=False)
+                    columns = [pa.array([lang] * len(gram), pa.string()), pa.array(gram.view(np.int64)), pa.array(n, pa.int64())]  # typed, as texts without letters give no rows
+                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "n"])
 
     found = rows.mapInArrow(run, "lang string, gram long, n long")
     return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
