@@ -181,9 +181,10 @@ def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
     """node, hashes, counts of the distinct texts in ``needed`` (least, node).
 
     Rows are joined by the key of their text, as an id may be null or have several texts; with the id, so that of a node's copies only those of its least id are read.
+    The join is a shuffle at every size: a broadcast would put two Python workers in each task.
     """
     rows = keyed(docs.select("doc_id", "text"))
-    rows = rows.join(needed, (F.col("_node") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("least"))).select("node", "text")
+    rows = rows.join(needed.hint("merge"), (F.col("_node") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("least"))).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

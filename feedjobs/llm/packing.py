@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import zlib
 from array import array
 from collections import defaultdict
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedjobs.llm.shared import written
+from feedjobs.llm.shared import kept, release, written
 
 #: Queues that the sources too small for one of their own share, by a hash of their name.
 SHARED_QUEUES = 128
@@ -123,10 +122,9 @@ class WordIds:
         return np.concatenate(parts), np.array([len(p) for p in parts])
 
 
-@functools.cache
 def word_ids(path: str) -> WordIds:
     """One per Python worker, which Spark uses for many tasks."""
-    return WordIds(path)
+    return kept(path, lambda: WordIds(path))
 
 
 def _blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
@@ -160,8 +158,8 @@ def tokenize(docs: DataFrame, path: str, queue: Callable[[str | None], int], *,
     """
     extra = extra or []
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col(source).alias("_source"), *extra)
-    kept = [rows.schema["doc_id"], *[rows.schema[c] for c in extra]]
-    schema = T.StructType([*kept, T.StructField("queue", T.IntegerType()), T.StructField("part", T.IntegerType()), T.StructField("before", T.LongType()), T.StructField("doc_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
+    own = [rows.schema["doc_id"], *[rows.schema[c] for c in extra]]
+    schema = T.StructType([*own, T.StructField("queue", T.IntegerType()), T.StructField("part", T.IntegerType()), T.StructField("before", T.LongType()), T.StructField("doc_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, part, done = word_ids(path), TaskContext.get().partitionId(), defaultdict(int)
@@ -176,9 +174,10 @@ def tokenize(docs: DataFrame, path: str, queue: Callable[[str | None], int], *,
                 bounds = pa.py_buffer(np.r_[0, np.cumsum(sizes * 4)].astype(np.int32))
                 column = pa.Array.from_buffers(pa.binary(), len(sizes), [None, bounds, pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays(
-                    [*[some[f.name] for f in kept], pa.array(numbers, pa.int32()), pa.array([part] * len(sizes), pa.int32()), pa.array(before, pa.int64()), pa.array(sizes, pa.int64()), column],
+                    [*[some[f.name] for f in own], pa.array(numbers, pa.int32()), pa.array([part] * len(sizes), pa.int32()), pa.array(before, pa.int64()), pa.array(sizes, pa.int64()), column],
                     names=schema.names,
                 )
+        release()
 
     return rows.mapInArrow(run, schema)
 
@@ -261,8 +260,8 @@ def pack(docs: DataFrame, path: str, *, window: int = 2048, end_id: int = 1, gra
     if parts.count() <= BROADCAST_ROWS:
         bases = F.broadcast(bases)
     placed = tokens.join(bases, (F.col("queue") == F.col("_q")) & (F.col("part") == F.col("_p"))).select("doc_id", *extra, "queue", (F.col("_base") + F.col("before")).alias("first"), "doc_tokens", "ids")
-    kept = [placed.schema["doc_id"], *[placed.schema[c] for c in extra]]
-    schema = T.StructType([*kept, *[T.StructField(n, T.LongType()) for n in ("start", "length", "doc_tokens", "sequence_id", "offset")], T.StructField("ids", T.BinaryType())])
+    own = [placed.schema["doc_id"], *[placed.schema[c] for c in extra]]
+    schema = T.StructType([*own, *[T.StructField(n, T.LongType()) for n in ("start", "length", "doc_tokens", "sequence_id", "offset")], T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -274,7 +273,8 @@ def pack(docs: DataFrame, path: str, *, window: int = 2048, end_id: int = 1, gra
                 bounds = pa.py_buffer(np.r_[0, np.cumsum(length * 4)].astype(np.int32))  # pieces follow one another as the ids do
                 ids = pa.Array.from_buffers(pa.binary(), len(doc), [None, bounds, data])
                 numbers = [pa.array(x.astype(np.int64)) for x in (start - first[doc], length, n[doc], sequence, offset)]
-                yield pa.RecordBatch.from_arrays([*[batch[f.name].take(pa.array(doc)) for f in kept], *numbers, ids], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*[batch[f.name].take(pa.array(doc)) for f in own], *numbers, ids], names=schema.names)
+        release()
 
     return placed.mapInArrow(run, schema)
 

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 from contextlib import contextmanager
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from feedjobs.operators.lineage import shared_dir
 
+Made = TypeVar("Made")
+
 _open: list[list[str]] = []
+_kept: dict[Hashable, object] = {}
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -31,9 +36,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The batches in slices of a few rows, so that not all their texts are Python strings at once."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+    _kept.clear()
+    try:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                yield batch.slice(at, rows)
+    finally:
+        release()
+
+
+def kept(key: Hashable, make: Callable[[], Made]) -> Made:
+    """What a Python worker keeps from task to task; tasks that ask for another, or read slices, let it go."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def release() -> None:
+    """Give freed memory back at the end of a task, as the worker lives on beside those of later steps."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only the GNU library has it
+    if trim:
+        trim(0)
 
 
 def _system(spark: SparkSession, path: str):
