@@ -13,6 +13,7 @@ from feedjobs.llm.mixing import mix
 from feedjobs.llm.near_dup import near_duplicates
 from feedjobs.llm.packing import pack
 from feedjobs.llm.sharding import shard_documents
+from feedjobs.llm.simhash import simhash_components
 from feedjobs.llm.topk import top_products
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -75,6 +76,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(_table(spark, sf_dir, "documents"), words=4, radius=4)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
