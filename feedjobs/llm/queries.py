@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedjobs.llm import language, licenses, quality, url_filter
+from feedjobs.llm import language, licenses, quality, trie, url_filter
 from feedjobs.llm.ann import nearest
 from feedjobs.llm.mixing import mix
 from feedjobs.llm.near_dup import near_duplicates
@@ -80,6 +80,12 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"), words=4, radius=4)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes, ends = trie.prefix_trie(trie.rebuilt(trie.conversations(_table(spark, sf_dir, "conversations"))))
+    found = nodes.join(trie.ends_digest(ends), ["conv_id", "depth"], "left")
+    return found.withColumn("ends_sha256", F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
@@ -118,5 +124,36 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, source,
     CAST(epochs * size + greatest(0, least(size, floor(target) - epochs * source_size - before)) AS BIGINT) AS taken FROM e"""
 
 
+_TRIE = r"""
+WITH RECURSIVE crc(i, k, c) AS (
+    SELECT range, 0, range FROM range(256)
+    UNION ALL SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc WHERE k < 8),
+byte AS (SELECT list(c ORDER BY i) AS t FROM crc WHERE k = 8),
+own AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS d,
+        md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS step, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS words
+    FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS base,
+        xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda a, b: xor(a >> 8, byte.t[(xor(a, b) & 255) + 1])), 4294967295) % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM own), byte),
+turns AS (
+    SELECT c.conv_id, o.d, o.step, o.words FROM convs c JOIN own o ON o.conv_id = c.base AND o.d <= c.h
+    UNION ALL SELECT c.conv_id, o.d + c.h, o.step, o.words FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.d > c.h),
+placed AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY d) AS d, step, words FROM turns),
+prefixes AS (
+    SELECT conv_id, d, words, string_agg(step, '') OVER (PARTITION BY conv_id ORDER BY d) AS path FROM placed
+    UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+lasts AS (SELECT conv_id, max_by(path, d) AS path FROM prefixes GROUP BY 1),
+ended AS (SELECT path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM lasts GROUP BY 1),
+nodes AS (SELECT path, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words FROM prefixes GROUP BY 1, 2),
+kids AS (SELECT left(path, length(path) - 32) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+full_nodes AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN kids k USING (path)),
+above AS (SELECT left(path, 32 * d.range) AS path, n_children, (n_convs - 1) * words AS saved FROM full_nodes, range(100000) d WHERE d.range <= depth),
+sums AS (SELECT path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM above GROUP BY 1)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM full_nodes n JOIN sums s USING (path) LEFT JOIN ended e USING (path) LEFT JOIN nodes p ON n.depth > 0 AND p.path = left(n.path, length(n.path) - 32)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing": _MIXING, "op7_exact_topk": _TOPK}
+    return {"op5_mixing": _MIXING, "op7_exact_topk": _TOPK, "op12_prefix_trie": _TRIE}
