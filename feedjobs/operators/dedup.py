@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedjobs.operators import keyfilter, replay
 from feedjobs.operators.lineage import cut
 from feedjobs.operators.ordered import running
 
@@ -19,8 +20,13 @@ def tier(column: str = "source_tier") -> Column:
 
 
 def unseen(batch: DataFrame, store: DataFrame) -> DataFrame:
-    """Items whose id is not stored. Only the store's ids are read."""
-    return batch.join(store.select("id").distinct(), "id", "left_anti")
+    """Items whose id is not stored. Only the store's ids are read, and those that may be in the batch are shuffled."""
+    return batch.join(_matching(store.select("id"), batch, "id"), "id", "left_anti")
+
+
+def _matching(store: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """The stored rows whose key may be in the batch."""
+    return keyfilter.maybe(store, key, keyfilter.key_filter(batch, key, batch.count()))
 
 
 def first_per_id(items: DataFrame) -> DataFrame:
@@ -29,10 +35,12 @@ def first_per_id(items: DataFrame) -> DataFrame:
     return rows.select("id", "r.*").select(items.columns)
 
 
-def oldest_stored(store: DataFrame) -> DataFrame:
-    """One stored row a title: the oldest."""
-    rows = store.groupBy("title_hash").agg(F.min_by(F.struct("id", "seq", tier().alias("tier"), *SIGHTING), "seq").alias("stored"))
-    return rows
+def oldest_stored(store: DataFrame, batch: DataFrame | None = None) -> DataFrame:
+    """One stored row a title: the oldest. With ``batch`` only for titles that may be in it, so what is aggregated grows with the batch and not with the history."""
+    rows = store.select("title_hash", "id", "seq", tier().alias("tier"), *SIGHTING)
+    if batch is not None:
+        rows = _matching(rows, batch, "title_hash")
+    return rows.groupBy("title_hash").agg(F.min_by(F.struct("id", "seq", "tier", *SIGHTING), "seq").alias("stored"))
 
 
 def title_winners(items: DataFrame) -> DataFrame:
@@ -67,7 +75,7 @@ def against_store(items: DataFrame, store: DataFrame) -> tuple[DataFrame, DataFr
 
     A win is inserted and notes the stored row; any other match is noted on the stored row.
     """
-    joined = items.join(oldest_stored(store), "title_hash", "left")
+    joined = items.join(oldest_stored(store, items), "title_hash", "left")
     matched, rest = joined.where("stored is not null"), joined.where("stored is null").select(items.columns)
     wins = tier() < F.col("stored.tier")
     won = matched.where(wins)
@@ -76,53 +84,28 @@ def against_store(items: DataFrame, store: DataFrame) -> tuple[DataFrame, DataFr
     return first_per_id(won.select(items.columns)), noted.union(lost), rest
 
 
-def accepted_in_order(items: DataFrame) -> DataFrame:
-    """title_hash, id, tier, seq, is_stored of the items that a row-by-row merge accepts, also those it displaces later.
-
-    ``items`` carry stored_tier, null where their title is not stored. An item is passed over if its id was accepted before.
-    Else it is accepted if its tier is better than the stored row's, or, in a new title, than all before it. So a
-    decision rests on earlier items only, and repeating both rules over all items at once settles on the row-by-row
-    result: each round settles the next link of every chain of items that share an id or a title. Any number
-    of tiers and titles per link is exact. An item's repeats, and later items of its title and tier, cannot
-    change a decision; minima over them combine before the shuffle, so a hot title or id is a few rows.
-    """
-    rows = cut(items.groupBy("title_hash", "id", tier().alias("tier")).agg(F.min("seq").alias("seq"), F.first("stored_tier").alias("stored_tier")))
-    before = Window.partitionBy("title_hash").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)  # a row a tier
-    accepted, mark, last = None, None, ()
-    while mark != last:
-        live = rows if accepted is None else not_accepted_before(rows, accepted)
-        wins = live.where("tier < stored_tier").select("title_hash", "id", "tier", "seq", F.lit(True).alias("is_stored"))
-        firsts = live.where("stored_tier is null").groupBy("title_hash", "tier").agg(F.min("seq").alias("seq"), F.min_by("id", "seq").alias("id"))
-        best = firsts.withColumn("_best", F.min("tier").over(before)).where("_best is null or tier < _best")
-        accepted = cut(wins.union(best.select("title_hash", "id", "tier", "seq", F.lit(False).alias("is_stored"))))
-        mark, last = tuple(accepted.agg(F.count(F.lit(1)), F.sum(F.xxhash64("seq", "id").cast("decimal(38,0)"))).collect()[0]), mark
-    return accepted
-
-
-def not_accepted_before(rows: DataFrame, accepted: DataFrame) -> DataFrame:
-    """Rows whose id was not accepted at an earlier place."""
-    since = accepted.groupBy("id").agg(F.min("seq").alias("_since"))
-    return rows.join(since, "id", "left").where("_since is null or _since >= seq").drop("_since")
-
-
 def dedup_in_order(batch: DataFrame, store: DataFrame, *, lossless: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(new items, sightings) as a row-by-row merge in order of seq gives them, also where a link comes under several titles.
+    """(new items, sightings) as a row-by-row merge in order of seq gives them, also where a link comes under several titles and for any number of tiers.
 
+    The batch is written once; what is stored is read for the batch's ids and titles, and narrow rows decide (see replay).
     ``lossless``: a title's winner notes all items that were not passed over. Else what was noted on a displaced row is forgotten.
     """
-    fresh = cut(unseen(batch, store).join(oldest_stored(store), "title_hash", "left"))
-    accepted = accepted_in_order(fresh.withColumn("stored_tier", F.col("stored.tier")))
+    batch = cut(batch)
+    narrow = batch.select("id", "title_hash", "source_tier", "seq", *SIGHTING)
+    fresh = cut(unseen(narrow, store).join(oldest_stored(store, narrow), "title_hash", "left"))
+    candidates = fresh.groupBy("title_hash", "id", tier().alias("tier")).agg(F.min("seq").alias("seq"), F.first("stored.tier").alias("stored_tier"))
+    accepted = replay.accepted(candidates)
     place = F.row_number().over(Window.partitionBy("title_hash").orderBy(F.desc("seq")))  # a row a tier
     ranked = accepted.where("not is_stored").withColumn("_place", place)
     kept = accepted.where("is_stored").select("seq").union(ranked.where("_place = 1").select("seq"))
     holders = ranked.groupBy("title_hash").agg(F.max("seq").alias("_seq"), F.max_by("id", "seq").alias("_id"), F.max(F.when(F.col("_place") == 2, F.col("seq"))).alias("_prior"))
 
-    live = not_accepted_before(fresh, accepted)
+    live = replay.not_accepted_before(fresh, accepted)
     wins = tier() < F.col("stored.tier")
     noted = live.where(wins).select(F.col("id").alias("winner_id"), "seq", *[F.col(f"stored.{c}").alias(c) for c in SIGHTING])
     lost = live.where(~wins).select(F.col("stored.id").alias("winner_id"), "seq", *SIGHTING)
     merged = live.where("stored is null").join(holders, "title_hash").where("id <> _id" if lossless else "seq > _seq or seq = _prior")
-    return fresh.join(kept, "seq", "left_semi").select(batch.columns), noted.union(lost).union(merged.select(F.col("_id").alias("winner_id"), "seq", *SIGHTING))
+    return batch.join(kept, "seq", "left_semi").select(batch.columns), noted.union(lost).union(merged.select(F.col("_id").alias("winner_id"), "seq", *SIGHTING))
 
 
 def winners_in_order(items: DataFrame) -> DataFrame:
@@ -135,7 +118,7 @@ def winners_in_order(items: DataFrame) -> DataFrame:
 def dedup(batch: DataFrame, store: DataFrame, *, lossless: bool = True, distinct_sightings: bool = True, exact: bool = True) -> tuple[DataFrame, DataFrame]:
     """(new items, sightings). The caller writes both; sightings are appended, and lists are built on read.
 
-    ``exact`` follows the row-by-row merge in all cases (see dedup_in_order), at the price of a few rounds. Without it each title
+    ``exact`` follows the row-by-row merge in all cases (see dedup_in_order). Without it each title
     is taken on its own, which gives the same only if each link has one title in the batch and there are two tiers.
     """
     if exact:
@@ -158,9 +141,14 @@ def displaced_by(items: DataFrame) -> DataFrame:
     return rows.select("seq", "title_hash", "tier", F.col("_best.seq").alias("best_seq"), (F.col("tier") < F.col("_best.tier")).alias("displaces"))
 
 
-def with_sightings(items: DataFrame, sightings: DataFrame, most: int = 50) -> DataFrame:
-    """Adds also_appeared_in: the first ``most`` sightings in order of arrival."""
-    rank = F.row_number().over(Window.partitionBy("winner_id").orderBy("seq", *SIGHTING))
-    lists = sightings.withColumn("_r", rank).where(F.col("_r") <= most).groupBy("winner_id").agg(F.array_sort(F.collect_list(F.struct("seq", *SIGHTING))).alias("_s"))
+def with_sightings(items: DataFrame, sightings: DataFrame, most: int | None = None) -> DataFrame:
+    """Adds also_appeared_in: an item's sightings in order of arrival, or with ``most`` the first so many.
+
+    An item's list is one value of its row, as reports print it; a limit keeps rows short where a story was seen many thousand times.
+    """
+    if most is not None:
+        rank = F.row_number().over(Window.partitionBy("winner_id").orderBy("seq", *SIGHTING))
+        sightings = sightings.withColumn("_r", rank).where(F.col("_r") <= most)
+    lists = sightings.groupBy("winner_id").agg(F.array_sort(F.collect_list(F.struct("seq", *SIGHTING))).alias("_s"))
     lists = lists.select(F.col("winner_id").alias("_id"), F.transform("_s", lambda s: F.struct(*[s[c].alias(c) for c in SIGHTING])).alias("also_appeared_in"))
     return items.drop("also_appeared_in").join(lists, F.col("id") == F.col("_id"), "left").drop("_id")

@@ -1,4 +1,4 @@
-"""Running sums and minima along an order inside groups of any size."""
+"""Numbers, running sums and minima along an order, over tables and groups of any size."""
 
 from __future__ import annotations
 
@@ -27,3 +27,16 @@ def running(rows: DataFrame, keys: list[str], order: list[str], value: Column, o
     zero = F.lit(0).cast("long")
     made = F.coalesce("_start", zero) + F.coalesce("_inside", zero) if kind == "sum" else F.least("_start", "_inside")
     return joined.withColumn(out, made).select(*rows.columns, out)
+
+
+def numbered(rows: DataFrame, order: list[str | Column], out: str = "seq") -> DataFrame:
+    """Add ``out``: 0, 1, 2, ... in the given order, which must tell rows apart; how the rows lie in files and partitions does not matter.
+
+    The rows are sorted into ranges, each row has its place in its range, and a range starts where the sum of the ranges before it ends: one row
+    a partition.
+    """
+    in_range = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # the lower 33 bits count a partition's rows
+    placed = cut(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_range": F.spark_partition_id(), "_at": in_range}))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return placed.join(F.broadcast(starts), "_range").withColumn(out, F.col("_start") + F.col("_at")).drop("_range", "_at", "_start")  # starts: a row a partition

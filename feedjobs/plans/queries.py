@@ -384,7 +384,7 @@ def _(spark, sf):
     return v_runs(spark, sf).where(T.within(F.col("started_at"), AS_OF, 72)).orderBy(F.desc("started_at"), F.desc("id")).select("id", "source", "started_at")
 
 
-@query("u1_union_seq", f"SELECT seq AS item, CASE WHEN {STORED} THEN 2 ELSE 1 END AS copies, CASE WHEN {STORED} THEN seq ELSE 1099511627776 + seq END AS first, 1099511627776 + seq AS last FROM v_items", ITEMS_SQL)
+@query("u1_union_seq", f"SELECT item, CAST(count(*) AS INT) AS copies, min(seq) AS first, max(seq) AS last FROM (SELECT item, row_number() OVER (ORDER BY part, item) - 1 AS seq FROM (SELECT seq AS item, 0 AS part FROM v_items WHERE {STORED} UNION ALL SELECT seq, 1 FROM v_items) p) n GROUP BY 1", ITEMS_SQL)
 def _(spark, sf):
     parts = [df.withColumnRenamed("seq", "pos").withColumn("item", F.col("pos")) for df in (v_store(spark, sf), v_batch(spark, sf))]
     return normalize.arrival(parts).groupBy("item").agg(F.count(F.lit(1)).cast("int").alias("copies"), F.min("seq").alias("first"), F.max("seq").alias("last"))
@@ -510,8 +510,8 @@ def _(spark, sf):
  || CASE WHEN w.seen IS NOT NULL THEN '_also seen at: ' || w.seen || '_' || chr(10) || chr(10) ELSE '' END || {_END} AS body FROM v_items i
 LEFT JOIN (SELECT conv_id, string_agg('> - **@' || role || '**: ' || t, chr(10) ORDER BY turn) AS said FROM (SELECT conv_id, role, turn, CASE WHEN length(t) > 300 THEN substr(t, 1, 300) || '…' ELSE t END AS t
   FROM (SELECT *, {_WS.format("regexp_replace(text, '<[^>]+>', '', 'g')")} AS t FROM conversations) p WHERE turn < 5 AND role <> 'system' AND t <> '') q GROUP BY 1) c ON c.conv_id = i.seq
-LEFT JOIN (SELECT id, string_agg(source || ':' || source_handle, '; ' ORDER BY seq) AS seen FROM (SELECT w.id, f.seq, f.source, f.source_handle, row_number() OVER (PARTITION BY w.id ORDER BY f.seq) AS n
-  FROM fresh f JOIN winners w USING (title_hash) WHERE f.id <> w.id) t WHERE n <= 50 GROUP BY 1) w ON w.id = i.id""",
+LEFT JOIN (SELECT id, string_agg(source || ':' || source_handle, '; ' ORDER BY seq) AS seen FROM (SELECT w.id, f.seq, f.source, f.source_handle
+  FROM fresh f JOIN winners w USING (title_hash) WHERE f.id <> w.id) t GROUP BY 1) w ON w.id = i.id""",
     _A1,
 )
 def _(spark, sf):

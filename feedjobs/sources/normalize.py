@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from feedjobs.functions.text import excerpt, item_id, matches_any, shorten, strip, title_hash
 from feedjobs.functions.times import from_epoch, parse_time
 from feedjobs.functions.urls import canonical_url
+from feedjobs.operators.ordered import numbered
 
 _TWEET = "type string, url string, text string, createdAt string, likeCount long, replyCount long, retweetCount long, author struct<userName:string,name:string>"
 _THREAD = "text string, url string, author string, author_name string, lang string, created_at long, like_count long, reply_count long, repost_count long"
@@ -29,19 +30,64 @@ SCHEMAS = {
 
 
 def landed(spark: SparkSession, path: str, platform: str, *, lines: bool = False) -> DataFrame:
-    """The payload's records with pos, their place in the file. A payload is a file or, with ``lines``, a line."""
+    """The payloads' records with place, where their payload was landed, and pos, their own place in it. A payload is a file or, with ``lines``, a line.
+
+    What can't be read is left out (see damaged).
+    """
     schema, inside = SCHEMAS[platform]
-    rows = spark.read.schema(schema).json(path, multiLine=not lines)
+    rows = _read_json(spark, path, schema, lines).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     if inside is None:
-        return rows.withColumn("pos", F.monotonically_increasing_id())
-    return rows.select(F.posexplode(inside).alias("pos", "r")).select("r.*", "pos")
+        return rows.withColumn("pos", F.lit(0).cast("long"))
+    return rows.select(F.posexplode(inside).alias("pos", "r"), "place").select("r.*", F.col("pos").cast("long").alias("pos"), "place")
+
+
+#: Where Spark's readers put the text of what they can't read.
+CORRUPT = "_corrupt_record"
+
+
+def _read_json(spark: SparkSession, path: str, schema: str, lines: bool) -> DataFrame:
+    rows = spark.read.schema(f"{schema}, {CORRUPT} string").option("columnNameOfCorruptRecord", CORRUPT).json(path, multiLine=not lines)
+    return rows.withColumn("place", landing_place())
+
+
+def landing_place() -> Column:
+    """file, block, row: sorts as the files' names do, and inside a file as its rows stand.
+
+    A file's blocks start one after another, and Spark reads the rows of a block in one task and in order. So the order of these triples is the same however
+    files are split and blocks dealt, though their last number is not.
+    """
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+
+
+def damaged(spark: SparkSession, path: str, platform: str, *, lines: bool = False) -> DataFrame:
+    """file, reason, text (at most 200 characters) of landed payloads or records that are no JSON or not of the platform's form: the quarantine of ``landed``."""
+    schema, _ = SCHEMAS[platform]
+    rows = _read_json(spark, path, schema, lines).where(F.col(CORRUPT).isNotNull())
+    return rows.select(F.col("place.file").alias("file"), F.lit(f"not a {platform} payload").alias("reason"), F.substring(CORRUPT, 1, 200).alias("text"))
+
+
+_FEED = "title string, link string, description string, summary string, pubDate string, published string, updated string, author string"
+
+
+def _read_xml(spark: SparkSession, path: str, atom: bool, extra: tuple[str, ...]) -> DataFrame:
+    schema = ", ".join([_FEED, *extra, f"{CORRUPT} string"])
+    rows = spark.read.format("xml").option("rowTag", "entry" if atom else "item").option("columnNameOfCorruptRecord", CORRUPT).schema(schema).load(path)
+    rows = rows.withColumn("place", landing_place())
+    return rows if any(e.split(" ")[0] == "feed" for e in extra) else rows.withColumn("feed", F.col("place.file"))
 
 
 def feed(spark: SparkSession, path: str, *, atom: bool = False, extra: tuple[str, ...] = ()) -> DataFrame:
-    """RSS items or Atom entries, one row each, in the file's order. ``extra``: more fields, as ``name type``; ``feed`` is the file's name if it is not one of them."""
-    schema = ", ".join(["title string, link string, description string, summary string, pubDate string, published string, updated string, author string", *extra])
-    rows = spark.read.format("xml").option("rowTag", "entry" if atom else "item").schema(schema).load(path).withColumn("pos", F.monotonically_increasing_id())
-    return rows if "feed" in rows.columns else rows.withColumn("feed", F.input_file_name())
+    """RSS items or Atom entries, one row each, with place as in ``landed``. ``extra``: more fields, as ``name type``; ``feed`` is the file's path if it is not one of them.
+
+    Entries that can't be read are left out (see damaged_feed).
+    """
+    return _read_xml(spark, path, atom, extra).where(F.col(CORRUPT).isNull()).drop(CORRUPT).withColumn("pos", F.lit(0).cast("long"))
+
+
+def damaged_feed(spark: SparkSession, path: str, *, atom: bool = False) -> DataFrame:
+    """file, reason, text of feed entries that are no XML or not of a feed's form."""
+    rows = _read_xml(spark, path, atom, ()).where(F.col(CORRUPT).isNotNull())
+    return rows.select(F.col("place.file").alias("file"), F.lit("not a feed entry").alias("reason"), F.substring(CORRUPT, 1, 200).alias("text"))
 
 
 def _n(c: str) -> Column:
@@ -55,7 +101,7 @@ def _items(rows: DataFrame, *, source: str, title: Column, url: Column, posted:
         F.lit(source).alias("source"), F.coalesce(handle, empty).alias("source_handle") if handle is not None else empty.alias("source_handle"), F.lit(tier).alias("source_tier"),
         F.coalesce(title, empty).alias("title"), F.coalesce(url, empty).alias("url"), posted.alias("posted_at"), fetched.alias("fetched_at"),
         (F.coalesce(author, empty) if author is not None else empty).alias("author"), (F.coalesce(text, empty) if text is not None else empty).alias("excerpt"),
-        (language if language is not None else F.lit("en")).alias("language"), engagement.alias("engagement"), "pos",
+        (language if language is not None else F.lit("en")).alias("language"), engagement.alias("engagement"), *[c for c in ("place", "pos") if c in rows.columns],
     )
     if drop_empty:
         made = made.where((F.col("title") != "") & (F.col("url") != ""))
@@ -78,18 +124,30 @@ def reddit(rows: DataFrame, fetched: Column, subreddit: str, *, tier: int = 2) -
 
 def github_trending(rows: DataFrame, fetched: Column, language: str, keywords: list[str], *, tier: int = 2) -> DataFrame:
     """rows: slug, description, stars (see html.repo_lists)."""
-    rows = rows.where(matches_any(F.concat_ws(" ", "slug", "description"), keywords))
+    rows = rows.where(matches_any(F.concat_ws(" ", "slug", "description"), keywords)).withColumn("place", page_place(rows))
     return _items(rows, source="github_trending", title=F.col("slug"), url=F.concat(F.lit("https://github.com/"), "slug"), posted=fetched, fetched=fetched, counts={"stars": _n("stars")}, handle=F.lit(f"trending:{language or 'all'}"), author=F.substring_index("slug", "/", 1), text=F.substring("description", 1, 200), tier=tier)
 
 
 def trendshift(rows: DataFrame, fetched: Column, limit: int, keywords: list[str], *, tier: int = 2) -> DataFrame:
-    """rows: rank, score, full_name, description (see html.ranked_repos). The limit holds for each page and comes before the keywords."""
-    page = ["page_id"] if "page_id" in rows.columns else []
-    place = F.row_number().over(Window.partitionBy(*page).orderBy("rank", "full_name"))
-    rows = rows.dropDuplicates([*page, "rank", "full_name"]).withColumn("_place", place).where(F.col("_place") <= limit).where(matches_any(F.col("full_name"), keywords)).withColumn("pos", F.col("rank").cast("long"))
+    """rows: rank, score, full_name, description, and page_id and pos of the record (see html.ranked_repos).
+
+    Of records with one rank and name on a page the first one counts, and of those with one rank the first ones come first. The limit holds for each page and comes before the keywords.
+    """
+    page = [c for c in ("page_id",) if c in rows.columns]
+    stands = [c for c in ("pos",) if c in rows.columns] or ["full_name"]
+    again = F.row_number().over(Window.partitionBy(*page, "rank", "full_name").orderBy(*stands))
+    place = F.row_number().over(Window.partitionBy(*page).orderBy("rank", *stands))
+    rows = rows.withColumn("_again", again).where("_again = 1").withColumn("_place", place).where(F.col("_place") <= limit).where(matches_any(F.col("full_name"), keywords))
+    rows = rows.withColumns({"place": page_place(rows), "pos": F.col("_place").cast("long")})
     return _items(rows, source="trendshift", title=F.col("full_name"), url=F.concat(F.lit("https://github.com/"), "full_name"), posted=fetched, fetched=fetched, counts={"rank": _n("rank"), "score": F.col("score").cast("long")}, handle=F.concat(F.lit("rising:rank-"), F.col("rank").cast("string")), author=F.substring_index("full_name", "/", 1), text=F.substring("description", 1, 200) if "description" in rows.columns else None, tier=tier)
 
 
+def page_place(rows: DataFrame) -> Column:
+    """As landing_place, for records of pages that have numbers."""
+    page = F.col("page_id") if "page_id" in rows.columns else F.lit(None)
+    return F.struct(F.lit(None).cast("string").alias("file"), page.cast("long").alias("block"), F.lit(0).cast("long").alias("row"))
+
+
 def product_hunt(rows: DataFrame, fetched: Column, *, tier: int = 2) -> DataFrame:
     title = F.regexp_replace(F.concat_ws(" — ", F.coalesce("name", F.lit("")), F.coalesce("tagline", F.lit(""))), "^[ —]+|[ —]+$", "")
     return _items(rows, source="product_hunt", title=title, url=F.col("url"), posted=parse_time(F.col("createdAt"), fetched), fetched=fetched, counts={"votes": _n("votesCount"), "comments": _n("commentsCount")}, handle=F.lit("daily_top_ai"), author=F.col("user.name"), text=F.substring("tagline", 1, 200), tier=tier, drop_empty=False)
@@ -106,7 +164,7 @@ def rss(rows: DataFrame, fetched: Column, source_id: str, *, limit: int = 30, so
 
     The limit holds for each feed, by the column ``feed`` if there is one. ``handle``: a column that names each row's source in place of ``source_id``.
     """
-    place = F.row_number().over(Window.partitionBy(*[c for c in ["feed"] if c in rows.columns]).orderBy("pos"))
+    place = F.row_number().over(Window.partitionBy(*[c for c in ["feed"] if c in rows.columns]).orderBy(*[c for c in ("place", "pos") if c in rows.columns]))
     rows = rows.withColumn("_place", place).where(F.col("_place") <= limit)
     text = F.col("summary") if source == "wewe_rss" else F.coalesce(F.nullif("summary", F.lit("")), "description")
     times = [F.coalesce("pubDate", "published"), *([F.col("updated")] if source == "rss" else [])]
@@ -132,9 +190,14 @@ def threads_apify(rows: DataFrame, fetched: Column, *, language: str = "en", tie
 
 
 def arrival(parts: list[DataFrame]) -> DataFrame:
-    """All sources' items with seq: the source's place in the list, then the item's in its payload."""
-    made = [p.withColumn("source_pos", F.lit(i)) for i, p in enumerate(parts)]
+    """All sources' items with seq: 0, 1, 2, ... by the source's place in the list, the payload's file and place in it, and the item's place in its payload.
+
+    The same items have the same numbers however files are split and dealt to tasks. Parts that were not landed as files order by ``pos`` alone, which must then
+    tell their items apart.
+    """
+    none = F.lit(None).cast("struct<file:string,block:bigint,row:bigint>")
+    made = [(p if "place" in p.columns else p.withColumn("place", none)).withColumn("source_pos", F.lit(i)) for i, p in enumerate(parts)]
     out = made[0]
     for p in made[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
-    return out.withColumn("seq", F.col("source_pos").cast("long") * (1 << 40) + F.col("pos"))
+    return numbered(out, ["source_pos", "place", "pos"])

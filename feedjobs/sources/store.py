@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedjobs.functions.times import business_day
 from feedjobs.operators.dedup import first_per_id, unseen
+from feedjobs.sources import commits
 
 ITEM_DEFAULTS = {"author": "", "excerpt": "", "language": "en", "source_handle": ""}
 SIGHTINGS = "array<struct<source:string,source_handle:string,url:string>>"
@@ -32,10 +35,13 @@ def with_config_defaults(rows: DataFrame, language: str = "en") -> DataFrame:
     return rows.select(checked.alias("id"), "type", F.coalesce("enabled", F.lit(True)).alias("enabled"), F.coalesce("tier", F.lit(2)).alias("tier"), F.coalesce("language", F.lit(language)).alias("language"), "params")
 
 
-def append_items(items: DataFrame, store: DataFrame | None, path: str) -> None:
-    """Append items whose id is new, partitioned by the business day of fetching."""
+def append_items(items: DataFrame, store: DataFrame | None, path: str, name: str | None = None) -> bool:
+    """Append items whose id is new, partitioned by the business day of fetching, and commit them (see commits).
+
+    An append that broke half-way is never read and can be repeated; one that is repeated under the ``name`` of a committed one adds nothing and gives False.
+    """
     fresh = first_per_id(items if store is None else unseen(items, store))
-    fresh.withColumn("fetch_day", business_day(F.col("fetched_at"))).write.mode("append").partitionBy("fetch_day").parquet(path)
+    return commits.write(fresh.withColumn("fetch_day", business_day(F.col("fetched_at"))), path, name or uuid.uuid4().hex, ("fetch_day",))
 
 
 def append_runs(runs: DataFrame, path: str) -> None:
@@ -43,8 +49,9 @@ def append_runs(runs: DataFrame, path: str) -> None:
 
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:
-    """Items with defaults; files from before a column was added read as null there."""
-    return with_defaults(spark.read.option("mergeSchema", "true").parquet(path))
+    """Items with defaults; files from before a column was added read as null there. Of a table with a manifest what is committed, else all files."""
+    rows = commits.read(spark, path)
+    return with_defaults(spark.read.option("mergeSchema", "true").parquet(path) if rows is None else rows)
 
 
 def with_defaults(rows: DataFrame) -> DataFrame:

@@ -6,31 +6,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import IntegerType
 
 from feedjobs.functions.times import business_day
 from feedjobs.operators.dedup import dedup
-from feedjobs.operators.lineage import cut, scratch
-
+from feedjobs.operators.lineage import cut, scratch, step
+from feedjobs.sources import history
 
 STREAKS = "source string, last_ok_at timestamp_ntz, last_run long, streak long, alert boolean"
 
 
+#: Batches whose index folders are merged into one.
+COMPACT_EVERY = 32
+
+
 def ingest(items: DataFrame, store_path: str, sightings_path: str, checkpoint: str):
     """Exact dedup of every micro-batch against all history.
 
-    A batch's number names its folder. A replay after a failure reads the folders before its own only and overwrites its own.
+    A batch's number names its folder. The history is read through an index under the store, and only where the batch's keys can match (see
+    sources.history). A batch is indexed after its rows are written, and a replay after a failure takes earlier batches only, so it overwrites its folders with the same rows. What a batch leaves in the
+    shared folder goes at its end; every COMPACT_EVERY batches the index is merged.
     """
+    keys = f"{store_path}/_keys"
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        if number:
-            store = spark.read.schema(StructType([*batch.schema.fields, StructField("batch", LongType())])).parquet(store_path).where(F.col("batch") < number).drop("batch")
-        else:
-            store = spark.createDataFrame([], batch.schema)
-        new, sightings = dedup(batch, store)
-        new.write.mode("overwrite").parquet(f"{store_path}/batch={number:010d}")
-        sightings.write.mode("overwrite").parquet(f"{sightings_path}/batch={number:010d}")
+        with step(spark):
+            batch = cut(batch)
+            new, sightings = dedup(batch, history.matching(spark, keys, batch, before=number))
+            new.write.mode("overwrite").parquet(f"{store_path}/batch={number:010d}")
+            sightings.write.mode("overwrite").parquet(f"{sightings_path}/batch={number:010d}")
+        history.add(spark.read.schema(new.schema).parquet(f"{store_path}/batch={number:010d}"), keys, number)
+        if number % COMPACT_EVERY == COMPACT_EVERY - 1:
+            history.compact(spark, keys)
 
     return items.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
