@@ -27,6 +27,8 @@ BLOCK, WORDS = 8_000_000, 250_000
 BROADCAST_ROWS = 200_000
 #: Fractional bits of a quantum.
 BITS = 16
+#: Ids of a queue whose number still has room for these bits and a quantum's.
+MOST = 1 << 45
 
 # How this vocabulary's file splits lower-case text; what its special tokens begin with.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\pL]+|[\pN]|[^\s\pL\pN]+"
@@ -201,6 +203,8 @@ def cut(first: np.ndarray, last: np.ndarray, queue: np.ndarray, totals: np.ndarr
 
     Returns per piece: document (its place in the input), first id, length, window, offset.
     """
+    if len(totals) and totals.max() >= MOST:
+        raise ValueError(f"a queue holds {totals.max()} ids; more than {MOST} need a smaller BITS")
     low, high = first // grain, (last - 1) // grain
     count = high - low + 1
     doc = np.repeat(np.arange(len(first)), count)
@@ -214,8 +218,9 @@ def cut(first: np.ndarray, last: np.ndarray, queue: np.ndarray, totals: np.ndarr
     length = np.where(final, last[doc], ends) - start
     own, place, number = queue[doc], start.copy(), np.arange(len(totals))
     some = max(1, (1 << 20) // max(1, len(totals)))
+    rounds_of = -((-(-(-totals // grain) * grain) << BITS) // quantum)  # by then a queue has given all it has, so no product is above that and a quantum
     for a in range(0, len(doc), some):  # what all other queues have given by then: those before this one a round more
-        turn = rounds[a : a + some, None] + (number < own[a : a + some, None])
+        turn = np.minimum(rounds[a : a + some, None] + (number < own[a : a + some, None]), rounds_of)
         given = np.minimum((turn * quantum >> BITS) // grain * grain, totals)
         given[np.arange(len(given)), own[a : a + some]] = 0
         place[a : a + some] += given.sum(1)
@@ -234,7 +239,7 @@ def pack(docs: DataFrame, path: str, *, window: int = 2048, end_id: int = 1, gra
     ``extra``. Every id lies in one piece; all windows but the last are full. A window's ids come from
     the sources in proportion to ``shares`` (the default: to all their ids, so that all queues end
     together), but for less than a grain a source. A source that ends
-    leaves its share to the others. Sources too small to give each window a grain share queues (see queues).
+    leaves its share to the others. A source that ``shares`` leaves out gives next to nothing (1 / 2**16 of an id a window) until the others end. Sources too small to give each window a grain share queues (see queues).
 
     Null and empty texts are one ``end_id``; null sources are one queue; repeated rows are
     packed as often as they stand. Texts of any length are cut over as many windows as they
