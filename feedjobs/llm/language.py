@@ -28,7 +28,8 @@ BLOCK = 500_000
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+    """False for a null id, from which nothing is learned either."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 @functools.cache
@@ -150,7 +151,7 @@ def sample_of(docs: DataFrame, sample: int) -> DataFrame:
     One count a language decides, so no language is ranked in one task. Rows that share an id and language count once, by the text that sorts first.
     """
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31))
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     ids = usable.select("lang", "doc_id").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("_ids"))
     bound = ids.select(F.col("lang").alias("_lang"), (F.lit(float(sample) * (1 << 31)) / F.col("_ids")).alias("_below"))  # a row a language
     some = usable.select("doc_id", "lang", "text").join(F.broadcast(bound), F.col("lang") == F.col("_lang")).where(place < F.col("_below"))
