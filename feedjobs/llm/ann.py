@@ -45,6 +45,21 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances of the rows to ``q``. Where squares are beyond a double, or too small for one, the differences are scaled by the largest; a distance that is itself beyond a double is infinite."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        gap = x - q
+        squares = (gap**2).sum(1)
+        out = np.sqrt(squares)
+        odd = ~((squares > 1e-280) & (squares < np.inf))
+        if odd.any():
+            half = x[odd] / 2 - q / 2  # of which none is infinite
+            largest = np.abs(half).max(1)
+            scaled = half / np.where(largest > 0, largest, 1)[:, None]
+            out[odd] = 2 * (largest * np.sqrt((scaled**2).sum(1)))
+    return out
+
+
 def code(y: np.ndarray) -> np.ndarray:
     """The nearest signed axis: 2 i for axis i, 2 i + 1 for its negative."""
     axis = np.abs(y).argmax(1)
@@ -158,7 +173,7 @@ def nearest(embeddings: DataFrame, queries: DataFrame, *, k: int = 10, tables: i
                         for i in range(len(q)):
                             some = np.flatnonzero(meets[i])
                             if len(some):
-                                best.add(own[i], vec_ids[at[some]], np.sqrt(((x[some] - q[i]) ** 2).sum(1)))
+                                best.add(own[i], vec_ids[at[some]], distances(x[some], q[i]))
                 yield best.batch(pa.float64())
 
             return run
