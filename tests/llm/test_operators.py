@@ -148,6 +148,37 @@ def test_shares_of_a_window():
             assert abs(length[(doc == q) & (window == w)].sum() - 2048 * share) <= 64
 
 
+def test_shares_of_many_ids_stay_in_range():
+    """A queue without a share beside one with all of it, 50 million ids each, by ``cut`` alone."""
+    totals = np.array([50_000_000, 50_000_000])
+    for shares in ([1 << 20, 0], [0, 1 << 20], [1 << 20, 1]):
+        first = np.array([0, 20_000_000, 49_990_000, 0, 25_000_000, 49_990_000])
+        queue = np.array([0, 0, 0, 1, 1, 1])
+        _, start, length, window, offset = cut(first, first + 10_000, queue, totals, quanta(totals, 2048, np.array(shares)), 16, 2048)
+        assert window.min() >= 0 and window.max() <= totals.sum() // 2048 and (0 <= offset).all() and (offset < 2048).all() and length.sum() == 60_000
+        lead = shares.index(1 << 20)
+        assert window[start >= 49_980_000].max() >= totals.sum() // 2048 - 8 and window[(start < 10_000)].min() == 0 or lead
+    with pytest.raises(ValueError, match="BITS"):
+        cut(np.zeros(1, np.int64), np.ones(1, np.int64), np.zeros(1, np.int64), np.array([packing.MOST]), np.array([1]), 16, 2048)
+
+
+def test_language_of_documents_without_an_id(spark):
+    rows = spark.createDataFrame([(None, "some text here", "en"), (1, "le texte ici", "fr")], "doc_id long, text string, lang string")
+    late = zlib.crc32(b"1") % 4 == 2
+    assert [r.h for r in rows.select("doc_id", language.held_out(F.col("doc_id")).alias("h")).orderBy("doc_id").collect()] == [False, late]
+    assert language.learn(rows).languages == ([] if late else ["fr"])
+
+
+def test_neighbours_of_vectors_whose_squares_overflow(spark):
+    big = 1e200
+    rows = [(0, [big, big]), (1, [big, -big]), (2, [1.01 * big, 1.02 * big]), (3, [1e-200, 0.0]), (4, [2e-200, 0.0]), (100, [1.01 * big, big]), (200, [1e-200, 1e-210]), (300, [1e308, -1e308]), (301, [-1e308, 1e308])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in nearest(vectors, vectors.where("vec_id % 100 = 0"), k=2).collect()}
+    assert [got[100, i][0] for i in (1, 2)] == [0, 2] and np.isclose(got[100, 1][1], 0.01 * big) and np.isclose(got[100, 2][1], 0.02 * big)
+    assert got[200, 1] == (3, 1e-210) and np.isclose(got[200, 2][1], 1e-200, rtol=1e-12)
+    assert all(np.isfinite(s) or q == 300 for (q, _), (_, s) in got.items())
+
+
 def test_language(spark, odd, docs):
     filters = language.learn(docs)
     got = language.predict(odd, filters).collect()
@@ -271,7 +302,7 @@ def test_sql_gives_the_same_rows(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     got = queries.queries()[name](spark, SF)
     want = con.sql(queries.oracle_sql()[name])
