@@ -474,6 +474,21 @@ def test_many_url_rules_are_joined_alike(spark, monkeypatch):
     assert len({r[3] for r in few}) > 5
 
 
+# Hosts none of whose names is a labelled one.
+UNLISTED_ORDINARY = "bbc.co.uk stackoverflow.com postgresql.org nytimes.com nasa.gov mit.edu amazon.de lesechos.fr corriere.it asahi.com kde.org gnome.org imdb.com goodreads.com allrecipes.com ikea.com lufthansa.com toyota.com siemens.com who.int un.org europa.eu bundestag.de cern.ch ieee.org acm.org springer.com elsevier.com jstor.org cnn.com washingtonpost.com lego.com nintendo.com zalando.de booking.com airbnb.com yelp.com strava.com duolingo.com khanacademy.org coursera.org spotify.com netflix.com".split()
+UNLISTED_UNWANTED = "luckyslots777.com megajackpotcity.net sexchat-live.net buy-viagra-online.com onlinepharmacy24.biz torrentfreak-movies.cc adclick-media.com payday-now.com best-poker-room.com xxxtube.club hotescorts.vip bitcoin-doubler.top replica-watches.shop casinoroyal.bet freegiveaway.win cheap-cialis.ru keygens-cracks.net popunder-ads.com trackpixel.click seo-backlinks.biz lottowinners.org nude-cams.live forexprofits.io bingo-bonus.co warezforum.to fastloans24.com pharmacymeds.net phishing-kit.xyz betting-tips.com wagerzone.ag".split()
+
+
+def test_url_filter_on_hosts_that_are_not_listed(spark):
+    listed = {re.sub(r"^(?:www|m|blog|news)\.", "", re.match(r"http://([^/]*)", u)[1]) for u in url_filter.BLOCKED + url_filter.ALLOWED}
+    assert not listed & {*UNLISTED_ORDINARY, *UNLISTED_UNWANTED}
+    hosts = [(i, f"https://{h}/x/page.html") for i, h in enumerate(UNLISTED_ORDINARY + UNLISTED_UNWANTED)]
+    hosts.append((999, "http://a.test/" + "ab-cd/" * 50_000))  # in seconds
+    got = [r.verdict for r in url_filter.judge(spark.createDataFrame(hosts, "page_id long, url string"), url_filter.train(url_filter.seed_urls(spark)), []).orderBy("page_id").collect()]
+    n = len(UNLISTED_ORDINARY)
+    assert got[:n].count("allow") >= 0.8 * n and got[n:-1].count("block") >= 0.8 * len(UNLISTED_UNWANTED) and got[-1] == "allow"
+
+
 def test_url_verdicts_follow_the_fitted_weights(spark):
     """Probabilities against a plain sum of the weights of the hashed n-grams of host and path."""
     model = url_filter.train(url_filter.seed_urls(spark))
