@@ -37,7 +37,7 @@ PAYLOADS = {
 NESTING = {"hn": ["hits"], "reddit": ["data", "children"], "product_hunt": ["data", "posts", "edges"], "threads": ["data"]}
 
 
-def _documents(spark: SparkSession, sf: str) -> DataFrame:
+def documents(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").where(_DOCS)
 
 
@@ -45,7 +45,7 @@ def payloads(spark: SparkSession, sf: str, platform: str) -> DataFrame:
     """The documents as landed payloads of a platform, read back from JSON: one payload a line."""
     inside = normalize.SCHEMAS[platform][1]
     record = F.expr(PAYLOADS[platform])
-    rows = _documents(spark, sf)
+    rows = documents(spark, sf)
     if inside is None:
         rows = rows.select(record.alias("r")).select("r.*")
     else:
@@ -69,7 +69,7 @@ def _now():
 
 def pages(spark: SparkSession, sf: str, kind: str) -> DataFrame:
     """page_id, html: a page a document, as a repository list or as a streamed page with script chunks."""
-    docs = _documents(spark, sf)
+    docs = documents(spark, sf)
     escape = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     if kind == "list":
         stars = F.when(F.col("lang") == "fr", F.concat(F.format_number("n_chars", 0))).otherwise(F.concat(F.col("n_chars").cast("string"), F.lit("k")))
@@ -124,7 +124,7 @@ def entries(spark: SparkSession, sf: str) -> DataFrame:
     fields = [F.concat(F.lit(" "), "source", F.lit(" "), F.col("doc_id").cast("string"), F.lit(" ")).alias("title"), F.expr(_LINK).alias("link"), F.concat(F.lit("<p>"), "lang", F.lit("</p>  x")).alias("description")]
     fields += [F.when(F.col("lang") == "fr", F.col("source")).alias("summary"), F.when(F.col("lang") != "de", time).alias("pubDate"), iso.alias("updated"), F.col("lang").alias("author"), F.col("source").alias("feed")]
     path = f"{scratch(spark)}/feed"
-    _documents(spark, sf).select(*fields).write.format("xml").option("rowTag", "item").option("rootTag", "channel").save(path)
+    documents(spark, sf).select(*fields).write.format("xml").option("rowTag", "item").option("rootTag", "channel").save(path)
     return normalize.feed(spark, path, extra=("feed string",))
 
 

@@ -459,7 +459,37 @@ def _(spark, sf):
 
 @query("u5_streamed_pages", "SELECT doc_id AS page_id, CAST(doc_id AS INT) AS rank, n_chars + 0.5::DOUBLE AS score, source || '/' || doc_id AS full_name, text AS description FROM documents")
 def _(spark, sf):
-    return html.ranked_repos(landing.pages(spark, sf, "chunks"))
+    return html.ranked_repos(landing.pages(spark, sf, "chunks")).drop("pos")
+
+
+def _as_sql(spark: SparkSession, pages: DataFrame, query: str) -> DataFrame:
+    html.register(spark)
+    return spark.sql(query, pages=pages)
+
+
+@query("u4_repo_list_sql", _REPOS)
+def _(spark, sf):
+    return _as_sql(spark, landing.pages(spark, sf, "list"), "SELECT p.page_id, r.slug, r.description, r.stars FROM {pages} p, LATERAL repo_list(p.html) r")
+
+
+@query("u5_ranked_records_sql", ORACLE["u5_streamed_pages"])
+def _(spark, sf):
+    return _as_sql(spark, landing.pages(spark, sf, "chunks"), "SELECT p.page_id, r.rank, r.score, r.full_name, r.description FROM {pages} p, LATERAL ranked_records(p.html) r WHERE r.reason IS NULL")
+
+
+@query(
+    "u5_damaged_records",
+    """SELECT doc_id AS page_id, doc_id AS rank, CAST(NULL AS VARCHAR) AS reason FROM documents
+UNION ALL SELECT doc_id, NULL, CASE lang WHEN 'de' THEN 'rank or score is no number' WHEN 'en' THEN 'rank or score is out of range' WHEN 'es' THEN 'full_name is no text' ELSE 'unbalanced, or more than 64 levels deep' END FROM documents""",
+)
+def _(spark, sf):
+    bad = """CASE lang WHEN 'de' THEN '{"rank": Infinity, "score": 1, "full_name": "a/b"}' WHEN 'en' THEN '{"rank": 99999999999999999999, "score": 1, "full_name": "a/b"}'
+      WHEN 'es' THEN '{"rank": 1, "score": 1, "full_name": ["a/b"]}' ELSE concat('{"full_name": "a/b", "x": ', repeat('[', 5000)) END"""
+    good = """concat('{"rank": ', doc_id, ', "score": 1.5, "full_name": "o/r"} ')"""
+    quoted = "replace({}, '\"', '\\\\\"')"
+    made = landing.documents(spark, sf).selectExpr("doc_id AS page_id", f"""concat('<script>self.__next_f.push([1,"', {quoted.format(f"concat({good}, {bad})")}, '"])</script>') AS html""")
+    found = html.ranked_repos(made).select("page_id", "rank", F.lit(None).cast("string").alias("reason"))
+    return found.union(html.damaged_records(made).select("page_id", F.lit(None).cast("long"), "reason"))
 
 
 @query("io4_source_config", "SELECT source AS id, min(lang) AS type, min(n_chars) % 2 = 0 AS enabled, CASE WHEN min(n_chars) % 3 = 0 THEN 1 ELSE 2 END AS tier, CASE WHEN min(lang) = max(lang) THEN min(lang) ELSE 'en' END AS language FROM documents GROUP BY 1")

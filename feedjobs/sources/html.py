@@ -8,7 +8,8 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import udtf
 
 
 class _Repos(HTMLParser):
@@ -67,28 +68,10 @@ def repo_lists(pages: DataFrame) -> DataFrame:
 
 
 _CHUNK = re.compile(r'self\.__next_f\.push\(\[\d+,\s*"((?:[^"\\]|\\.)*)"\]\)', re.S)
-
-
-def objects(text: str) -> Iterator[dict]:
-    """JSON objects that start at a brace and end at the one that balances it; outermost first, then what is inside unreadable ones."""
-    decoder, at = json.JSONDecoder(), text.find("{")
-    while at >= 0:
-        try:
-            found, end = decoder.raw_decode(text, at)
-        except ValueError:
-            at = text.find("{", at + 1)
-            continue
-        yield found
-        at = text.find("{", end)
-
-
-def _walk(value) -> Iterator[dict]:
-    if isinstance(value, dict):
-        yield value
-        value = list(value.values())
-    if isinstance(value, list):
-        for v in value:
-            yield from _walk(v)
+_NAME = re.compile(r'[{}]|"full_name"\s*:')
+_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[{}\[\]]', re.S)
+#: Levels of braces and brackets that a record may have inside.
+DEPTH = 64
 
 
 def _decoded(chunk: str) -> str:
@@ -99,23 +82,102 @@ def _decoded(chunk: str) -> str:
         return ""
 
 
-def _record(r: dict) -> tuple | None:
-    """rank, score, full_name, description, if the first three are there and are what they should be."""
+def object_starts(text: str) -> list[int]:
+    """Where the objects begin that have a full_name of their own, each once and in order: one pass with a stack of open braces."""
+    open_, starts = [], {}
+    for m in _NAME.finditer(text):
+        if m[0] == "{":
+            open_.append(m.start())
+        elif m[0] == "}":
+            if open_:
+                open_.pop()
+        elif open_:
+            starts[open_[-1]] = True
+    return list(starts)
+
+
+def object_at(text: str, start: int) -> str | None:
+    """The object from this brace to the one that balances it, braces in strings left aside; None if there is none, or if it is more than DEPTH deep."""
+    depth = 0
+    for m in _TOKEN.finditer(text, start):
+        if m[0] in "{[":
+            depth += 1
+            if depth > DEPTH:
+                return None
+        elif m[0] in "}]":
+            depth -= 1
+            if not depth:
+                return text[start : m.end()]
+    return None
+
+
+def _record(text: str | None) -> tuple[tuple | None, str | None]:
+    """((rank, score, full_name, description), None) of a record; (None, why) if it can't be one; (None, None) of an object of another kind."""
+    if text is None:
+        return None, f"unbalanced, or more than {DEPTH} levels deep"
+    try:
+        r = json.loads(text)
+    except (ValueError, RecursionError):
+        return None, "no JSON"
+    if not all(k in r for k in ("rank", "score", "full_name")):
+        return None, None
     try:
-        return int(r["rank"]), float(r["score"]), str(r["full_name"]), str(r.get("description") or "")
-    except (KeyError, TypeError, ValueError):
-        return None
+        rank, score = int(r["rank"]), float(r["score"])
+    except (TypeError, ValueError, OverflowError):
+        return None, "rank or score is no number"
+    if not -(1 << 63) <= rank < 1 << 63 or not abs(score) < 1 << 63:  # also NaN
+        return None, "rank or score is out of range"
+    if not isinstance(r["full_name"], str):
+        return None, "full_name is no text"
+    return (rank, score, r["full_name"], str(r.get("description") or "")), None
 
 
-def ranked_repos(pages: DataFrame) -> DataFrame:
-    """page_id, rank, score, full_name, description of the records that a streamed page carries in its script chunks, whatever their numbers."""
+def page_records(html: str | None) -> Iterator[tuple[int, tuple | None, str | None, str]]:
+    """pos, record or None, why it is none or None, its text: the records of a streamed page in order, whatever the numbers of its chunks."""
+    body = "".join(map(_decoded, _CHUNK.findall(html or "")))
+    for pos, start in enumerate(object_starts(body)):
+        found, why = _record(object_at(body, start))
+        if found or why:
+            yield pos, found, why, body[start : start + 200]
 
+
+_RANKED = ["page_id", "pos", "rank", "score", "full_name", "description", "reason", "text"]
+
+
+def _ranked(pages: DataFrame) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = []
-            for page, text in zip(frame["page_id"], frame["html"], strict=True):
-                body = "".join(map(_decoded, _CHUNK.findall(text or "")))
-                rows += [(page, *found) for o in objects(body) for r in _walk(o) if (found := _record(r))]
-            yield pd.DataFrame(rows, columns=["page_id", "rank", "score", "full_name", "description"])
+            rows = [(page, pos, *(found or (None, None, None, None)), why, text if why else None) for page, html in zip(frame["page_id"], frame["html"], strict=True) for pos, found, why, text in page_records(html)]
+            made = pd.DataFrame(rows, columns=_RANKED)
+            yield made.astype({"rank": "Int64", "score": "Float64"})
+
+    return pages.select("page_id", "html").mapInPandas(run, "page_id long, pos long, rank long, score double, full_name string, description string, reason string, text string")
+
+
+def ranked_repos(pages: DataFrame) -> DataFrame:
+    """page_id, pos, rank, score, full_name, description of the records that a streamed page carries in its script chunks. What is damaged is left out (see damaged_records)."""
+    return _ranked(pages).where("reason is null").drop("reason", "text")
+
+
+def damaged_records(pages: DataFrame) -> DataFrame:
+    """page_id, pos, reason, text (its first 200 characters): the quarantine of ranked_repos. The other records of the page, and other pages, are not touched by it."""
+    return _ranked(pages).where("reason is not null").select("page_id", "pos", "reason", "text")
+
+
+def register(spark: SparkSession) -> None:
+    """Both readers as SQL table functions: ``SELECT p.page_id, r.* FROM pages p, LATERAL repo_list(p.html) r``, and ``ranked_records`` likewise."""
+
+    @udtf(returnType="pos bigint, slug string, description string, stars string")
+    class RepoList:
+        def eval(self, html: str):
+            reader = _Repos()
+            reader.feed(html or "")
+            yield from ((i, r["slug"], r.get("description", "").strip(), r.get("stars", "").strip()) for i, r in enumerate(reader.rows) if r.get("slug"))
+
+    @udtf(returnType="pos bigint, rank bigint, score double, full_name string, description string, reason string")
+    class RankedRecords:
+        def eval(self, html: str):
+            yield from ((pos, *(found or (None, None, None, None)), why) for pos, found, why, _ in page_records(html))
 
-    return pages.select("page_id", "html").mapInPandas(run, "page_id long, rank int, score double, full_name string, description string")
+    spark.udtf.register("repo_list", RepoList)
+    spark.udtf.register("ranked_records", RankedRecords)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedjobs.functions.text import excerpt, item_id, matches_any, shorten, strip, title_hash
 from feedjobs.functions.times import from_epoch, parse_time
@@ -32,10 +33,10 @@ SCHEMAS = {
 def landed(spark: SparkSession, path: str, platform: str, *, lines: bool = False) -> DataFrame:
     """The payloads' records with place, where their payload was landed, and pos, their own place in it. A payload is a file or, with ``lines``, a line.
 
-    What can't be read is left out (see damaged).
+    What can't be read is left out (see damaged); a field that is not of its type is null.
     """
     schema, inside = SCHEMAS[platform]
-    rows = _read_json(spark, path, schema, lines).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    rows = _read_json(spark, path, schema, lines).where(~_lost(schema)).drop(CORRUPT)
     if inside is None:
         return rows.withColumn("pos", F.lit(0).cast("long"))
     return rows.select(F.posexplode(inside).alias("pos", "r"), "place").select("r.*", F.col("pos").cast("long").alias("pos"), "place")
@@ -45,6 +46,12 @@ def landed(spark: SparkSession, path: str, platform: str, *, lines: bool = False
 CORRUPT = "_corrupt_record"
 
 
+def _lost(schema: str) -> Column:
+    """Nothing of the row could be read."""
+    names = T.StructType.fromDDL(schema).names
+    return F.col(CORRUPT).isNotNull() & F.concat_ws("", *[F.when(F.col(n).isNotNull(), F.lit("x")) for n in names]).eqNullSafe("")
+
+
 def _read_json(spark: SparkSession, path: str, schema: str, lines: bool) -> DataFrame:
     rows = spark.read.schema(f"{schema}, {CORRUPT} string").option("columnNameOfCorruptRecord", CORRUPT).json(path, multiLine=not lines)
     return rows.withColumn("place", landing_place())
@@ -62,7 +69,7 @@ def landing_place() -> Column:
 def damaged(spark: SparkSession, path: str, platform: str, *, lines: bool = False) -> DataFrame:
     """file, reason, text (at most 200 characters) of landed payloads or records that are no JSON or not of the platform's form: the quarantine of ``landed``."""
     schema, _ = SCHEMAS[platform]
-    rows = _read_json(spark, path, schema, lines).where(F.col(CORRUPT).isNotNull())
+    rows = _read_json(spark, path, schema, lines).where(_lost(schema))
     return rows.select(F.col("place.file").alias("file"), F.lit(f"not a {platform} payload").alias("reason"), F.substring(CORRUPT, 1, 200).alias("text"))
 
 
@@ -81,12 +88,12 @@ def feed(spark: SparkSession, path: str, *, atom: bool = False, extra: tuple[str
 
     Entries that can't be read are left out (see damaged_feed).
     """
-    return _read_xml(spark, path, atom, extra).where(F.col(CORRUPT).isNull()).drop(CORRUPT).withColumn("pos", F.lit(0).cast("long"))
+    return _read_xml(spark, path, atom, extra).where(~_lost(_FEED)).drop(CORRUPT).withColumn("pos", F.lit(0).cast("long"))
 
 
 def damaged_feed(spark: SparkSession, path: str, *, atom: bool = False) -> DataFrame:
     """file, reason, text of feed entries that are no XML or not of a feed's form."""
-    rows = _read_xml(spark, path, atom, ()).where(F.col(CORRUPT).isNotNull())
+    rows = _read_xml(spark, path, atom, ()).where(_lost(_FEED))
     return rows.select(F.col("place.file").alias("file"), F.lit("not a feed entry").alias("reason"), F.substring(CORRUPT, 1, 200).alias("text"))
 
 

@@ -50,6 +50,43 @@ def test_pages_with_nested_tags_and_damaged_chunks(spark):
     assert [(r["rank"], r.score, r.full_name, r.description) for r in html.ranked_repos(pages).collect()] == [(2, 9.9, "o/r", 'say &quot;é {x}"')]
 
 
+def test_damaged_records_keep_the_others(spark):
+    """Numbers that are none or too large, deep nesting: the other records and pages stay, and the quarantine says why."""
+    push = lambda body: 'self.__next_f.push([1,' + json.dumps(body) + '])'
+    good = '{"rank": 3000000000, "score": 1.5, "full_name": "o/r"}'
+    name = '"full_name": "a/b"'
+    bodies = [
+        '{"rank": Infinity, "score": 1, ' + name + "} " + good, '{"rank": 1e999, "score": 1, ' + name + "} " + good, '{"rank": 1, "score": NaN, ' + name + "}" + good, '{"rank": null, "score": 1, ' + name + "}" + good,
+        '{"rank": 1, "score": 1, ' + name + ', "x": ' + "[" * 200_000 + "]" * 200_000 + "} " + good, ('{"rank": 1, "score": 1, ' + name + ', "y": ') * 3000 + "1" + "}" * 3000 + good, "} } { " + good + ' {"unclosed ' + good, good + ' {"full_name": 1',
+    ]
+    pages = spark.createDataFrame([(i, push(b)) for i, b in enumerate(bodies)] + [(100, None), (101, "")], "page_id long, html string")
+    rows = html.ranked_repos(pages).collect()
+    assert {(r.page_id, r["rank"]) for r in rows if r["rank"] != 1} == {(i, 3_000_000_000) for i in range(8)}
+    bad = {(r.page_id, r.reason) for r in html.damaged_records(pages).collect()}
+    assert {i for i, _ in bad} == {0, 1, 2, 3, 4, 5, 7} and (0, "rank or score is no number") in bad and (2, "rank or score is out of range") in bad
+    html.register(spark)
+    assert spark.sql("SELECT count(*) FROM {p} p, LATERAL ranked_records(p.html) r WHERE r.reason IS NULL", p=pages).first()[0] == len(rows)
+
+
+def test_first_record_of_a_rank_and_name_counts(spark):
+    rows = [(1, 0, 5, 1.0, "o/a", "first"), (1, 1, 5, 9.0, "o/a", "second"), (1, 2, 5, 2.0, "n/z", "tie, later"), (1, 3, 2, 1.0, "n/b", "top"), (2, 0, 5, 3.0, "o/a", "other page")]
+    repos = spark.createDataFrame(rows, "page_id long, pos long, rank long, score double, full_name string, description string").repartition(3)
+    got = normalize.trendshift(repos, now(), 2, []).orderBy("excerpt").collect()
+    assert [(r.title, r.excerpt, r.engagement["score"]) for r in got] == [("o/a", "first", 1), ("o/a", "other page", 3), ("n/b", "top", 1)]
+
+
+def test_damaged_payloads_are_set_aside(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"hits": [{"objectID": "1", "title": "fine", "url": "https://e.com/1"}]}))
+    (tmp_path / "b.json").write_text('{"hits": [{"objectID": "2", "title": ')
+    (tmp_path / "c.json").write_text(json.dumps({"hits": [{"objectID": "3", "title": "odd points", "url": "https://e.com/3", "points": "many"}]}))
+    rows = normalize.hacker_news(normalize.landed(spark, str(tmp_path), "hn"), now(), []).collect()
+    assert {r.title for r in rows} == {"fine", "odd points"}
+    assert [(r.file.rsplit("/", 1)[1], r.reason) for r in normalize.damaged(spark, str(tmp_path), "hn").collect()] == [("b.json", "not a hn payload")]
+    (tmp_path / "x.xml").write_text("<rss><item><title>ok</title><link>https://e.com/</link></item><item><title>bad</link></item></rss>")
+    assert [r.title for r in normalize.feed(spark, str(tmp_path / "x.xml")).collect()] == ["ok"]
+    assert [r.reason for r in normalize.damaged_feed(spark, str(tmp_path / "x.xml")).collect()] == ["not a feed entry"]
+
+
 def test_limits_hold_for_each_feed(spark, tmp_path):
     for n in "ab":
         (tmp_path / f"{n}.xml").write_text("<rss>" + "".join(f"<item><title>{n}{i}</title><link>https://e.com/{n}{i}</link></item>" for i in range(3)) + "</rss>")
