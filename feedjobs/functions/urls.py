@@ -24,8 +24,9 @@ def _encoded(value: Column) -> Column:
 def canonical_url(url: Column) -> Column:
     """Lower-case scheme and host, no trailing slashes, no tracking keys, sorted query, no fragment.
 
-    Built-ins only. The query is read and written again as web forms do, a key without value gets an empty one. Scheme and host may be missing.
+    Built-ins only. As web addresses are read, blanks and control characters before it, and tabs and line ends anywhere in it, are no part of it. The query is read and written again as web forms do, a key without value gets an empty one. Scheme and host may be missing.
     """
+    url = F.translate(F.regexp_replace(url, r"^[\x00-\x20]+", ""), "\t\r\n", "")
     scheme, host, path, query = (F.regexp_extract(url, _PARTS, i) for i in (1, 2, 3, 4))
     path = F.when(path == "/", path).otherwise(F.regexp_replace(path, "/+$", ""))
     named = F.when(scheme != "", F.concat(F.lower(scheme), F.lit(":"))).otherwise(F.lit(""))

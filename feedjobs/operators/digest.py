@@ -61,12 +61,15 @@ def printed_order() -> Column:
 def ranked(items: DataFrame, top: int | None = None) -> DataFrame:
     """Adds rank in (day, section): better tier, more engagement, newer, id. With ``top`` Spark cuts groups before the shuffle.
 
-    Without ``top`` all are ranked by running counts over ranges, as one section may hold most of a day.
+    Without ``top`` all are ranked by running counts over ranges, as one section may hold most of a day; only their order and ``seq`` (``id``, if they have none), which must tell
+    items apart, are sorted and written for that.
     """
     rows = placed(items)
     if top is None:
-        counted = running(rows.withColumn("_order", printed_order()), ["day", "section"], ["_order"], F.lit(1).cast("long"), "rank")
-        return counted.drop("_order").withColumn("rank", F.col("rank").cast("int"))
+        key = "seq" if "seq" in items.columns else "id"
+        narrow = rows.select("day", "section", printed_order().alias("_order"), F.col(key).alias("_key"))
+        counted = running(narrow, ["day", "section"], ["_order"], F.lit(1).cast("long"), "rank").select("_key", F.col("rank").cast("int").alias("rank"))
+        return rows.join(counted, F.col(key) == F.col("_key")).drop("_key")
     order = Window.partitionBy("day", "section").orderBy(F.coalesce("source_tier", F.lit(2)), F.desc("total"), F.desc("posted_at"), "id")
     return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
 

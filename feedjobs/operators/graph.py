@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from feedjobs.operators.lineage import replaced
@@ -12,14 +12,14 @@ def components(edges: DataFrame) -> DataFrame:
     """node, root over undirected edges (a, b): the least node that each can reach. Nodes without an edge to another are not there.
 
     A round hangs the greater neighbours of every node, then its smaller ones, on the least of them (the large-star and small-star steps of Kiveris et al., 2014), so
-    rounds grow with the logarithm of the longest chain. Each round is a table that takes the last one's place; only a count and a checksum come to the driver.
+    rounds grow with the logarithm of the longest chain. Each round is a table that takes the last one's place; only a count and a checksum, taken as it is written, come to the driver.
     """
     made: list[str] = []
-    now = replaced(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), made)
-    before, seen = None, _state(now)
-    while seen != before:
-        now = replaced(star_round(now), made)
-        before, seen = seen, _state(now)
+    now, seen = _written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), made)
+    before = None
+    while seen != before and seen[0]:
+        before = seen
+        now, seen = _written(star_round(now), made)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
@@ -32,5 +32,7 @@ def star_round(edges: DataFrame) -> DataFrame:
     return small.where("a <> b").distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _written(edges: DataFrame, made: list[str]) -> tuple[DataFrame, tuple]:
+    mark = Observation()
+    watched = edges.observe(mark, F.count(F.lit(1)).alias("edges"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum"))
+    return replaced(watched, made), tuple(mark.get[c] for c in ("edges", "sum"))

@@ -35,7 +35,9 @@ def accepted(candidates: DataFrame) -> DataFrame:
     ids = live.groupBy("id").agg(F.min(titles).alias("_first"), F.max(titles).alias("_last"), F.max((~new).cast("int")).alias("_old"))
     ties = F.col("_first").isNotNull() & ((F.col("_first") != F.col("_last")) | (F.col("_old") == 1))
     rows = cut(live.join(ids.select("id", ties.alias("_ties")), "id"))
-    tiers = rows.agg(F.count_distinct("tier")).first()[0]
+    tiers, tied_rows = rows.agg(F.count_distinct("tier"), F.count_if("_ties")).first()
+    if not tied_rows:
+        return cut(plain_stored(rows.where(~new)).union(plain_titles(first_few(rows.where(new), tiers))))
 
     edges = rows.where("_ties and stored_tier is null").select(F.concat(F.lit("t"), "title_hash").alias("a"), F.concat(F.lit("i"), "id").alias("b"))
     tied = cut(components(edges))

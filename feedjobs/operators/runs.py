@@ -10,15 +10,16 @@ from feedjobs.functions.times import within
 from feedjobs.operators.lineage import cut
 from feedjobs.operators.ordered import running
 
-# Exception names that pass by themselves.
-TRANSIENT = ["TimeoutException", "ConnectTimeout", "ReadTimeout", "WriteTimeout", "PoolTimeout", "ConnectError", "ReadError", "WriteError", "RemoteProtocolError"]
+# The exceptions that pass by themselves, and what derives from the last one.
+TRANSIENT = ["ReadTimeout", "ConnectTimeout", "WriteTimeout", "PoolTimeout", "ReadError", "ConnectError", "WriteError", "RemoteProtocolError", "NetworkError"]
+TRANSIENT_KINDS = ["CloseError"]
 STABLE_AFTER = 7
 
 
 def error_class(error: Column) -> Column:
     name, status = error_name(error), error_status(error)
     return (
-        F.when(name.isin(TRANSIENT) | ((name == "HTTPStatusError") & (status >= 500)), "transient")
+        F.when(name.isin(TRANSIENT + TRANSIENT_KINDS) | ((name == "HTTPStatusError") & (status >= 500)), "transient")
         .when((name == "HTTPStatusError") & status.isin(401, 403), "user_action_required")
         .otherwise("persistent_error")
     )

@@ -141,6 +141,57 @@ def _feed(source: str) -> Callable[[SparkSession, str], DataFrame]:
 rss, rsshub, wewe_rss = _feed("rss"), _feed("rsshub"), _feed("wewe_rss")
 
 
+#: Two sources that tell the same stories: links stand for up to three documents each, so titles and links tie documents together.
+STORIES = {
+    "hn": "named_struct('objectID', CAST(doc_id AS STRING), 'title', text, 'url', concat('https://e.test/', CAST(doc_id - doc_id % 3 AS STRING)), 'author', source, 'points', n_chars)",
+    "product_hunt": "named_struct('node', named_struct('name', text, 'url', concat('https://e.test/', CAST(doc_id - (doc_id + 1) % 3 AS STRING)), 'votesCount', n_chars))",
+}
+
+
+def stories(spark: SparkSession, docs: DataFrame, platform: str) -> DataFrame:
+    """The documents' stories as landed: a file for each of their sources, in it a payload a line, in this a few records in order of doc_id."""
+    record, outer = F.expr(STORIES[platform]), NESTING[platform]
+    rows = docs.groupBy(F.col("source").alias("file"), F.expr("doc_id div 3").alias("line")).agg(F.array_sort(F.collect_list(F.struct("doc_id", record.alias("r")))).alias("rs"))
+    made = F.transform("rs", lambda x: x["r"])
+    for name in reversed(outer[1:]):
+        made = F.struct(made.alias(name))
+    path = f"{scratch(spark)}/{platform}"
+    rows.select("file", "line", made.alias(outer[0])).repartition("file").sortWithinPartitions("file", "line").drop("line").write.partitionBy("file").json(path)
+    return normalize.landed(spark, path, platform, lines=True)
+
+
+def delivery(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """All items of both sources with their arrival numbers."""
+    parts = [normalize.hacker_news(stories(spark, docs, "hn"), _now(), []), normalize.product_hunt(stories(spark, docs, "product_hunt"), _now(), tier=1)]
+    return normalize.arrival(parts)
+
+
+_HASH = "sha1(trim(regexp_replace(regexp_replace(lower(text), '[^\\p{L}\\p{N}_\\s]', ' ', 'g'), '\\s+', ' ', 'g')))"
+
+
+def delivery_sql(where: str) -> str:
+    """seq, id, title_hash, tier, source, doc_id of a delivery of these documents."""
+    hn = f"SELECT 0 AS part, 'hn' AS source, 2 AS tier, doc_id, source AS file, sha1('https://e.test/' || (doc_id - doc_id % 3)) AS id, {_HASH} AS title_hash FROM documents WHERE {_DOCS} AND text <> '' AND {where}"
+    ph = f"SELECT 1, 'product_hunt', 1, doc_id, source, sha1('https://e.test/' || (doc_id - (doc_id + 1) % 3)), {_HASH} FROM documents WHERE {_DOCS} AND {where}"
+    return f"SELECT row_number() OVER (ORDER BY part, file, doc_id) - 1 AS seq, id, title_hash, tier, source, doc_id FROM ({hn} UNION ALL {ph}) d"  # noqa: S608
+
+
+#: The row-by-row merge: one row a step, with the ids that were accepted and the holder of each title; then one over a store.
+MERGE_SQL = """first AS ({first}), whole AS ({whole}),
+m1(n, seen, held) AS (
+    SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), CAST(MAP {{}} AS MAP(VARCHAR, STRUCT(tier INTEGER, seq BIGINT)))
+    UNION ALL SELECT n + 1, CASE WHEN take THEN list_append(seen, id) ELSE seen END, CASE WHEN take THEN map_concat(held, MAP {{title_hash: {{'tier': tier, 'seq': seq}}}}) ELSE held END
+    FROM (SELECT *, NOT list_contains(seen, id) AND coalesce(tier < held[title_hash].tier, TRUE) AS take FROM m1 JOIN first ON first.seq = m1.n) s),
+stored AS (SELECT f.* FROM first f JOIN (SELECT unnest(map_values(held)).seq AS seq FROM m1 WHERE n = (SELECT count(*) FROM first)) h USING (seq)),
+fresh AS (SELECT row_number() OVER (ORDER BY w.seq) - 1 AS n, w.*, s.tier AS bar FROM whole w LEFT JOIN stored s USING (title_hash) WHERE w.id NOT IN (SELECT id FROM stored)),
+m2(step, seen, held, won) AS (
+    SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), CAST(MAP {{}} AS MAP(VARCHAR, STRUCT(tier INTEGER, seq BIGINT))), CAST([] AS BIGINT[])
+    UNION ALL SELECT step + 1, CASE WHEN take THEN list_append(seen, id) ELSE seen END, CASE WHEN take AND bar IS NULL THEN map_concat(held, MAP {{title_hash: {{'tier': tier, 'seq': seq}}}}) ELSE held END,
+        CASE WHEN take AND bar IS NOT NULL THEN list_append(won, seq) ELSE won END
+    FROM (SELECT *, NOT list_contains(seen, id) AND CASE WHEN bar IS NOT NULL THEN tier < bar ELSE coalesce(tier < held[title_hash].tier, TRUE) END AS take FROM m2 JOIN fresh ON fresh.n = m2.step) s),
+kept AS (SELECT unnest(list_concat(won, list_transform(map_values(held), lambda h: h.seq))) AS seq FROM m2 WHERE step = (SELECT count(*) FROM fresh))"""
+
+
 # The expected items by SQL.
 _S = r"'^\s+|\s+$'"
 _CUT = "CASE WHEN length({0}) > 120 THEN substr({0}, 1, 120) || '…' ELSE {0} END"

@@ -25,6 +25,7 @@ ORACLE: dict[str, str] = {}
 
 WATCH = [("research", "(?i)the", "tion"), ("numbers", "[0-9]", "[0-9]{3}"), ("french", "(?i) le | la ", "eau")]
 KEYWORDS = ["AI", "tion", "ich"]
+_EARLIER = "lang = 'en'"
 NOISE = "^(The|Der|Le) "
 ISSUE_HINTS = [("src_1", "renew the key"), ("src_2", "site moved")]
 CLASS_HINTS = [("user_action_required", "log in again"), ("transient", "wait")]
@@ -52,6 +53,13 @@ def _(spark, sf):
     return table(spark, sf, "pages").select("page_id", canonical_url(F.col("url")).alias("canonical_url"))
 
 
+@query("s1_untidy_urls", _CANON)
+def _(spark, sf):
+    """Links as people paste them: blanks before them, line ends and tabs within; the SQL takes the tidy ones."""
+    pasted = F.concat(F.lit(" \x00\n "), F.substring("url", 1, 4), F.lit("\t"), F.expr("substr(url, 5, 9)"), F.lit("\r\n"), F.expr("substr(url, 14)"), F.lit("\n"))
+    return table(spark, sf, "pages").select("page_id", canonical_url(pasted).alias("canonical_url"))
+
+
 @query("s2_normalize_title", "SELECT seq, title_hash FROM v_items", ITEMS_SQL)
 def _(spark, sf):
     return v_items(spark, sf).select("seq", X.title_hash(F.col("title")).alias("title_hash"))
@@ -286,6 +294,23 @@ def _(spark, sf):
     return D.dedup(v_batch(spark, sf), v_store(spark, sf), exact=True)[1]
 
 
+_MERGED = "RECURSIVE " + landing.MERGE_SQL.format(first=landing.delivery_sql(_EARLIER), whole=landing.delivery_sql("TRUE"))
+
+
+def _two_deliveries(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """What is new in a delivery of all stories, after those in English were stored, and what it notes."""
+    docs = landing.documents(spark, sf)
+    earlier = landing.delivery(spark, docs.where(_EARLIER))
+    stored = D.dedup(earlier, earlier.limit(0))[0]
+    return D.dedup(landing.delivery(spark, docs), stored)
+
+
+@query("a4_stories_in_order", "SELECT w.seq, w.id, w.title_hash, w.source FROM whole w JOIN kept USING (seq)", _MERGED)
+def _(spark, sf):
+    """Landed files through arrival and dedup, twice. Links come under several titles, so a rule that takes each title alone gives other rows."""
+    return _two_deliveries(spark, sf)[0].select("seq", "id", "title_hash", "source")
+
+
 @query("w3_displaced")
 def _(spark, sf):
     return D.displaced_by(v_items(spark, sf)).select("seq", "best_seq", F.coalesce("displaces", F.lit(False)).alias("displaces"))
@@ -390,6 +415,13 @@ def _(spark, sf):
     return normalize.arrival(parts).groupBy("item").agg(F.count(F.lit(1)).cast("int").alias("copies"), F.min("seq").alias("first"), F.max("seq").alias("last"))
 
 
+@query("u1_arrival", f"SELECT seq, id, title_hash, tier, source FROM ({landing.delivery_sql('TRUE')}) d")
+def _(spark, sf):
+    """Several files of two sources, landed, normalized and numbered."""
+    items = landing.delivery(spark, landing.documents(spark, sf))
+    return items.select("seq", "id", "title_hash", F.col("source_tier").alias("tier"), "source")
+
+
 @query("u2_distinct_pairs", "SELECT DISTINCT user_id, event_type FROM events")
 def _(spark, sf):
     return table(spark, sf, "events").dropDuplicates(["user_id", "event_type"]).select("user_id", "event_type")
@@ -407,6 +439,15 @@ def _(spark, sf):
     return v_runs(spark, sf).where("status <> 'ok'").select("id", "error_class")
 
 
+ERROR_NAMES = ["ReadTimeout", "ConnectTimeout", "WriteTimeout", "PoolTimeout", "ReadError", "ConnectError", "WriteError", "RemoteProtocolError", "NetworkError", "CloseError", "TimeoutException", "DecodingError", "ValueError", "unknown source type"]
+
+
+@query("c1_error_names", f"SELECT event_id AS id, CASE WHEN event_id % {len(ERROR_NAMES)} < 10 THEN 'transient' ELSE 'persistent_error' END AS error_class FROM events")
+def _(spark, sf):
+    name = F.element_at(F.array(*map(F.lit, ERROR_NAMES)), (F.col("event_id") % len(ERROR_NAMES) + 1).cast("int"))
+    return table(spark, sf, "events").select(F.col("event_id").alias("id"), R.error_class(F.concat(name, F.lit(": no answer from 500 lines"))).alias("error_class"))
+
+
 @query("c2_section", "SELECT seq, section FROM v_items", ITEMS_SQL)
 def _(spark, sf):
     return G.placed(v_items(spark, sf)).select("seq", "section")

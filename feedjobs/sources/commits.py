@@ -10,16 +10,16 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedjobs.operators.lineage import _system
+from feedjobs.operators.lineage import _system, drop
 
 
 def manifest(spark: SparkSession, path: str) -> dict:
-    """version, folders (to read), done (the names of all writes, also those that a compaction merged)."""
+    """version, folders (to read), done (the names of all writes, also those that a compaction merged), retired (folders that the last compaction merged)."""
     at, system = _system(spark, f"{path}/_manifest")
     versions = sorted(s.getPath().getName() for s in system.listStatus(at)) if system.exists(at) else []
     versions = [v for v in versions if v.isdigit()]
     if not versions:
-        return {"version": 0, "folders": [], "done": []}
+        return {"version": 0, "folders": [], "done": [], "retired": []}
     return json.loads(_text(spark, f"{path}/_manifest/{versions[-1]}"))
 
 
@@ -65,14 +65,16 @@ def read(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def compact(spark: SparkSession, path: str, partition_by: tuple[str, ...], order: list[str]) -> None:
-    """Merge all folders into one, partitioned alike, with rows in ``order`` so that files can be skipped by their least and greatest values. Old folders go when the new one is committed."""
+    """Merge all folders into one, partitioned alike, with rows in ``order`` so that files can be skipped by their least and greatest values.
+
+    The merged folders stay for readers that are at work, until the next compaction.
+    """
     before = manifest(spark, path)
     if len(before["folders"]) < 2:
         return
     name = f"merged-{before['version']:010d}"
     rows = read(spark, path).repartition(*partition_by).sortWithinPartitions(*partition_by, *order)
     rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/commit={name}")
-    _publish(spark, path, before | {"folders": [name]})
-    for old in before["folders"]:
-        at, system = _system(spark, f"{path}/commit={old}")
-        system.delete(at, True)
+    _publish(spark, path, before | {"folders": [name], "retired": before["folders"]})
+    for old in before["retired"]:
+        drop(spark, f"{path}/commit={old}")

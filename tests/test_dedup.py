@@ -1,6 +1,10 @@
 import random
 
-from feedjobs.operators.dedup import batch_sightings, dedup, title_winners, winners_in_order
+from pyspark.sql import functions as F
+
+from feedjobs.operators import graph, keyfilter, replay
+from feedjobs.operators.dedup import batch_sightings, dedup, oldest_stored, title_winners, winners_in_order, with_sightings
+from feedjobs.sources import commits, history
 
 SCHEMA = "id string, title_hash string, source_tier int, seq long, source string, source_handle string, url string"
 
@@ -108,3 +112,63 @@ def test_no_item_is_lost_where_a_link_has_two_titles(spark):
     assert {(r.id, r.seq) for r in new.collect()} == {("l1", 0), ("l2", 2)} and sightings.count() == 0
     won = winners_in_order(batch)
     assert won.columns == batch.columns and {(r.id, r.seq) for r in won.collect()} == {("l1", 0), ("l2", 2)}
+
+
+def items_of(spark, rows):
+    return spark.createDataFrame([(i, t, k, n, "x", "h", f"u-{n}") for i, t, k, n in rows], SCHEMA)
+
+
+def test_a_chain_of_a_thousand_links_takes_few_rounds(spark, monkeypatch):
+    """Each link comes under two titles and each title under two links: every decision rests on the one before it."""
+    rows = [(f"l{(i + 1) // 2}", f"t{i // 2}", 2, i) for i in range(2000)]
+    rounds, one = [], graph.star_round
+    monkeypatch.setattr(graph, "star_round", lambda edges: rounds.append(1) or one(edges))
+    won, noted = merge(rows, {})
+    batch = items_of(spark, rows)
+    new, sightings = dedup(batch, batch.limit(0), lossless=False, distinct_sightings=False)
+    assert {r.seq for r in new.collect()} == won and len(rounds) <= 12
+    assert sorted((r.winner_id, r.url) for r in sightings.collect()) == sorted(noted)
+
+
+def test_large_components_settle_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(replay, "REPLAY", 6)
+    rng = random.Random(6)
+    rows = [(f"{b}-i{rng.randrange(5)}", f"{b}-t{rng.randrange(4)}", rng.choice((1, 2, 3)), 100 * b + n) for b in range(12) for n in range(20)]
+    stored = {f"{b}-t0": (f"{b}-s", 2) for b in range(0, 12, 2)}
+    won, _ = merge(rows, stored)
+    store = items_of(spark, [(i, t, k, n) for n, (t, (i, k)) in enumerate(stored.items())])
+    assert {r.seq for r in dedup(items_of(spark, rows), store)[0].collect()} == won
+
+
+def test_history_is_read_for_the_batch_only(spark, tmp_path):
+    """Of 20,000 stored items a batch of 20 reads few rows and few folders, and the plan aggregates nothing else."""
+    store = items_of(spark, [(f"s{i}", f"t{i}", 2, i) for i in range(20_000)])
+    batch = items_of(spark, [(f"s{i}" if i % 2 else f"new{i}", f"t{i * 7}" if i % 3 else f"fresh{i}", 1, 30_000 + i) for i in range(20)])
+    known = keyfilter.maybe(store, "title_hash", keyfilter.key_filter(batch, "title_hash", 20))
+    assert {r.title_hash for r in known.collect()} >= {f"t{i * 7}" for i in range(20) if i % 3} and known.count() < 20 + 20_000 // keyfilter.PER_KEY * 2
+    plan = oldest_stored(store, batch)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("Join Inner") and "_bits" in plan  # the filter stands below the aggregate
+    path = str(tmp_path / "keys")
+    assert history.add(store, path, 0) and not history.add(store, path, 0)
+    near = history.matching(spark, path, batch)
+    files = {r[0] for r in near.select(F.input_file_name()).distinct().collect()}
+    assert near.count() < 4000 and len(files) <= 2 * 20 and spark.read.parquet(path).count() == 40_000
+    got = [sorted(map(tuple, part.collect()), key=str) for part in dedup(batch, near)]
+    assert got == [sorted(map(tuple, part.collect()), key=str) for part in dedup(batch, store)]
+    history.add(items_of(spark, [("late", "t1", 2, 40_000)]), path, 1)
+    history.compact(spark, path)
+    assert len(commits.manifest(spark, path)["folders"]) == 1 and not history.add(store, path, 0)
+    assert history.matching(spark, path, batch, before=1).count() == near.count()
+
+
+def test_null_and_hot_keys_pass_the_filter_rightly(spark):
+    rows = spark.createDataFrame([(None, 1), ("a", 2), ("a", 3), ("b", 4)], "k string, n int")
+    made = keyfilter.key_filter(spark.createDataFrame([("a",), (None,)], "k string"), "k", 2)
+    assert {r.n for r in keyfilter.maybe(rows, "k", made).collect()} >= {2, 3} and not {r.n for r in keyfilter.maybe(rows, "k", made).collect()} & {1}
+    assert keyfilter.maybe(rows, "k", keyfilter.key_filter(rows.limit(0), "k", 0)).count() == 0
+
+
+def test_all_sightings_are_listed(spark):
+    batch = items_of(spark, [(f"i{n}", "t", 2, n) for n in range(70)])
+    new, sightings = dedup(batch, batch.limit(0))
+    assert len(with_sightings(new, sightings).first().also_appeared_in) == 69 and len(with_sightings(new, sightings, most=5).first().also_appeared_in) == 5

@@ -30,7 +30,8 @@ def test_canonical_url(spark):
 def test_canonical_url_reads_queries_as_web_forms_do(spark):
     rng = random.Random(4)
     urls = ["/only/a/path/?b=1&a", "mailto:x@e.com?subject=a%2", "//e.com/x//", "http://E.com?x=1", "a b", "", "http://e.com/?=v&&k=%FF"]
-    urls += ["https://E.com/p/?" + "".join(rng.choice(["a", "b", "Z", "é", "=", "&", "%", "%2", "%41", "%C3%A9", "+", "*", "~", "-", "utm_", "ref=", "%zz", " ", ";", "/"]) for _ in range(12)) for _ in range(300)]
+    urls += [" https://E.com/a/", "\t\n https://E.com/a/ ", "ht\ntps://E.\tcom/a\r/?x=1\n", "\x00\x1fhttp://E.com/", " ", "\u00a0http://E.com/A/", "//E.com/\n/"]
+    urls += [rng.choice(["", " ", "\n", "\x01 "]) + "https://E.com/p/?" + "".join(rng.choice(["a", "b", "Z", "é", "=", "&", "%", "%2", "%41", "%C3%A9", "+", "*", "~", "-", "utm_", "ref=", "%zz", " ", ";", "/", "\t", "\r"]) for _ in range(12)) for _ in range(300)]
     want = []
     for u in urls:
         p = urlsplit(u)
@@ -53,7 +54,7 @@ def test_clean_comment(spark):
 
 
 def test_error_class(spark):
-    cases = {"HTTPStatusError: 503 x": "transient", "HTTPStatusError: 403 x": "user_action_required", "HTTPStatusError: 429 x": "persistent_error", "ReadTimeout: ": "transient", "ValueError: 500": "persistent_error"}
+    cases = {"HTTPStatusError: 503 x": "transient", "HTTPStatusError: 403 x": "user_action_required", "HTTPStatusError: 429 x": "persistent_error", "ReadTimeout: ": "transient", "NetworkError: x": "transient", "CloseError: x": "transient", "TimeoutException: x": "persistent_error", "RemoteProtocolError: 404": "transient", "ConnectionError: x": "persistent_error", "ValueError: 500": "persistent_error"}
     assert values(spark, error_class, list(cases)) == list(cases.values())
 
 

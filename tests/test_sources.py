@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedjobs.operators import watch
-from feedjobs.sources import html, normalize, store
+from feedjobs.operators.dedup import dedup
+from feedjobs.sources import commits, html, normalize, store
 
 NOW = "2026-05-01 00:00:00"
 
@@ -97,6 +98,47 @@ def test_limits_hold_for_each_feed(spark, tmp_path):
     assert sorted(r.title for r in rows) == ["o/11", "o/12", "o/21", "o/22"] and {len(r.excerpt) for r in rows} == {200}
 
 
+@pytest.mark.parametrize("bytes_", ["128m", "1k"])
+def test_arrival_numbers_do_not_depend_on_the_layout(spark, tmp_path, bytes_):
+    """Two sources of 200 files: one number for each item, the same however files are split and dealt."""
+    parts, before = [], spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for platform in "ab":
+        (tmp_path / platform).mkdir()
+        for f in range(200):
+            payloads = [{"hits": [{"objectID": f"{platform}{f:03d}-{line}-{i}", "title": "t", "points": i} for i in range(2)]} for line in range(3)]
+            (tmp_path / platform / f"{f:03d}.json").write_text("\n".join(map(json.dumps, payloads)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", bytes_)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1" if bytes_ == "1k" else "4m")
+    try:
+        parts = [normalize.hacker_news(normalize.landed(spark, str(tmp_path / p), "hn", lines=True), now(), []) for p in "ab"]
+        got = [r.url.rsplit("=", 1)[1] for r in normalize.arrival(parts).orderBy("seq").collect()]
+        numbers = [r.seq for r in normalize.arrival(parts).orderBy("seq").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == [f"{p}{f:03d}-{line}-{i}" for p in "ab" for f in range(200) for line in range(3) for i in range(2)] and numbers == list(range(2400))
+
+
+def test_three_files_with_repeated_links(spark, tmp_path):
+    for f, links in enumerate([[1, 2], [1], [3, 1]]):
+        (tmp_path / f"{f}.json").write_text(json.dumps({"hits": [{"objectID": str(i), "title": f"story {i}", "url": f"https://e.com/{i}"} for i in links]}))
+    items = normalize.arrival([normalize.hacker_news(normalize.landed(spark, str(tmp_path), "hn"), now(), [])])
+    new, _ = dedup(items, items.limit(0))
+    assert sorted((r.url, r.seq) for r in new.collect()) == [("https://e.com/1", 0), ("https://e.com/2", 1), ("https://e.com/3", 3)]
+
+
+def test_a_broken_append_is_never_read(spark, tmp_path):
+    path, rows = str(tmp_path / "items"), spark.createDataFrame([(f"i{n}", n, NOW) for n in range(4)], "id string, seq long, t string").withColumn("fetched_at", F.col("t").cast("timestamp_ntz"))
+    assert store.append_items(rows.where("seq < 2"), None, path, "day-1")
+    rows.where("seq = 3").withColumn("fetch_day", F.lit("2026-05-01")).write.partitionBy("fetch_day").parquet(f"{path}/commit=day-2")  # as if it ended before its commit
+    assert sorted(r.id for r in store.read_items(spark, path).collect()) == ["i0", "i1"]
+    assert not store.append_items(rows, None, path, "day-1")  # repeated
+    assert store.append_items(rows, store.read_items(spark, path), path, "day-2")
+    assert sorted(r.id for r in store.read_items(spark, path).collect()) == ["i0", "i1", "i2", "i3"]
+    commits.compact(spark, path, ("fetch_day",), ["id"])
+    assert sorted(r.id for r in store.read_items(spark, path).collect()) == ["i0", "i1", "i2", "i3"] and not store.append_items(rows, None, path, "day-2")
+
+
 def test_config_rows(spark):
     rows = spark.createDataFrame([("a", "rss", None, None, None, {"u": "1"}), ("b", "x", False, 1, "fr", None)], "id string, type string, enabled boolean, tier int, language string, params map<string,string>")
     assert [(r.id, r.enabled, r.tier, r.language) for r in store.with_config_defaults(rows).orderBy("id").collect()] == [("a", True, 2, "en"), ("b", False, 1, "fr")]
