@@ -7,6 +7,7 @@ newest manifest, so what a broken write left behind is never read, and a write t
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,8 +65,8 @@ def read(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*[f"{path}/commit={n}" for n in folders]).drop("commit")
 
 
-def compact(spark: SparkSession, path: str, partition_by: tuple[str, ...], order: list[str]) -> None:
-    """Merge all folders into one, partitioned alike, with rows in ``order`` so that files can be skipped by their least and greatest values.
+def compact(spark: SparkSession, path: str, partition_by: tuple[str, ...], order: list[str], reduce: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
+    """Merge all folders into one, partitioned alike, of the rows that ``reduce`` leaves and in ``order``, so that files can be skipped by their least and greatest values.
 
     The merged folders stay for readers that are at work, until the next compaction.
     """
@@ -73,7 +74,8 @@ def compact(spark: SparkSession, path: str, partition_by: tuple[str, ...], order
     if len(before["folders"]) < 2:
         return
     name = f"merged-{before['version']:010d}"
-    rows = read(spark, path).repartition(*partition_by).sortWithinPartitions(*partition_by, *order)
+    rows = reduce(read(spark, path))
+    rows = (rows.repartition(*partition_by) if partition_by else rows).sortWithinPartitions(*partition_by, *order)
     rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/commit={name}")
     _publish(spark, path, before | {"folders": [name], "retired": before["folders"]})
     for old in before["retired"]:

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import IntegerType
 
 from feedjobs.functions.times import business_day
 from feedjobs.operators.dedup import dedup
 from feedjobs.operators.lineage import cut, scratch, step
-from feedjobs.sources import history
+from feedjobs.sources import commits, history
 
 STREAKS = "source string, last_ok_at timestamp_ntz, last_run long, streak long, alert boolean"
 
@@ -63,37 +66,100 @@ def sliding_health(runs: DataFrame, days: int = 7) -> DataFrame:
     return counted.select(F.to_date("w.start").alias("from_day"), "source", "runs", "ok", "fail")
 
 
-def live_streaks(runs: DataFrame, state_path: str, checkpoint: str, alert: int = 7):
-    """After every micro-batch: source, last_ok_at, last_run, streak (failures since the last success) and whether it is ``alert`` or more.
+class Streak(StatefulProcessor):
+    """A source's last success, last run and failures since, as one short value. A timer at its last run forgets it when the watermark has passed that."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.value = handle.getValueState("streak", "last_ok long, run_at long, last_run long, streak long, wakes long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        last_ok, run_at, last_run, streak, wakes = self.value.get() if self.value.exists() else (None, None, None, 0, None)
+        newest, failures = last_ok, []
+        for frame in rows:
+            top = frame.iloc[int(np.lexsort((frame["id"], frame["at"]))[-1])]
+            if run_at is None or (top["at"], top["id"]) >= (run_at, last_run):
+                run_at, last_run = int(top["at"]), int(top["id"])
+            ok = frame.loc[frame["status"] == "ok", "at"]
+            if len(ok) and (newest is None or ok.max() > newest):
+                newest = int(ok.max())
+            failures.append(frame.loc[frame["status"].notna() & (frame["status"] != "ok"), ["at", "n"]])
+        if newest != last_ok:
+            last_ok, streak = newest, 0
+        streak += sum(int(f.loc[f["at"] > last_ok, "n"].sum() if last_ok is not None else f["n"].sum()) for f in failures)
+        if wakes is not None:
+            self.handle.deleteTimer(wakes)
+        wakes = run_at // 1000 + 1
+        self.handle.registerTimer(wakes)
+        self.value.update((last_ok, run_at, last_run, streak, wakes))
+        yield pd.DataFrame({"source": [key[0]], "last_ok": pd.array([last_ok], "Int64"), "last_run": [last_run], "streak": [streak]})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        self.value.clear()
+        yield pd.DataFrame({"source": [key[0]], "last_ok": pd.array([None], "Int64"), "last_run": pd.array([None], "Int64"), "streak": pd.array([None], "Int64")})
+
+    def close(self) -> None:
+        pass
+
+
+def slimmed(runs: DataFrame) -> DataFrame:
+    """source, id, at (microseconds), status, n: of every batch that a task reads the rows that can still matter, so that a busy source is little work for the task that holds its state.
+
+    Of a source's rows there the last success, the last run, and the failures after that success, those of one time as one row.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            frame = frame.sort_values(["source", "at", "id"], kind="stable")
+            last_ok = frame[frame["status"] == "ok"].groupby("source")["at"].max()
+            ok_at = frame["source"].map(last_ok)
+            bad = frame[frame["status"].notna() & (frame["status"] != "ok") & ~(frame["at"] <= ok_at)]
+            bad = bad.groupby(["source", "at"], as_index=False).agg(id=("id", "max"), status=("status", "first"), n=("id", "size"))
+            good = frame[(frame["status"] == "ok") & (frame["at"] == ok_at)].drop_duplicates("source", keep="last").assign(n=0)
+            run_ = frame.drop_duplicates("source", keep="last").assign(n=0, status=None)
+            yield pd.concat([bad, good, run_])[["source", "id", "at", "status", "n"]]
+
+    rows = runs.select("source", "id", F.unix_micros(F.col("started_at").cast("timestamp")).alias("at"), "status")
+    return rows.mapInPandas(run, "source string, id long, at long, status string, n long")
+
 
-    A micro-batch is one row a source before it meets the state, so a source of any size is many tasks' work. A batch's number names
-    its folder; a replay reads the folder before its own and overwrites its own. A failure that comes late counts if it is later
-    than the last success known; a success that comes late ends no failures after it.
+def live_streaks(runs: DataFrame, state_path: str, checkpoint: str, alert: int = 7, quiet: int = 90):
+    """After every micro-batch: source, last_ok_at, last_run, streak (failures since the last success) and whether it is ``alert`` or more, of the sources seen in it.
+
+    The state is a short value a source in Spark's state store, so a micro-batch touches the sources it brings and no others. Its rows are committed as a
+    folder under the batch's number; a replay after a failure changes nothing, and every COMPACT_EVERY batches the folders are merged to the newest row a source. A failure that comes late counts if it is later
+    than the last success known; a success that comes late ends no failures after it. Rows that are more than ``quiet`` days late (logs go after 90) are left out, and a source without a run for as long is forgotten.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        batch = cut(batch.select("source", "id", "started_at", "status"))
-        ok = F.max(F.when(F.col("status") == "ok", F.col("started_at")))
-        fresh = batch.groupBy("source").agg(ok.alias("_ok"), F.max_by("id", F.struct("started_at", "id")).alias("_run"))
-        old = latest_state(spark, state_path, number) if number else spark.createDataFrame([], STREAKS)
-        state = cut(fresh.join(old.drop("alert"), "source", "full").withColumn("_last", F.greatest("_ok", "last_ok_at")))
-        since = batch.where("status <> 'ok'").join(state.select("source", "_last"), "source").where("_last is null or started_at > _last")
-        more = since.groupBy("source").agg(F.count(F.lit(1)).alias("_more"))
-        kept = F.when(F.col("_ok").isNull() | (F.col("last_ok_at") >= F.col("_ok")), F.coalesce("streak", F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long"))
-        streak = kept + F.coalesce("_more", F.lit(0).cast("long"))
-        done = state.join(more, "source", "left").select("source", F.col("_last").alias("last_ok_at"), F.coalesce("_run", "last_run").alias("last_run"), streak.alias("streak"))
-        done.withColumn("alert", F.col("streak") >= alert).write.mode("overwrite").parquet(f"{state_path}/batch={number:010d}")
-
-    return runs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def latest_state(spark: SparkSession, state_path: str, before: int | None = None) -> DataFrame:
-    """The state that the last micro-batch (``before`` that one) left. Every batch writes all sources, one short row each."""
-    rows = spark.read.schema(f"{STREAKS}, batch long").parquet(state_path)
-    rows = rows if before is None else rows.where(F.col("batch") < before)
-    last = rows.agg(F.max("batch")).first()[0]
-    return rows.where(F.col("batch") == (-1 if last is None else last)).drop("batch")
+        at = F.timestamp_micros("last_ok").cast("timestamp_ntz")
+        rows = batch.select("source", at.alias("last_ok_at"), "last_run", "streak", (F.col("streak") >= alert).alias("alert"), F.lit(number).cast("long").alias("batch"))
+        commits.write(rows, state_path, f"{number:010d}")
+        if number % COMPACT_EVERY == COMPACT_EVERY - 1:
+            commits.compact(batch.sparkSession, state_path, (), ["source"], reduce=_newest)
+
+    spark, key = runs.sparkSession, "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")  # the only one that this kind of state works with
+    try:
+        out = "source string, last_ok long, last_run long, streak long"
+        timed = slimmed(runs).withColumn("ts", F.timestamp_micros("at")).withWatermark("ts", f"{quiet} days")
+        states = timed.groupBy("source").transformWithStateInPandas(Streak(), out, "Update", "EventTime")
+        return states.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(key, before)
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    rest = F.struct("batch", *[c for c in rows.columns if c not in ("source", "batch")])
+    return rows.groupBy("source").agg(F.max_by(rest, "batch").alias("r")).select("source", "r.*")
+
+
+def latest_state(spark: SparkSession, state_path: str) -> DataFrame:
+    """The newest row of every source; those that were forgotten are left out. Empty before the first micro-batch."""
+    rows = commits.read(spark, state_path)
+    rows = spark.createDataFrame([], f"{STREAKS}, batch long") if rows is None else rows
+    return _newest(rows).where("streak is not null").select("source", "last_ok_at", "last_run", "streak", "alert")
 
 
 def run_to_table(spark: SparkSession, source: DataFrame, *, mode: str, finish: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:

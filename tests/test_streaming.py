@@ -2,6 +2,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from feedjobs.sources import commits
 from feedjobs.streaming import jobs
 
 SCHEMA = "id string, title_hash string, source_tier int, seq long, source string, source_handle string, url string"
@@ -66,6 +67,20 @@ def test_live_streaks_over_batches_and_a_replay(spark, tmp_path):
     assert run() == {"a": (9, 0, False), "b": (11, 2, False), "c": (8, 0, False)}
 
 
+def test_streaks_of_many_batches_are_merged_and_silent_sources_forgotten(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "COMPACT_EVERY", 3)
+    landed, state, marks = (str(tmp_path / n) for n in ("landed", "state", "marks"))
+    for n in range(7):
+        rows = [("busy", 10 * n + i, f"2026-05-01 {n:02d}:{i:02d}:00", "ok" if (n, i) == (4, 3) else "failed") for i in range(5)] + ([("once", 999, "2026-05-01 00:00:00", "failed")] if n == 0 else [])
+        spark.createDataFrame(rows, "source string, id long, t string, status string").select("source", "id", F.col("t").cast("timestamp_ntz").alias("started_at"), "status").coalesce(1).write.mode("append").parquet(landed)
+    stream = lambda: spark.readStream.schema("source string, id long, started_at timestamp_ntz, status string").option("maxFilesPerTrigger", 1).parquet(landed)
+    jobs.live_streaks(stream(), state, marks).awaitTermination()
+    assert {r.source: (r.last_run, r.streak, r.alert) for r in jobs.latest_state(spark, state).collect()} == {"busy": (64, 11, True), "once": (999, 1, False)}
+    assert len(commits.manifest(spark, state)["folders"]) <= 3  # all but the last batch in one
+    jobs.live_streaks(stream(), str(tmp_path / "s2"), str(tmp_path / "m2"), quiet=0).awaitTermination()
+    assert jobs.latest_state(spark, str(tmp_path / "s2")).where("source = 'once'").count() == 0
+
+
 def test_day_counts_and_health_in_update_mode(spark, tmp_path):
     rows = [("a", f"2026-05-0{d} {h}:00:00", "ok" if h == "01" else "failed") for d in range(1, 4) for h in ("01", "15", "16")]
     for n, part in enumerate((rows[:4], rows[4:])):
