@@ -9,6 +9,8 @@ So items meet only through an id or a new title:
 * Other ids tie titles together. What they connect is a component; each component of up to REPLAY candidates is replayed in order of arrival in one
   pass, and many components share a task.
 * Larger components settle in rounds (accepted_in_rounds), distributed.
+
+Before that, an id whose first candidate is sure to be accepted is plain: its later ones are passed over. And what is tied in a batch need not be told apart if all of it fits one task.
 """
 
 from __future__ import annotations
@@ -24,12 +26,14 @@ from feedjobs.operators.lineage import cut, replaced
 
 #: Candidates of a component that one task replays; they are ids, hashes and numbers.
 REPLAY = 50_000
+#: Tied candidates of a batch that are replayed together, without a look at what connects them.
+TOGETHER = 50_000
 ACCEPTED = ["title_hash", "id", "tier", "seq", "is_stored"]
 
 
 def accepted(candidates: DataFrame) -> DataFrame:
     """title_hash, id, tier, seq, is_stored of the accepted candidates, also those that are displaced later."""
-    live = candidates.where("stored_tier is null or tier < stored_tier")  # no other is ever accepted, nor in another's way
+    live = _less_sure(candidates.where("stored_tier is null or tier < stored_tier"))  # no other is ever accepted, nor in another's way
     new = F.col("stored_tier").isNull()
     titles = F.when(new, F.col("title_hash"))
     ids = live.groupBy("id").agg(F.min(titles).alias("_first"), F.max(titles).alias("_last"), F.max((~new).cast("int")).alias("_old"))
@@ -39,16 +43,21 @@ def accepted(candidates: DataFrame) -> DataFrame:
     if not tied_rows:
         return cut(plain_stored(rows.where(~new)).union(plain_titles(first_few(rows.where(new), tiers))))
 
-    edges = rows.where("_ties and stored_tier is null").select(F.concat(F.lit("t"), "title_hash").alias("a"), F.concat(F.lit("i"), "id").alias("b"))
+    touched = rows.where("_ties and stored_tier is null").select("title_hash").distinct().withColumn("_touched", F.lit(True))
+    rows = rows.join(touched, "title_hash", "left").withColumn("_tangled", F.col("_ties") | (F.coalesce("_touched", F.lit(False)) & new)).drop("_touched")
+    plain = rows.where("not _tangled")
+    done = [plain_stored(plain.where(~new)), plain_titles(first_few(plain.where(new), tiers))]
+    tangled = rows.where("_tangled")
+    tangled = cut(tangled.where("_ties").unionByName(first_few(tangled.where("not _ties"), tiers)))
+    if tangled.count() <= TOGETHER:
+        return cut(done[0].union(done[1]).union(replayed(tangled.withColumn("_root", F.lit("")))))
+
+    edges = tangled.where("_ties and stored_tier is null").select(F.concat(F.lit("t"), "title_hash").alias("a"), F.concat(F.lit("i"), "id").alias("b"))
     tied = cut(components(edges))
     of = lambda kind, name: tied.where(F.col("node").startswith(kind)).select(F.expr("substr(node, 2)").alias(name), F.col("root").alias(f"_{kind}"))
     # a stored title ties nothing: its candidates belong to their id's component
-    placed = rows.join(of("t", "title_hash"), "title_hash", "left").withColumn("_root", F.when(new, F.col("_t")))
-    placed = placed.join(of("i", "id"), "id", "left").withColumn("_root", F.coalesce("_root", F.when(~new, F.col("_i")))).drop("_t", "_i")
-
-    done = [plain_stored(placed.where("_root is null and stored_tier is not null")), plain_titles(first_few(placed.where("_root is null and stored_tier is null"), tiers))]
-    tangled = placed.where("_root is not null")
-    tangled = cut(tangled.where("_ties").unionByName(first_few(tangled.where("not _ties"), tiers)))
+    tangled = tangled.join(of("t", "title_hash"), "title_hash", "left").join(of("i", "id"), "id", "left")
+    tangled = cut(tangled.withColumn("_root", F.when(new, F.col("_t")).otherwise(F.col("_i"))).drop("_t", "_i"))
     sizes = tangled.groupBy("_root").agg(F.count(F.lit(1)).alias("_n"))
     done.append(replayed(tangled.join(sizes.where(F.col("_n") <= REPLAY).select("_root"), "_root")))
     large = sizes.where(F.col("_n") > REPLAY).select("_root")
@@ -60,6 +69,14 @@ def accepted(candidates: DataFrame) -> DataFrame:
     return cut(out)
 
 
+def _less_sure(live: DataFrame) -> DataFrame:
+    """Without the candidates that are passed over because their id's first candidate is the first of its title too, or under a stored one: that is accepted, whatever else is."""
+    ids = live.groupBy("id").agg(F.min(F.struct("seq", "title_hash", "stored_tier")).alias("_f"))
+    titles = live.where("stored_tier is null").groupBy("title_hash").agg(F.min("seq").alias("_top"))
+    sure = ids.select("id", "_f.*").join(titles, "title_hash", "left").where("stored_tier is not null or seq = _top").select("id", F.col("seq").alias("_sure"))
+    return live.join(sure, "id", "left").where("_sure is null or seq = _sure").drop("_sure")
+
+
 def first_few(rows: DataFrame, tiers: int) -> DataFrame:
     """Of a new title's plain ids, those that can be accepted: in each tier the first as many as there are tiers.
 

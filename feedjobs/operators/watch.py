@@ -11,17 +11,87 @@ from pyspark.sql import functions as F
 def hits(items: DataFrame, rules: list[tuple[str, str, str]], text: Column) -> DataFrame:
     """Items x rules (name, scope pattern, keyword pattern) where both patterns match; adds rule.
 
-    Rules are configuration: one pass tests them all, without a join.
+    A few rules are one expression; more than EXPRESSION go by the words they require (see hits_by_words).
     """
     if not rules:
         return items.withColumn("rule", F.lit("")).where(F.lit(False))
-    found = F.filter(F.array(*[F.when(text.rlike(scope) & text.rlike(words), F.lit(name)) for name, scope, words in rules]), lambda r: r.isNotNull())
-    return items.withColumn("rule", F.explode(found))
+    if len(rules) > EXPRESSION:
+        return hits_by_words(items, rules, text)
+    return items.withColumn("rule", F.explode(_matching(rules, text)))
+
+
+def _matching(rules: list[tuple[str, str, str]], text: Column) -> Column:
+    return F.filter(F.array(*[F.when(text.rlike(scope) & text.rlike(words), F.lit(name)) for name, scope, words in rules]), lambda r: r.isNotNull())
+
+
+#: Rules that become one expression.
+EXPRESSION = 50
+#: Characters of the piece of a literal that stands for it in the index.
+PIECE = 4
+
+
+def required(pattern: str) -> str | None:
+    """A text, in lower case, that every match of the pattern holds, or None if none is seen: the longest run of plain ASCII letters, digits and blanks
+    outside groups, classes and alternatives, less a character that a quantifier may take away."""
+    if "|" in pattern or "(?x" in pattern:
+        return None
+    best = now = ""
+    depth = at = 0
+    while at < len(pattern):
+        c = pattern[at]
+        plain = c.isascii() and (c.isalnum() or c == " ")
+        if c == "\\":
+            at += 1
+        elif c == "[":
+            at = pattern.find("]", at + 2 + (pattern[at + 1 : at + 2] == "^"))
+            if at < 0:
+                return None
+        elif c in "()":
+            depth += 1 if c == "(" else -1
+        if plain and not depth:
+            now += c.lower()
+        else:
+            if c in "?*{" and now:
+                now = now[:-1]
+            best, now = max(best, now, key=len), ""
+            if c == "{":
+                at = pattern.find("}", at)
+                if at < 0:
+                    return None
+        at += 1
+    best = max(best, now, key=len)
+    return best if len(best) >= PIECE else None
+
+
+def hits_by_words(items: DataFrame, rules: list[tuple[str, str, str]], text: Column) -> DataFrame:
+    """The same for thousands of rules, in one pass over the texts: an inverted index from a piece of each rule's required text to the rules.
+
+    A text's distinct pieces of PIECE characters meet the index, which is a broadcast table of one row a piece, so only rules that may match are tried; rules that require no such
+    text are tried on all. A rule's patterns are then tested as they stand. The rules are configuration, and the size of their table is that of the list.
+    """
+    spark = items.sparkSession
+    pieces: dict[str | None, list[tuple[str, str, str]]] = {}
+    for rule in rules:
+        literal = max((x for x in map(required, rule[1:]) if x), key=len, default=None)
+        pieces.setdefault(literal and literal[:PIECE], []).append(rule)
+    free = pieces.pop(None, [])
+    kind = "name string, scope string, words string"
+    index = spark.createDataFrame(list(pieces.items()), f"_piece string, _rules array<struct<{kind}>>")
+    one = items.withColumns({"_text": text, "_low": F.translate(text, _UPPER, _UPPER.lower())}).withColumn("_chars", F.split("_low", ""))
+    ends = F.sequence(F.lit(0), F.greatest(F.size("_chars") - PIECE, F.lit(0)))
+    grams = F.array_distinct(F.transform(ends, lambda i: F.concat(*[F.coalesce(F.get("_chars", i + k), F.lit("")) for k in range(PIECE)])))
+    met = one.withColumn("_piece", F.explode(grams)).join(F.broadcast(index), "_piece").withColumn("_rule", F.explode("_rules"))
+    found = met.where(F.expr("_text rlike _rule.scope and _text rlike _rule.words")).select(*items.columns, F.col("_rule.name").alias("rule"))
+    rest = items.withColumn("rule", F.explode(_matching(free, text))) if free else None
+    return found if rest is None else found.unionByName(rest)
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def themes(items: DataFrame, rules: list[tuple[str, str, str]], text: Column) -> DataFrame:
     """Items a theme; an item that no rule matches is ``other``."""
-    found = F.filter(F.array(*[F.when(text.rlike(scope) & text.rlike(words), F.lit(name)) for name, scope, words in rules]), lambda r: r.isNotNull())
+    found = _matching(rules, text)
     named = F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("other")))
     return items.select(F.explode(named).alias("theme")).groupBy("theme").agg(F.count(F.lit(1)).alias("items"))
 

@@ -236,6 +236,16 @@ def _(spark, sf):
     return W.hits(v_items(spark, sf), WATCH, F.col("text")).select("seq", "rule")
 
 
+#: A list of rules by rule: three letters and a t, with two of them anywhere.
+MANY_RULES = [(f"r{a}{b}{c}", f"(?i){b}{c}", f"{a}{b}{c}t[a-z]*") for a in "abcdefghij" for b in "aeiou" for c in "dhlnrst"]
+
+
+@query("j9_many_rules", "SELECT seq, rule FROM v_items JOIN (SELECT 'r' || a || b || c AS rule, '(?i)' || b || c AS scope, a || b || c || 't[a-z]*' AS words FROM (SELECT unnest(string_split('abcdefghij', '')) AS a), (SELECT unnest(string_split('aeiou', '')) AS b), (SELECT unnest(string_split('dhlnrst', '')) AS c)) r ON regexp_matches(text, scope) AND regexp_matches(text, words)", ITEMS_SQL)
+def _(spark, sf):
+    """350 rules in one pass, by the texts they require."""
+    return W.hits(v_items(spark, sf), MANY_RULES, F.col("text")).select("seq", "rule")
+
+
 @query("j9_watch_context", "SELECT conv_id, turn FROM (SELECT *, max(CASE WHEN contains(text, 'tion') AND turn % 4 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 5 PRECEDING AND 2 FOLLOWING) AS near FROM conversations) t WHERE near = 1")
 def _(spark, sf):
     return W.context(table(spark, sf, "conversations"), ["conv_id"], "turn", F.contains("text", F.lit("tion")) & (F.col("turn") % 4 == 0)).select("conv_id", "turn")
@@ -349,6 +359,14 @@ def _(spark, sf):
     return G.summary(v_items(spark, sf), R.latest_failed(v_runs(spark, sf)))
 
 
+@query("a9_sketched_sources", "SELECT CAST(count(*) AS BIGINT) AS items, count(DISTINCT source || ' ' || source_handle) AS sources_active FROM v_items WHERE day BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'", ITEMS_SQL)
+def _(spark, sf):
+    """Days' sketches, written and merged over a range. The table's pairs are few, so that the estimate is exact."""
+    path = scratch(spark)
+    G.source_sketches(v_items(spark, sf)).write.parquet(path)
+    return G.sources_in(spark.read.parquet(path), "2024-01-01", "2024-01-31")
+
+
 @query("a10_section_counts", "SELECT section, count(*) AS items FROM v_items GROUP BY ROLLUP (section)", ITEMS_SQL)
 def _(spark, sf):
     return G.section_counts(v_items(spark, sf))

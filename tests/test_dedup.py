@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from feedjobs.operators import graph, keyfilter, replay
@@ -79,7 +80,9 @@ def merge(batch, stored):
     return won, noted
 
 
-def test_exact_matches_a_sequential_merge(spark):
+@pytest.mark.parametrize("together", [0, 50_000])
+def test_exact_matches_a_sequential_merge(spark, monkeypatch, together):
+    monkeypatch.setattr(replay, "TOGETHER", together)
     rng = random.Random(2)
     batches, stored = [], {}
     for b in range(150):  # links come under several titles, three tiers
@@ -121,9 +124,11 @@ def items_of(spark, rows):
 def test_a_chain_of_a_thousand_links_takes_few_rounds(spark, monkeypatch):
     """Each link comes under two titles and each title under two links: every decision rests on the one before it."""
     rows = [(f"l{(i + 1) // 2}", f"t{i // 2}", 2, i) for i in range(2000)]
+    monkeypatch.setattr(replay, "TOGETHER", 0)
     rounds, one = [], graph.star_round
     monkeypatch.setattr(graph, "star_round", lambda edges: rounds.append(1) or one(edges))
     won, noted = merge(rows, {})
+    assert 900 < len(won) < 1100
     batch = items_of(spark, rows)
     new, sightings = dedup(batch, batch.limit(0), lossless=False, distinct_sightings=False)
     assert {r.seq for r in new.collect()} == won and len(rounds) <= 12
@@ -132,6 +137,7 @@ def test_a_chain_of_a_thousand_links_takes_few_rounds(spark, monkeypatch):
 
 def test_large_components_settle_in_rounds(spark, monkeypatch):
     monkeypatch.setattr(replay, "REPLAY", 6)
+    monkeypatch.setattr(replay, "TOGETHER", 0)
     rng = random.Random(6)
     rows = [(f"{b}-i{rng.randrange(5)}", f"{b}-t{rng.randrange(4)}", rng.choice((1, 2, 3)), 100 * b + n) for b in range(12) for n in range(20)]
     stored = {f"{b}-t0": (f"{b}-s", 2) for b in range(0, 12, 2)}
