@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,8 +28,18 @@ def canonical_url(url: Column) -> Column:
 
     Built-ins only. As web addresses are read, blanks and control characters before it, and tabs and line ends anywhere in it, are no part of it. The query is read and written again as web forms do, a key without value gets an empty one. Scheme and host may be missing.
     """
-    url = F.translate(F.regexp_replace(url, r"^[\x00-\x20]+", ""), "\t\r\n", "")
-    scheme, host, path, query = (F.regexp_extract(url, _PARTS, i) for i in (1, 2, 3, 4))
+    tidy = F.translate(F.regexp_replace(url, r"^[\x00-\x20]+", ""), "\t\r\n", "")
+    parts = _once(tidy, lambda u: F.struct(*[F.regexp_extract(u, _PARTS, i).alias(n) for i, n in enumerate(("scheme", "host", "path", "query"), 1)]))
+    return _once(parts, _joined)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _joined(parts: Column) -> Column:
+    scheme, host, path, query = (parts[n] for n in ("scheme", "host", "path", "query"))
     path = F.when(path == "/", path).otherwise(F.regexp_replace(path, "/+$", ""))
     named = F.when(scheme != "", F.concat(F.lower(scheme), F.lit(":"))).otherwise(F.lit(""))
     placed = F.when(host != "", F.concat(F.lit("//"), F.lower(host), F.when((path != "") & ~path.startswith("/"), F.lit("/")).otherwise(F.lit("")))).otherwise(F.lit(""))
