@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _open: list[list[str]] = []
+_roots: dict[tuple[str, str], str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -21,10 +22,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared one, which goes at the end of the step it belongs to (see step) or of the application."""
-    path = f"{shared_dir(spark)}/feedjobs-{uuid.uuid4().hex}"
-    at, system = _system(spark, path)
-    system.deleteOnExit(at)
+    """A new folder in the application's own in the shared one, which goes at the end of the step it belongs to (see step) or of the application."""
+    own = spark.sparkContext.applicationId, shared_dir(spark)
+    if own not in _roots:
+        _roots[own] = f"{own[1]}/feedjobs-{uuid.uuid4().hex}"
+        at, system = _system(spark, _roots[own])
+        system.mkdirs(at)
+        system.deleteOnExit(at)  # only of what is there
+    path = f"{_roots[own]}/{uuid.uuid4().hex}"
     if _open:
         _open[-1].append(path)
     return path
