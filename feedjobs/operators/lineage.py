@@ -13,11 +13,13 @@ _roots: dict[tuple[str, str], str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``. A local master may set a folder of its own by setCheckpointDir."""
+    """The cluster's ``spark.checkpoint.dir``, to which checkpoint() writes too. A local master may set a folder of its own by setCheckpointDir."""
     context = spark.sparkContext
     base = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
         raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(base)
     return base.rstrip("/")
 
 
