@@ -34,10 +34,10 @@ def strip(text: Column) -> Column:
 def normalize_title(title: Column, *, compose: bool = True) -> Column:
     """NFKC, lower case, everything but letters, digits and ``_`` a blank. ``compose=False`` skips NFKC, the one step in Python.
 
-    ASCII is its own NFKC form, so only other texts go to Python.
+    ASCII is its own NFKC form, so only other texts go to Python. White space is among what becomes a blank, and a run becomes one, so one pass does.
     """
     text = F.coalesce(nfkc(F.when(title.rlike(r"[^\x00-\x7F]"), title)), title) if compose else title
-    return squeeze(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}_\s]", " "))
+    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}_]+", " "))
 
 
 def item_id(canonical_url: Column) -> Column:
