@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import reduce
+from itertools import batched
 
 import numpy as np
 import pandas as pd
@@ -15,6 +16,8 @@ from feedjobs.llm.shared import written
 
 #: Queries that are sent to the tasks at once, about.
 QUERY_BLOCK = 4_096
+#: Blocks that one job takes past the candidates side by side; so many are on the driver at once.
+BLOCKS = 8
 
 
 def usable(column: str) -> Column:
@@ -33,7 +36,7 @@ def matrix(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def blocks(queries: DataFrame, size: int = QUERY_BLOCK) -> Iterator[pd.DataFrame]:
-    """The query rows in blocks of about ``size`` by a hash of the id; one block is on the driver at a time.
+    """The query rows in blocks of about ``size`` by a hash of the id, each read when it is asked for.
 
     A repeated id counts once, with the vector that sorts first.
     """
@@ -49,7 +52,8 @@ def search(candidates: DataFrame, queries: DataFrame, scan: Callable, k: int, *,
     """The k best of ``scan``'s rows (query_id, vec_id, score) for each query: query_id, rank, vec_id, score.
 
     ``scan(block)`` makes a function over Arrow batches of candidates that yields what may be among a block's best: k rows a query
-    and task at most. Each block is reduced to k rows a query and written once. A candidate's id counts once for a query.
+    and task at most. BLOCKS blocks are one job, whose tasks are a block and a part of the candidates each; what they find is reduced to k rows a query and
+    written once. A candidate's id counts once for a query.
     """
     order = F.desc("score") if descending else F.asc("score")
     best = F.max("score") if descending else F.min("score")
@@ -59,8 +63,8 @@ def search(candidates: DataFrame, queries: DataFrame, scan: Callable, k: int, *,
         once = part.groupBy("query_id", "vec_id").agg(best.alias("score"))
         return once.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
-    parts = [written(reduced(candidates.mapInArrow(scan(block), f"query_id long, vec_id long, score {score_type}")), "best") for block in blocks(queries)]
-    return reduce(DataFrame.union, parts)
+    scans = (candidates.mapInArrow(scan(block), f"query_id long, vec_id long, score {score_type}") for block in blocks(queries))
+    return reduce(DataFrame.union, [written(reduced(reduce(DataFrame.union, some)), "best") for some in batched(scans, BLOCKS)])
 
 
 class Best:

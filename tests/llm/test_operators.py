@@ -427,6 +427,23 @@ def test_pipeline_runs_its_stages_in_turn(spark):
     assert sum(n * k[2] for k, n in whole.items()) == sum(n * k[2] for k, n in key(docs).items()) and {k[0] for k in whole} == {r.doc_id for r in docs.collect()}
 
 
+def test_searches_of_many_blocks_are_those_of_one(spark, monkeypatch):
+    from functools import partial
+
+    from feedjobs.llm import vectors as V
+
+    rng = np.random.default_rng(3)
+    table = spark.createDataFrame([(i, rng.standard_normal(12).tolist()) for i in range(300)], "vec_id long, embedding array<double>")
+    queries = table.where("vec_id % 5 = 0")
+    searches = [partial(top_products, k=4), partial(nearest, k=4, sample=10)]
+    one = [sorted(map(tuple, f(table, queries).collect())) for f in searches]
+    monkeypatch.setattr(V, "blocks", partial(V.blocks, size=4))
+    monkeypatch.setattr(V, "BLOCKS", 3)
+    assert one[0] == sorted(map(tuple, searches[0](table, queries).collect())) and len(one[0]) == 60 * 4
+    many = searches[1](table, queries)
+    assert one[1] == sorted(map(tuple, many.collect()))
+
+
 def exact_nearest(vectors, q, k=10):
     far = np.sqrt(((vectors - vectors[q]) ** 2).sum(1))
     return [int(i) for i in np.lexsort((np.arange(len(far)), far)) if i != q][:k]
