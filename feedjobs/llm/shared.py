@@ -11,6 +11,7 @@ from typing import TypeVar
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from feedjobs.operators import lineage
 from feedjobs.operators.lineage import shared_dir
 
 Made = TypeVar("Made")
@@ -71,7 +72,8 @@ def step(spark: SparkSession) -> Iterator[list[str]]:
     """What is written inside goes at the end, but for the paths that are taken out of the list."""
     _open.append([])
     try:
-        yield _open[-1]
+        with lineage.step(spark):
+            yield _open[-1]
     finally:
         for path in _open.pop():
             drop(spark, path)
