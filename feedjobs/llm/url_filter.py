@@ -11,6 +11,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedjobs.operators.lineage import scratch
+
 #: Buckets for n-grams, and their lengths.
 BUCKETS, SIZES = 1 << 16, (3, 4, 5)
 #: Rules that become one expression; more are joined.
@@ -101,9 +103,15 @@ UNWANTED_WEIGHT = 4.0
 
 
 def train(labelled: DataFrame) -> LogisticRegressionModel:
-    """Fit on (url, label); 1.0 means block. The table is small and its rows stand once."""
+    """Fit on (url, label); 1.0 means block. The table is small and its rows stand once.
+
+    The model is saved and read again, which leaves out its training summary: that holds the session, which can't go with a task once the session has observed metrics.
+    """
     rows = with_features(labelled.withColumnRenamed("url", "_url")).withColumn("_w", F.when(F.col("label") == 1.0, UNWANTED_WEIGHT).otherwise(1.0))
-    return LogisticRegression(featuresCol="_f", labelCol="label", weightCol="_w", probabilityCol="_p", rawPredictionCol="_raw", predictionCol="_y", maxIter=60, regParam=0.003, standardization=False).fit(rows)
+    fitted = LogisticRegression(featuresCol="_f", labelCol="label", weightCol="_w", probabilityCol="_p", rawPredictionCol="_raw", predictionCol="_y", maxIter=60, regParam=0.003, standardization=False).fit(rows)
+    path = scratch(labelled.sparkSession)
+    fitted.save(path)
+    return LogisticRegressionModel.load(path)
 
 
 def _order(rules: list[tuple[str, str]]) -> list[tuple[str, str]]:
