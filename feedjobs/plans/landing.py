@@ -119,21 +119,21 @@ def threads_apify(spark, sf):
 
 
 def entries(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents as feed entries, a feed a source, read back from XML."""
+    """Documents as feed entries, a feed a source, landed in order of doc_id (then lang, null first) and read back from XML."""
     time, iso = F.expr(f"date_format({_TIME}, \"EEE, dd MMM yyyy HH:mm:ss '+0000'\")"), F.expr(_ISO)
     fields = [F.concat(F.lit(" "), "source", F.lit(" "), F.col("doc_id").cast("string"), F.lit(" ")).alias("title"), F.expr(_LINK).alias("link"), F.concat(F.lit("<p>"), "lang", F.lit("</p>  x")).alias("description")]
     fields += [F.when(F.col("lang") == "fr", F.col("source")).alias("summary"), F.when(F.col("lang") != "de", time).alias("pubDate"), iso.alias("updated"), F.col("lang").alias("author"), F.col("source").alias("feed")]
     path = f"{scratch(spark)}/feed"
-    documents(spark, sf).select(*fields).write.format("xml").option("rowTag", "item").option("rootTag", "channel").save(path)
+    docs = documents(spark, sf).select("doc_id", "lang", "source").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "lang")
+    docs.select(*fields).write.format("xml").option("rowTag", "item").option("rootTag", "channel").save(path)
     return normalize.feed(spark, path, extra=("feed string",))
 
 
 def _feed(source: str) -> Callable[[SparkSession, str], DataFrame]:
-    """Each feed's first 30 entries by their numbers."""
+    """Each feed's first 30 entries as landed: by their numbers, and entries of one number by language."""
 
     def run(spark, sf):
-        rows = entries(spark, sf).withColumn("pos", F.substring_index(F.trim("title"), " ", -1).cast("long"))
-        return shown(normalize.rss(rows, _now(), "", source=source, limit=30, handle="feed"))
+        return shown(normalize.rss(entries(spark, sf), _now(), "", source=source, limit=30, handle="feed"))
 
     return run
 
@@ -207,7 +207,7 @@ def _json(**counts: str) -> str:
 
 
 _LATER = f"TIMESTAMP '{NOW}'"
-_FEED_ROWS = f"(SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS place FROM {_D}) f"
+_FEED_ROWS = f"(SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id, lang NULLS FIRST) AS place FROM {_D}) f"
 _HN = "CASE WHEN n_chars % 2 = 0 THEN link ELSE 'https://news.ycombinator.com/item?id=' || doc_id END"
 _REDDIT = "CASE WHEN lang IN ('de', 'fr') THEN 'https://www.reddit.com/r/' || source ELSE link END"
 _TREND = f"(SELECT *, source || '/' || doc_id AS full_name FROM {_D}) r"
@@ -226,8 +226,8 @@ SQL = {
     "n4_trendshift": _sql("full_name", "'https://github.com/' || full_name", "'rising:rank-' || doc_id", "source", "substr(text, 1, 200)", "'en'", _LATER, _json(rank="doc_id", score="n_chars"), rows=_TREND),
     "n5_product_hunt": _sql("regexp_replace(CASE WHEN lang <> 'fr' THEN source || ' — ' || text ELSE source END, '^[ —]+|[ —]+$', '', 'g')", "link", "'daily_top_ai'", "'u' || doc_id", "CASE WHEN lang <> 'fr' THEN substr(text, 1, 200) ELSE '' END", "'en'", "ts", _json(votes="n_chars", comments="length(source)")),
     "n6_hugging_face": _sql("name", "'https://huggingface.co/' || name", "'trending:models'", "CASE WHEN lang <> 'fr' THEN source ELSE '' END", "lang", "'en'", _DATED, _json(likes="n_chars", downloads="length(source)"), rows=f"(SELECT *, CASE WHEN lang <> 'fr' THEN source || '/u' || doc_id ELSE 'u' || doc_id END AS name FROM {_D}) m"),
-    "n7_rss": _feed_sql("ts", _SUMMARY.format("lang || ' x'")),
-    "n8_rsshub": _feed_sql(_DATED, _SUMMARY.format("lang || ' x'")),
+    "n7_rss": _feed_sql("ts", _SUMMARY.format("coalesce(lang || ' x', '')")),
+    "n8_rsshub": _feed_sql(_DATED, _SUMMARY.format("coalesce(lang || ' x', '')")),
     "n9_wewe_rss": _feed_sql(_DATED, _SUMMARY.format("''")),
     "n10_x": _sql(_CUT.format("bare"), "link", "'@' || source", "CASE WHEN lang = 'fr' THEN source ELSE 'u' || doc_id END", "substr(bare, 1, 200)", "'en'", "ts", _json(likes="n_chars", comments="length(source)", retweets="1"), "lang <> 'es' AND bare <> ''"),
     "n11_threads": _sql(_CUT.format("bare"), "CASE WHEN lang <> 'fr' THEN link ELSE 'https://www.threads.net/post/' || doc_id END", "'keyword:ai'", "source", "substr(bare, 1, 200)", "'en'", "ts", _json(likes="n_chars", comments="length(source)")),
