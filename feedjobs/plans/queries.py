@@ -429,7 +429,7 @@ def _(spark, sf):
 
 @query("u1_union_seq", f"SELECT item, CAST(count(*) AS INT) AS copies, min(seq) AS first, max(seq) AS last FROM (SELECT item, row_number() OVER (ORDER BY part, item) - 1 AS seq FROM (SELECT seq AS item, 0 AS part FROM v_items WHERE {STORED} UNION ALL SELECT seq, 1 FROM v_items) p) n GROUP BY 1", ITEMS_SQL)
 def _(spark, sf):
-    parts = [df.withColumnRenamed("seq", "pos").withColumn("item", F.col("pos")) for df in (v_store(spark, sf), v_batch(spark, sf))]
+    parts = [df.select(F.col("seq").alias("pos"), F.col("seq").alias("item")) for df in (v_store(spark, sf), v_batch(spark, sf))]
     return normalize.arrival(parts).groupBy("item").agg(F.count(F.lit(1)).cast("int").alias("copies"), F.min("seq").alias("first"), F.max("seq").alias("last"))
 
 
