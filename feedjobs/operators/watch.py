@@ -63,11 +63,23 @@ def required(pattern: str) -> str | None:
     return best if len(best) >= PIECE else None
 
 
+def any_of(pieces: list[str]) -> str:
+    """A pattern for any of the pieces, which are plain (see required) and equally long, as a tree of their characters: most places of a text fail at its root."""
+    if not pieces:
+        return "(?!)"
+    heads: dict[str, list[str]] = {}
+    for piece in sorted(pieces):
+        heads.setdefault(piece[0], []).append(piece[1:])
+    if len(pieces[0]) == 1:
+        return f"[{''.join(heads)}]"
+    return "(?:" + "|".join(head + any_of(rest) for head, rest in heads.items()) + ")"
+
+
 def hits_by_words(items: DataFrame, rules: list[tuple[str, str, str]], text: Column) -> DataFrame:
     """The same for thousands of rules, in one pass over the texts: an inverted index from a piece of each rule's required text to the rules.
 
-    A text's distinct pieces of PIECE characters meet the index, which is a broadcast table of one row a piece, so only rules that may match are tried; rules that require no such
-    text are tried on all. A rule's patterns are then tested as they stand. The rules are configuration, and the size of their table is that of the list.
+    The pieces of PIECE characters that a text holds are found by one expression (see any_of) and meet the index, which is a broadcast table of one row a piece, so a text makes a row a piece
+    found, only rules that may match are tried, and rules that require no such text are tried on all. A rule's patterns are then tested as they stand. The rules are configuration, and the size of their table is that of the list.
     """
     spark = items.sparkSession
     pieces: dict[str | None, list[tuple[str, str, str]]] = {}
@@ -77,10 +89,9 @@ def hits_by_words(items: DataFrame, rules: list[tuple[str, str, str]], text: Col
     free = pieces.pop(None, [])
     kind = "name string, scope string, words string"
     index = spark.createDataFrame(list(pieces.items()), f"_piece string, _rules array<struct<{kind}>>")
-    one = items.withColumns({"_text": text, "_low": F.translate(text, _UPPER, _UPPER.lower())}).withColumn("_chars", F.split("_low", ""))
-    ends = F.sequence(F.lit(0), F.greatest(F.size("_chars") - PIECE, F.lit(0)))
-    grams = F.array_distinct(F.transform(ends, lambda i: F.concat(*[F.coalesce(F.get("_chars", i + k), F.lit("")) for k in range(PIECE)])))
-    met = one.withColumn("_piece", F.explode(grams)).join(F.broadcast(index), "_piece").withColumn("_rule", F.explode("_rules"))
+    low = F.translate(text, _UPPER, _UPPER.lower())
+    held = F.array_distinct(F.regexp_extract_all(low, F.lit(f"(?=({any_of(list(pieces))}))"), F.lit(1)))  # at every place, so pieces may overlap
+    met = items.withColumn("_text", text).withColumn("_piece", F.explode(held)).join(F.broadcast(index), "_piece").withColumn("_rule", F.explode("_rules"))
     found = met.where(F.expr("_text rlike _rule.scope and _text rlike _rule.words")).select(*items.columns, F.col("_rule.name").alias("rule"))
     rest = items.withColumn("rule", F.explode(_matching(free, text))) if free else None
     return found if rest is None else found.unionByName(rest)

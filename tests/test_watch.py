@@ -43,3 +43,12 @@ def test_sketches_of_days(spark):
         got = digest.sources_in(kept, first, last).first()
         assert abs(got.sources_active - exact) <= 0.02 * exact and got["items"] == 20_000 * len(days)
     assert tuple(digest.sources_in(kept, "2020-01-01", "2020-01-02").first()) == (0, 0)
+
+
+def test_pieces_are_found_at_every_place(spark):
+    """A text makes a row a piece of a rule that it holds, also where pieces overlap, and none a character."""
+    assert re.findall(f"(?=({watch.any_of(['abca', 'bcab', 'abcb', 'zzzz'])}))", "xabcabcb") == ["abca", "bcab", "abcb"] and not re.search(watch.any_of([]), "abc")
+    rules = [(w, "", w) for w in ("abcabc", "bcabcb", "cabcba", "Abcabc", "zzzz")]
+    found = watch.hits_by_words(spark.createDataFrame([(1, "xABCabcbabcabc"), (2, "nothing here"), (3, None)], "n int, t string"), rules, F.col("t"))
+    assert sorted(map(tuple, found.select("n", "rule").collect())) == [(1, "abcabc")]
+    assert "regexp_extract_all" in found._jdf.queryExecution().optimizedPlan().toString()
