@@ -149,21 +149,25 @@ STORIES = {
 
 
 def stories(spark: SparkSession, docs: DataFrame, platform: str) -> DataFrame:
-    """The documents' stories as landed: a file for each of their sources, in it a payload a line, in this a few records in order of doc_id."""
+    """The documents' stories as landed: files for each of their sources, which follow each other by name, in them a payload a line, in this a few records in order of doc_id.
+
+    Texts are shuffled once: what is sorted into ranges of files and lines is grouped there.
+    """
     record, outer = F.expr(STORIES[platform]), NESTING[platform]
-    rows = docs.groupBy(F.col("source").alias("file"), F.expr("doc_id div 3").alias("line")).agg(F.array_sort(F.collect_list(F.struct("doc_id", record.alias("r")))).alias("rs"))
+    rows = docs.select(F.col("source").alias("file"), F.expr("doc_id div 3").alias("line"), "doc_id", record.alias("r")).repartitionByRange("file", "line")
+    rows = rows.groupBy("file", "line").agg(F.array_sort(F.collect_list(F.struct("doc_id", "r"))).alias("rs"))
     made = F.transform("rs", lambda x: x["r"])
     for name in reversed(outer[1:]):
         made = F.struct(made.alias(name))
     path = f"{scratch(spark)}/{platform}"
-    rows.select("file", "line", made.alias(outer[0])).repartition("file").sortWithinPartitions("file", "line").drop("line").write.partitionBy("file").json(path)
+    rows.select("file", "line", made.alias(outer[0])).sortWithinPartitions("file", "line").drop("line").write.partitionBy("file").json(path, compression="gzip")
     return normalize.landed(spark, path, platform, lines=True)
 
 
-def delivery(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """All items of both sources with their arrival numbers."""
+def delivery(spark: SparkSession, docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """All items of both sources with their arrival numbers; with ``columns`` of them these only."""
     parts = [normalize.hacker_news(stories(spark, docs, "hn"), _now(), []), normalize.product_hunt(stories(spark, docs, "product_hunt"), _now(), tier=1)]
-    return normalize.arrival(parts)
+    return normalize.arrival(parts, columns)
 
 
 _HASH = "sha1(trim(regexp_replace(regexp_replace(lower(text), '[^\\p{L}\\p{N}_\\s]', ' ', 'g'), '\\s+', ' ', 'g')))"

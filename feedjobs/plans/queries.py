@@ -309,10 +309,10 @@ _MERGED = "RECURSIVE " + landing.MERGE_SQL.format(first=landing.delivery_sql(_EA
 
 def _two_deliveries(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """What is new in a delivery of all stories, after those in English were stored, and what it notes."""
-    docs = landing.documents(spark, sf)
-    earlier = landing.delivery(spark, docs.where(_EARLIER))
+    docs, columns = landing.documents(spark, sf), ["id", "title_hash", "source_tier", *D.SIGHTING]
+    earlier = landing.delivery(spark, docs.where(_EARLIER), columns)
     stored = D.dedup(earlier, earlier.limit(0))[0]
-    return D.dedup(landing.delivery(spark, docs), stored)
+    return D.dedup(landing.delivery(spark, docs, columns), stored)
 
 
 @query("a4_stories_in_order", "SELECT w.seq, w.id, w.title_hash, w.source FROM whole w JOIN kept USING (seq)", _MERGED)

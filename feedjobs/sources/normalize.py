@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from feedjobs.functions.text import excerpt, item_id, matches_any, shorten, strip, title_hash
 from feedjobs.functions.times import from_epoch, parse_time
 from feedjobs.functions.urls import canonical_url
+from feedjobs.operators.lineage import cut
 from feedjobs.operators.ordered import numbered
 
 _TWEET = "type string, url string, text string, createdAt string, likeCount long, replyCount long, retweetCount long, author struct<userName:string,name:string>"
@@ -196,15 +197,16 @@ def threads_apify(rows: DataFrame, fetched: Column, *, language: str = "en", tie
     return _items(rows, source="threads", title=shorten(F.col("text"), 120), url=F.col("url"), posted=F.coalesce(from_epoch(F.nullif("created_at", F.lit(0).cast("long"))), fetched), fetched=fetched, counts={"likes": _n("like_count"), "comments": _n("reply_count"), "reposts": _n("repost_count")}, handle=F.concat(F.lit("@"), "author"), author=F.coalesce(F.nullif("author_name", F.lit("")), "author"), text=F.substring("text", 1, 200), language=F.coalesce(F.nullif("lang", F.lit("")), F.lit(language)), tier=tier)
 
 
-def arrival(parts: list[DataFrame]) -> DataFrame:
+def arrival(parts: list[DataFrame], columns: list[str] | None = None) -> DataFrame:
     """All sources' items with seq: 0, 1, 2, ... by the source's place in the list, the payload's file and place in it, and the item's place in its payload.
 
     The same items have the same numbers however files are split and dealt to tasks. Parts that were not landed as files order by ``pos`` alone, which must then
-    tell their items apart.
+    tell their items apart. With ``columns`` the items have these only, which are written before they are sorted: what is landed is read once and texts go no further.
     """
     none = F.lit(None).cast("struct<file:string,block:bigint,row:bigint>")
     made = [(p if "place" in p.columns else p.withColumn("place", none)).withColumn("source_pos", F.lit(i)) for i, p in enumerate(parts)]
     out = made[0]
     for p in made[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
-    return numbered(out, ["source_pos", "place", "pos"])
+    order = ["source_pos", "place", "pos"]
+    return numbered(out if columns is None else cut(out.select(*columns, *[c for c in order if c not in columns])), order)

@@ -1,5 +1,6 @@
 """Landed data in tables of several files, and what its jobs carry along."""
 
+import gzip
 import re
 
 import duckdb
@@ -51,8 +52,8 @@ def test_stories_are_shuffled_once(spark, folder, monkeypatch):
         landing.stories(spark, landing.documents(spark, str(folder)), "hn")
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
-    files = sorted((folder / "landed" / "hn" / "file=src_1").glob("*.json"))
-    ids = [int(x) for f in files for x in re.findall(r'"objectID":"(\d+)"', f.read_text())]
+    files = sorted((folder / "landed" / "hn" / "file=src_1").glob("*.json.gz"))
+    ids = [int(x) for f in files for x in re.findall(r'"objectID":"(\d+)"', gzip.decompress(f.read_bytes()).decode())]
     assert len(files) > 1 and ids == sorted(ids) and set(ids) == {i for i in range(90) if i % 2}
 
 
