@@ -436,7 +436,7 @@ def _(spark, sf):
 @query("u1_arrival", f"SELECT seq, id, title_hash, tier, source FROM ({landing.delivery_sql('TRUE')}) d")
 def _(spark, sf):
     """Several files of two sources, landed, normalized and numbered."""
-    items = landing.delivery(spark, landing.documents(spark, sf))
+    items = landing.delivery(spark, landing.documents(spark, sf), ["id", "title_hash", "source_tier", "source"])
     return items.select("seq", "id", "title_hash", F.col("source_tier").alias("tier"), "source")
 
 
