@@ -31,12 +31,16 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
+#: Beside ASCII, characters each of which is its own NFKC form, and none of which joins the one before it.
+OWN_FORM = r"\u00A1-\u00A7\u00A9\u00AB-\u00AE\u00B0\u00B1\u00B6\u00B7\u00BB\u00BF-\u0131\u0134-\u013E\u0141-\u0148\u014A-\u017E\u0400-\u045F\u2012-\u2016\u2018-\u2023\u20AC\u3001-\u3029\u3041-\u3096\u30A1-\u30FA\u30FC\u4E00-\u9FFF"
+
+
 def normalize_title(title: Column, *, compose: bool = True) -> Column:
     """NFKC, lower case, everything but letters, digits and ``_`` a blank. ``compose=False`` skips NFKC, the one step in Python.
 
-    ASCII is its own NFKC form, so only other texts go to Python. White space is among what becomes a blank, and a run becomes one, so one pass does.
+    Only texts with a character that is neither ASCII nor in OWN_FORM go to Python. White space is among what becomes a blank, and a run becomes one, so one pass does.
     """
-    text = F.coalesce(nfkc(F.when(title.rlike(r"[^\x00-\x7F]"), title)), title) if compose else title
+    text = F.coalesce(nfkc(F.when(title.rlike(rf"[\x80-\x{{10FFFF}}&&[^{OWN_FORM}]]"), title)), title) if compose else title
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}_]+", " "))
 
 

@@ -36,16 +36,21 @@ def with_config_defaults(rows: DataFrame, language: str = "en") -> DataFrame:
 
 
 def append_items(items: DataFrame, store: DataFrame | None, path: str, name: str | None = None) -> bool:
-    """Append items whose id is new, partitioned by the business day of fetching, and commit them (see commits).
+    """Append items whose id is new, partitioned by the business day of fetching, and commit them (see commits). A day is dealt to one task, a large one to several (see by_day).
 
     An append that broke half-way is never read and can be repeated; one that is repeated under the ``name`` of a committed one adds nothing and gives False.
     """
     fresh = first_per_id(items if store is None else unseen(items, store))
-    return commits.write(fresh.withColumn("fetch_day", business_day(F.col("fetched_at"))), path, name or uuid.uuid4().hex, ("fetch_day",))
+    return commits.write(by_day(fresh.withColumn("fetch_day", business_day(F.col("fetched_at"))), "fetch_day"), path, name or uuid.uuid4().hex, ("fetch_day",))
+
+
+def by_day(rows: DataFrame, day: str) -> DataFrame:
+    """Each day's rows together, so that files grow with the days and not with days times tasks. Spark splits a day that is too large for a task."""
+    return rows.hint("rebalance", F.col(day))
 
 
 def append_runs(runs: DataFrame, path: str) -> None:
-    runs.withColumn("run_day", F.to_date("started_at")).write.mode("append").partitionBy("run_day").parquet(path)
+    by_day(runs.withColumn("run_day", F.to_date("started_at")), "run_day").write.mode("append").partitionBy("run_day").parquet(path)
 
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:

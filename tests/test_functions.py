@@ -1,4 +1,6 @@
 import random
+import re
+import unicodedata
 from urllib.parse import parse_qsl, urlencode, urlsplit, urlunsplit
 
 from pyspark.sql import functions as F
@@ -64,3 +66,15 @@ def test_times(spark):
     assert got == ["2026-04-25 22:28:19"] * 4 + ["2000-01-01 00:00:00"]
     edges = ["2026-04-25 15:59:59", "2026-04-25 16:00:00", "2026-04-25 22:05:00", "2026-04-26 15:59:59", "2026-04-26 16:00:00"]
     assert values(spark, lambda c: in_business_day(c.cast("timestamp_ntz"), "2026-04-26"), edges) == [False, True, True, True, False]
+
+
+def test_titles_in_their_own_form_need_no_python(spark, monkeypatch):
+    """Each character of OWN_FORM is its own NFKC form and joins none before it, so only other texts are sent."""
+    own = [c for c in map(chr, range(0x80, 0x10000)) if re.match(f"[{X.OWN_FORM}]", c)]
+    second = {d.split()[1] for d in map(unicodedata.decomposition, map(chr, range(0x110000))) if len(d.split()) == 2 and d[0] != "<"}
+    assert all(unicodedata.is_normalized("NFKC", c) and not unicodedata.combining(c) and f"{ord(c):04X}" not in second and not 0x1160 <= ord(c) <= 0x11FF for c in own)
+    texts = ["Él – día 日本", "plain", "ﬁne", "é", "a…", "𝐀", None]
+    want = values(spark, X.normalize_title, texts)
+    assert want == ["él día 日本", "plain", "fine", "é", "a", "a", None]
+    monkeypatch.setattr(X, "nfkc", lambda text: F.when(text.isNotNull(), F.lit("sent")))
+    assert values(spark, X.normalize_title, texts) == ["él día 日本", "plain", "sent", "sent", "sent", "sent", None]
